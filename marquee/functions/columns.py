@@ -92,3 +92,19 @@ def non_null_count(columns: Iterable[str]) -> Column:
 
 def spark_round2(c) -> Column:
     return F.round(_c(c), 2)
+
+
+# Sums and means of reported KPIs are taken over exact decimals: a double sum
+# depends on the order rows arrive in (and so on the partitioning), which
+# can flip the rounded value when the true mean sits on a .xx5 boundary.
+EXACT_DECIMAL = "decimal(38,10)"
+
+
+def exact_avg(c, decimals: int = 2) -> Column:
+    """Mean over exact decimals, rounded half-up, as a double."""
+    return F.round(F.avg(_c(c).cast(EXACT_DECIMAL)), decimals).cast("double")
+
+
+def exact_sum(c, decimals: int = 2) -> Column:
+    """Sum over exact decimals, rounded half-up, as a double."""
+    return F.round(F.sum(_c(c).cast(EXACT_DECIMAL)), decimals).cast("double")

@@ -138,8 +138,10 @@ def dedupe_by_id(df: DataFrame, prefer=None) -> DataFrame:
     """One row per id; null ids count as equal.
 
     ``prefer=None`` keeps an arbitrary survivor (``dropDuplicates``).  With
-    ``prefer`` (columns or Columns, ascending) the survivor is the smallest
-    by ``prefer`` then by the whole row, so it is deterministic.  Both are
+    ``prefer`` (column names or Column expressions, compared ascending; to
+    prefer larger numbers pass their negation, or map categories to ranks
+    with ``when``) the survivor is the smallest by ``prefer`` and then by the
+    whole row, so it is deterministic.  Both are
     hash aggregates with a map-side partial step, so a hot id is collapsed
     before the shuffle and never lands whole in one task.
     """

@@ -4,6 +4,8 @@ All are one ``groupBy().agg()`` (partial aggregation on the map side, so
 hot groups such as the two franchise categories cost one small row per
 task before the shuffle), optionally followed by a top-k
 (``TakeOrderedAndProject``).  Ties in a top-k are broken by the group key.
+Sums and means are exact (decimal) and then rounded to 2 places, so the
+reported values do not depend on the partitioning.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.config import DEFAULTS, Settings, resolve_top_n
-from marquee.functions.columns import category
+from marquee.functions.columns import category, exact_avg, exact_sum
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import exact_median
 
@@ -34,12 +36,12 @@ def franchise_vs_standalone(df: DataFrame, median: bool = True, approx: bool = F
     m = with_metrics(df).withColumn("category", category())
     aggs = [
         F.count(F.lit(1)).alias("movie_count"),
-        r2(F.avg("revenue_musd")).alias("mean_revenue"),
-        r2(F.avg("budget_musd")).alias("mean_budget"),
-        r2(F.avg("profit")).alias("mean_profit"),
-        r2(F.avg("roi")).alias("mean_roi"),
-        r2(F.avg("popularity")).alias("mean_popularity"),
-        r2(F.avg("vote_average")).alias("mean_rating"),
+        exact_avg("revenue_musd").alias("mean_revenue"),
+        exact_avg("budget_musd").alias("mean_budget"),
+        exact_avg("profit").alias("mean_profit"),
+        exact_avg("roi").alias("mean_roi"),
+        exact_avg("popularity").alias("mean_popularity"),
+        exact_avg("vote_average").alias("mean_rating"),
     ]
     if median and approx:
         aggs.append(r2(F.percentile_approx("roi", 0.5)).alias("median_roi"))
@@ -56,11 +58,11 @@ def top_franchises(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) ->
     m = with_metrics(df).filter(F.col("belongs_to_collection").isNotNull())
     return (m.groupBy("belongs_to_collection").agg(
         F.count(F.lit(1)).alias("total_movies"),
-        r2(F.sum("budget_musd")).alias("total_budget"),
-        r2(F.avg("budget_musd")).alias("mean_budget"),
-        r2(F.sum("revenue_musd")).alias("total_revenue"),
-        r2(F.avg("revenue_musd")).alias("mean_revenue"),
-        r2(F.avg("vote_average")).alias("mean_rating"))
+        exact_sum("budget_musd").alias("total_budget"),
+        exact_avg("budget_musd").alias("mean_budget"),
+        exact_sum("revenue_musd").alias("total_revenue"),
+        exact_avg("revenue_musd").alias("mean_revenue"),
+        exact_avg("vote_average").alias("mean_rating"))
         .orderBy(F.col("total_revenue").desc(), F.col("belongs_to_collection").asc())
         .limit(n))
 
@@ -77,9 +79,9 @@ def top_directors(df: DataFrame, top_n=None, by: str = "string",
         raise ValueError(f"by must be 'string' or 'person', got {by!r}")
     return (m.groupBy("director").agg(
         F.count(F.lit(1)).alias("total_movies"),
-        r2(F.sum("revenue_musd")).alias("total_revenue"),
-        r2(F.avg("revenue_musd")).alias("avg_revenue"),
-        r2(F.avg("vote_average")).alias("mean_rating"))
+        exact_sum("revenue_musd").alias("total_revenue"),
+        exact_avg("revenue_musd").alias("avg_revenue"),
+        exact_avg("vote_average").alias("mean_rating"))
         .orderBy(F.col("total_revenue").desc(), F.col("director").asc())
         .limit(n))
 
@@ -96,10 +98,10 @@ def genre_kpis(df: DataFrame, by: str = "combination", top_n=None,
         raise ValueError(f"by must be 'combination' or 'genre', got {by!r}")
     return (m.groupBy("genres").agg(
         F.count(F.lit(1)).alias("movie_count"),
-        r2(F.avg("revenue_musd")).alias("avg_revenue"),
-        r2(F.avg("budget_musd")).alias("avg_budget"),
-        r2(F.avg("vote_average")).alias("avg_rating"),
-        r2(F.avg("popularity")).alias("avg_popularity"))
+        exact_avg("revenue_musd").alias("avg_revenue"),
+        exact_avg("budget_musd").alias("avg_budget"),
+        exact_avg("vote_average").alias("avg_rating"),
+        exact_avg("popularity").alias("avg_popularity"))
         .orderBy(F.col("avg_revenue").desc_nulls_last(), F.col("genres").asc())
         .limit(n))
 
@@ -135,12 +137,12 @@ def budget_band_kpis(df: DataFrame, edges=None, median: bool = True,
          .withColumn("band", budget_band(edges)).withColumn("band_index", band_index(edges)))
     out = m.groupBy("band_index", "band").agg(
         F.count(F.lit(1)).alias("movie_count"),
-        r2(F.avg("budget_musd")).alias("mean_budget"),
-        r2(F.avg("revenue_musd")).alias("mean_revenue"),
-        r2(F.avg("profit")).alias("mean_profit"),
-        r2(F.avg("roi")).alias("mean_roi"),
-        r2(F.avg("vote_average")).alias("mean_rating"),
-        r2(F.avg("popularity")).alias("mean_popularity"))
+        exact_avg("budget_musd").alias("mean_budget"),
+        exact_avg("revenue_musd").alias("mean_revenue"),
+        exact_avg("profit").alias("mean_profit"),
+        exact_avg("roi").alias("mean_roi"),
+        exact_avg("vote_average").alias("mean_rating"),
+        exact_avg("popularity").alias("mean_popularity"))
     if median:
         med = exact_median(m, "roi", ["band_index"], out_col="median_roi")
         out = out.join(med.select("band_index", r2(F.col("median_roi")).alias("median_roi")),

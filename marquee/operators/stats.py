@@ -27,6 +27,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -59,7 +60,19 @@ def exact_median(df: DataFrame, value: str, group_cols=(), threshold: int = 200_
     gcols = list(group_cols)
     keys = gcols if gcols else ["_g"]
     gexprs = [F.col(c) for c in gcols] if gcols else [F.lit(0).alias("_g")]
-    base = df.select(*gexprs, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    # Only (group, value) is kept, and it is persisted: every round reads it
+    # again.  Blocks lost with an executor are recomputed from lineage.
+    base = (df.select(*gexprs, F.col(value).cast("double").alias("_v"))
+            .filter(F.col("_v").isNotNull())
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        return _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy,
+                                    max_rounds, out_col)
+    finally:
+        base.unpersist()
+
+
+def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col):
 
     state = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
              .select(*keys,

@@ -19,8 +19,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        # only when nothing is configured (local runs): a folder of our own,
+        # registered as the checkpoint directory so later calls agree
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+        spark.sparkContext.setCheckpointDir(d)
     return d.rstrip("/")
 
 

@@ -6,11 +6,14 @@ order and its customer give the scalar fields.  Rules (see FIXTURES.md)
 deliberately plant placeholders, zeros, bad dates, sparse rows,
 duplicates and null ids so that every cleaning rule has work to do.
 
-Plan shape: lines are joined to supplier and part (the planner picks
-broadcast or shuffle by measured size), aggregated once per order (the
-distinct-set aggregates combine map-side), then joined to orders and
-customers.  Copies are made with one ``explode`` rather than unions, so the
-tables are scanned once.
+Plan shape: lines are joined to supplier and part (no hints: the planner
+broadcasts a side only when its measured size is under the broadcast
+threshold, and shuffles otherwise), aggregated once per order into one
+list of line structs, then joined to orders and customers.  Copies are made
+with one ``explode`` rather than unions, so the tables are scanned once.
+
+A document is one row by definition, so its arrays hold all of its lines;
+the per-order list is the document's own content, not a gathered group.
 """
 
 from __future__ import annotations
@@ -46,18 +49,34 @@ def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.col("l_returnflag")
     job = (F.when(flag == "R", "Director").when(flag == "A", "Writer")
            .when(flag == "N", "Producer"))
-    return x.groupBy("l_orderkey").agg(
+    # One list of line structs per order (a single aggregation buffer per
+    # key); every array of the document is derived from it afterwards with
+    # higher-order functions, which run inside the same codegen stage.
+    # A map-side partial collect_list cannot shrink the data (the list keeps
+    # every line) and costs a sort in the scan task, so the lines are
+    # hash-partitioned by order first; the aggregate reuses that
+    # partitioning, so this adds no exchange.
+    per = x.repartition("l_orderkey").groupBy("l_orderkey").agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("rev_cents"),
         F.sum("l_linenumber").alias("sum_line"),
         F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("qty"),
-        F.array_sort(F.collect_set("p_type")).alias("types"),
-        F.array_sort(F.collect_set("r_name")).alias("regions"),
-        F.array_sort(F.collect_set("s_nation")).alias("nations"),
-        F.array_sort(F.collect_set("p_brand")).alias("brands"),
-        F.array_sort(F.collect_list(F.struct(F.col("s_name").alias("name")))).alias("cast"),
-        F.array_sort(F.collect_list(F.struct(job.alias("job"),
-                                             F.col("s_name").alias("name")))).alias("crew"),
+        F.collect_list(F.struct(F.col("s_name").alias("name"), job.alias("job"), "p_type",
+                                "p_brand", "s_nation", "r_name")).alias("_lines"))
+    lines_arr = F.col("_lines")
+
+    def distinct_sorted(field):
+        return F.array_sort(F.array_distinct(F.transform(lines_arr, lambda v: v[field])))
+
+    return per.select(
+        "l_orderkey", "rev_cents", "sum_line", "n_lines", "qty",
+        distinct_sorted("p_type").alias("types"),
+        distinct_sorted("r_name").alias("regions"),
+        distinct_sorted("s_nation").alias("nations"),
+        distinct_sorted("p_brand").alias("brands"),
+        F.array_sort(F.transform(lines_arr, lambda v: F.struct(v["name"].alias("name")))).alias("cast"),
+        F.array_sort(F.transform(lines_arr, lambda v: F.struct(v["job"].alias("job"),
+                                                               v["name"].alias("name")))).alias("crew"),
     )
 
 

@@ -4,6 +4,10 @@ This is deliberately a different formulation from the Spark side: no
 nested documents, no arrays, just joins, ``string_agg`` and CASE rules
 applied directly to the flat columns.  Every oracle query starts from the
 CTE chain below.
+
+``docs`` is MATERIALIZED: without it DuckDB 2.0.0 pushes null-rejecting
+filters through the left join and fails with an internal dictionary-cache
+error on the sf0.001 tables.
 """
 
 # Spark's round(x, 2) (half-up on the shortest decimal form) in DuckDB.
@@ -11,6 +15,16 @@ def r2(expr: str) -> str:
     return f"CAST(CAST(CAST({expr} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,2))::DOUBLE"
 
 
+def davg2(expr: str) -> str:
+    """Mean over exact decimals, rounded like Spark."""
+    return r2(f"AVG(CAST({expr} AS DECIMAL(38,10)))")
+
+
+def dsum2(expr: str) -> str:
+    """Sum over exact decimals, rounded half away from zero to 2 places."""
+    return f"CAST(SUM(CAST({expr} AS DECIMAL(38,10))) AS DECIMAL(38,2))::DOUBLE"
+
+
 PLACEHOLDERS = "('No Data', '', 'N/A', 'no data', 'NA')"
 
 LINES_CTE = """
@@ -38,7 +52,7 @@ agg AS (
     string_agg(CASE WHEN l_returnflag = 'R' THEN s_name END, '|' ORDER BY s_name) AS director_s
   FROM li GROUP BY k
 ),
-docs AS (
+docs AS MATERIALIZED (
   SELECT o.o_orderkey AS k, o.o_orderstatus, o.o_totalprice, o.o_orderdate,
          o.o_orderpriority, c.c_name, c.c_acctbal, c.c_mktsegment, cn.n_name AS cn,
          a.rev_cents, a.sum_line, a.n_lines, a.n_types, a.qty, a.genre_s, a.lang_s, a.country_s,

@@ -8,7 +8,7 @@ explicitly where a limit follows.
 
 from __future__ import annotations
 
-from oracle.base import r2, with_clean
+from oracle.base import davg2, dsum2, r2, with_clean
 
 
 def r6(expr: str) -> str:
@@ -105,17 +105,17 @@ FRANCHISE = f"""
 , cat AS (SELECT *, CASE WHEN belongs_to_collection IS NOT NULL THEN 'Franchise'
                          ELSE 'Standalone' END AS category FROM metrics)
 SELECT category, COUNT(*) AS movie_count,
-  {r2('AVG(revenue_musd)')} AS mean_revenue, {r2('AVG(budget_musd)')} AS mean_budget,
-  {r2('AVG(profit)')} AS mean_profit, {r2('AVG(roi)')} AS mean_roi,
-  {r2('AVG(popularity)')} AS mean_popularity, {r2('AVG(vote_average)')} AS mean_rating,
+  {davg2('revenue_musd')} AS mean_revenue, {davg2('budget_musd')} AS mean_budget,
+  {davg2('profit')} AS mean_profit, {davg2('roi')} AS mean_roi,
+  {davg2('popularity')} AS mean_popularity, {davg2('vote_average')} AS mean_rating,
   {r2('MEDIAN(roi)')} AS median_roi
 FROM cat GROUP BY category"""
 
 TOP_FRANCHISES = f"""
 SELECT belongs_to_collection, COUNT(*) AS total_movies,
-  {r2('SUM(budget_musd)')} AS total_budget, {r2('AVG(budget_musd)')} AS mean_budget,
-  {r2('SUM(revenue_musd)')} AS total_revenue, {r2('AVG(revenue_musd)')} AS mean_revenue,
-  {r2('AVG(vote_average)')} AS mean_rating
+  {dsum2('budget_musd')} AS total_budget, {davg2('budget_musd')} AS mean_budget,
+  {dsum2('revenue_musd')} AS total_revenue, {davg2('revenue_musd')} AS mean_revenue,
+  {davg2('vote_average')} AS mean_rating
 FROM metrics WHERE belongs_to_collection IS NOT NULL
 GROUP BY belongs_to_collection
 ORDER BY total_revenue DESC NULLS LAST, belongs_to_collection ASC LIMIT 10"""
@@ -126,8 +126,8 @@ def _top_directors(person: bool):
            "FROM metrics WHERE director IS NOT NULL AND director <> '')" if person else
            "(SELECT * FROM metrics WHERE director IS NOT NULL AND director <> '')")
     return with_clean(f"""
-SELECT director, COUNT(*) AS total_movies, {r2('SUM(revenue_musd)')} AS total_revenue,
-  {r2('AVG(revenue_musd)')} AS avg_revenue, {r2('AVG(vote_average)')} AS mean_rating
+SELECT director, COUNT(*) AS total_movies, {dsum2('revenue_musd')} AS total_revenue,
+  {davg2('revenue_musd')} AS avg_revenue, {davg2('vote_average')} AS mean_rating
 FROM {src} d GROUP BY director
 ORDER BY total_revenue DESC NULLS LAST, director ASC LIMIT 10""")
 
@@ -137,9 +137,9 @@ def _genre_kpis(explode: bool):
            "vote_average, popularity FROM metrics WHERE genres IS NOT NULL)" if explode else
            "(SELECT * FROM metrics WHERE genres IS NOT NULL)")
     return with_clean(f"""
-SELECT genres, COUNT(*) AS movie_count, {r2('AVG(revenue_musd)')} AS avg_revenue,
-  {r2('AVG(budget_musd)')} AS avg_budget, {r2('AVG(vote_average)')} AS avg_rating,
-  {r2('AVG(popularity)')} AS avg_popularity
+SELECT genres, COUNT(*) AS movie_count, {davg2('revenue_musd')} AS avg_revenue,
+  {davg2('budget_musd')} AS avg_budget, {davg2('vote_average')} AS avg_rating,
+  {davg2('popularity')} AS avg_popularity
 FROM {src} g GROUP BY genres
 ORDER BY avg_revenue DESC NULLS LAST, genres ASC LIMIT 10""")
 
@@ -152,10 +152,10 @@ BUDGET_BANDS = f"""
         WHEN budget_musd < 25 THEN '10-25' WHEN budget_musd < 40 THEN '25-40'
         ELSE '>=40' END AS band
    FROM metrics WHERE budget_musd IS NOT NULL)
-SELECT band_index, band, COUNT(*) AS movie_count, {r2('AVG(budget_musd)')} AS mean_budget,
-  {r2('AVG(revenue_musd)')} AS mean_revenue, {r2('AVG(profit)')} AS mean_profit,
-  {r2('AVG(roi)')} AS mean_roi, {r2('AVG(vote_average)')} AS mean_rating,
-  {r2('AVG(popularity)')} AS mean_popularity, {r2('MEDIAN(roi)')} AS median_roi
+SELECT band_index, band, COUNT(*) AS movie_count, {davg2('budget_musd')} AS mean_budget,
+  {davg2('revenue_musd')} AS mean_revenue, {davg2('profit')} AS mean_profit,
+  {davg2('roi')} AS mean_roi, {davg2('vote_average')} AS mean_rating,
+  {davg2('popularity')} AS mean_popularity, {r2('MEDIAN(roi)')} AS median_roi
 FROM b GROUP BY band_index, band"""
 
 ROI_VALUES = """
@@ -189,8 +189,8 @@ SELECT COUNT(*) AS n_values, {r6('MEDIAN(roi)')} AS median_roi FROM v HAVING COU
 FRANCHISE_SERIES = f"""
 , cat AS (SELECT *, CASE WHEN belongs_to_collection IS NOT NULL THEN 'Franchise'
                          ELSE 'Standalone' END AS category FROM metrics),
-r AS (SELECT category, {r2('AVG(revenue_musd)')} AS mean_revenue, {r2('AVG(budget_musd)')} AS mean_budget,
-        {r2('AVG(popularity)')} AS mean_popularity, {r2('AVG(vote_average)')} AS mean_rating
+r AS (SELECT category, {davg2('revenue_musd')} AS mean_revenue, {davg2('budget_musd')} AS mean_budget,
+        {davg2('popularity')} AS mean_popularity, {davg2('vote_average')} AS mean_rating
       FROM cat GROUP BY category)
 SELECT category, 'mean_revenue' AS metric, mean_revenue AS value FROM r
 UNION ALL SELECT category, 'mean_budget', mean_budget FROM r
