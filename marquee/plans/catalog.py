@@ -19,6 +19,7 @@ from marquee.operators.stats import correlations
 from marquee.plans import clean as P
 from marquee.plans import publish
 from marquee.plans.reports import SAVED_REPORTS, report_builders, run_isolated
+from marquee.plans.stages import clean_stage
 from marquee.plans.storage import scratch_path
 from marquee.schema import RAW_SCHEMA
 from marquee.sources.fixtures import payloads, raw_titles, request_ids
@@ -53,10 +54,17 @@ def _raw(spark, sf):
     return _plan(spark, sf, "raw", lambda: raw_titles(spark, sf))
 
 
-def _clean(spark, sf) -> DataFrame:
+def _clean_plan(spark, sf) -> DataFrame:
+    """The clean table computed from the raw tables (lazy plan)."""
     return _plan(spark, sf, "clean", lambda: P.clean_titles(_raw(spark, sf)))
 
 
+def _clean(spark, sf) -> DataFrame:
+    """The clean table as a materialised stage (built once, then read as
+    Parquet); reports run over it."""
+    return clean_stage(spark, sf)
+
+
 # --- sources -----------------------------------------------------------------
 
 def q_raw_scan(spark, sf):
@@ -71,7 +79,7 @@ def q_raw_scan(spark, sf):
 
 def q_clean_sample(spark, sf):
     path = scratch_path(spark, "clean")
-    _clean(spark, sf).write.parquet(path)
+    _clean_plan(spark, sf).write.parquet(path)
     return spark.read.parquet(path).select(
         "title", "genres", "belongs_to_collection", "budget_musd", "revenue_musd", "director")
 
@@ -171,7 +179,7 @@ def q_min_non_null(spark, sf):
 
 
 def q_clean_titles(spark, sf):
-    return _clean(spark, sf)
+    return _clean_plan(spark, sf)
 
 
 def q_schema_report(spark, sf):
@@ -313,15 +321,15 @@ def q_published_rankings(spark, sf):
 
 def q_published_clean(spark, sf):
     root = scratch_path(spark, "published")
-    publish.publish_table(_clean(spark, sf), root)
+    publish.publish_table(_clean_plan(spark, sf), root)
     return publish.read_published(spark, root)
 
 
 def q_idempotent_clean(spark, sf):
     path = scratch_path(spark, "stage")
-    first = publish.load_or_build(spark, path, lambda: _clean(spark, sf))
+    first = publish.load_or_build(spark, path, lambda: _clean_plan(spark, sf))
     # second call finds the complete output and reuses it without rebuilding
-    return publish.load_or_build(spark, path, lambda: _clean(spark, sf), schema=first.schema)
+    return publish.load_or_build(spark, path, lambda: _clean_plan(spark, sf), schema=first.schema)
 
 
 def q_checkpointed_clean(spark, sf):
