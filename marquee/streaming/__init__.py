@@ -1,0 +1,10 @@
+"""Incremental ingest of landed payload files with Structured Streaming.
+
+The source pipeline has no streaming semantics of its own; this applies the
+same cleaning to payload files as they land, with the batch order of steps
+kept (first copy of an id wins before the status filter).
+"""
+
+from marquee.streaming.landing import (  # noqa: F401
+    landed_documents, start_clean_ingest, read_ingested,
+)

@@ -19,6 +19,7 @@ def spark(tmp_path_factory):
     s = (SparkSession.builder.master("local[*]")
          .appName("marquee-tests")
          .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.driver.memory", "4g")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.session.timeZone", "UTC")
