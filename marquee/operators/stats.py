@@ -142,6 +142,8 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
             (F.col("_below") + F.col("_x1._before")).alias("_below"),
             F.col("_x1._c").alias("_cnt")).checkpoint(eager=True)
 
+    if not done:  # no values at all: an empty result with the right columns
+        done.append(state.select(*keys, F.lit(None).cast("double").alias(out_col)).limit(0))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)

@@ -124,3 +124,9 @@ def test_franchise_median_approx_option(small_clean):
     assert set(exact) == set(approx)
     for k in exact:
         assert abs(exact[k] - approx[k]) < 0.5
+
+
+def test_exact_median_empty_input(spark):
+    df = spark.createDataFrame([], "g string, v double")
+    assert exact_median(df, "v", ["g"]).collect() == []
+    assert exact_median(df, "v").collect() == []
