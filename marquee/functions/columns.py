@@ -47,8 +47,16 @@ def role_names(crew, role: str = "Director", sep: str = "|") -> Column:
 
 
 def size_or_zero(c) -> Column:
-    """Array length with null counted as 0 (``size(null)`` is null under ANSI)."""
-    return F.coalesce(F.size(_c(c)), F.lit(0))
+    """Array length with null counted as 0.  (``size(null)`` is null under
+    ANSI mode but -1 otherwise, so null is tested explicitly.)"""
+    arr = _c(c)
+    return F.when(arr.isNull(), F.lit(0)).otherwise(F.size(arr))
+
+
+def size_or_null(c) -> Column:
+    """Array length, null for a null array, in either ANSI mode."""
+    arr = _c(c)
+    return F.when(arr.isNotNull(), F.size(arr))
 
 
 def nonzero(c) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from marquee.config import DEFAULTS
 from marquee.operators import charts, cohorts, ingest, quality, rankings, search
 from marquee.operators import clean as C
+from marquee.functions.columns import size_or_null
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import correlations
 from marquee.plans import clean as P
@@ -72,8 +73,8 @@ def q_raw_scan(spark, sf):
     publish.write_documents(_raw(spark, sf), path)
     docs = read_documents(spark, path, schema=RAW_SCHEMA, keep_corrupt=False)
     return docs.select("id", "title", "status",
-                       F.size("genres").alias("genre_count"),
-                       F.size("cast").alias("cast_count"),
+                       size_or_null("genres").alias("genre_count"),
+                       size_or_null("cast").alias("cast_count"),
                        F.col("belongs_to_collection.name").alias("collection"))
 
 
@@ -96,9 +97,9 @@ def q_request_summary(spark, sf):
 
 def q_hoist_credits(spark, sf):
     h = C.hoist_credits(payloads(spark, sf))
-    return h.select("id", F.size("cast").alias("cast_count"),
+    return h.select("id", size_or_null("cast").alias("cast_count"),
                     F.concat_ws("|", F.transform("cast", lambda x: x["name"])).alias("cast_names"),
-                    F.size("crew").alias("crew_count"))
+                    size_or_null("crew").alias("crew_count"))
 
 
 def q_ingest_valid(spark, sf):
