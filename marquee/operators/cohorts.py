@@ -10,6 +10,8 @@ reported values do not depend on the partitioning.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,6 @@ r2 = lambda c: F.round(c, 2)
 
 
 def _explode_tokens(df: DataFrame, column: str, sep: str) -> DataFrame:
-    import re
     return df.withColumn(column, F.explode(F.split(F.col(column), re.escape(sep))))
 
 

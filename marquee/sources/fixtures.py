@@ -171,7 +171,7 @@ def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
         if f.name == "credits":
             cols.append(credits.cast(f.dataType).alias("credits"))
         elif f.name in ("cast", "crew"):
-            cols.append(F.when(~under | under.isNull(), F.col(f.name)).alias(f.name))
+            cols.append(F.when(~under, F.col(f.name)).alias(f.name))
         else:
             cols.append(F.col(f.name))
     return r.select(*cols)

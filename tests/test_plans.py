@@ -49,3 +49,13 @@ def test_clean_has_one_dedupe(spark):
     # analyzed plan: unaffected by cached identical plans in this session
     analyzed = df._jdf.queryExecution().analyzed().toString()
     assert analyzed.count("Deduplicate [id") == 1
+
+
+def test_dedupe_combines_before_the_shuffle(spark):
+    from marquee.operators.clean import dedupe_by_id
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id int, title string")
+    for d in (dedupe_by_id(df), dedupe_by_id(df, prefer=["title"])):
+        p = plan(d)
+        exch = p.index("Exchange")
+        # a partial aggregate sits below (after, in the tree string) the exchange
+        assert "Aggregate" in p[exch:], p

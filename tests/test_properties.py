@@ -3,9 +3,12 @@
 import random
 import statistics
 
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
 from pyspark.sql import functions as F
 
-from marquee.operators import charts, rankings, search
+from marquee.operators import charts, cohorts, rankings, search
 from marquee.operators.stats import exact_median
 from marquee.plans import publish
 from marquee.plans.storage import scratch_path
@@ -116,11 +119,9 @@ def test_publish_swaps_pointer(spark, small_clean):
 
 
 def test_franchise_median_approx_option(small_clean):
-    exact = {r.category: r.median_roi for r in
-             __import__("marquee.operators.cohorts", fromlist=["x"]).franchise_vs_standalone(small_clean).collect()}
-    approx = {r.category: r.median_roi for r in
-              __import__("marquee.operators.cohorts", fromlist=["x"]).franchise_vs_standalone(
-                  small_clean, approx=True).collect()}
+    exact = {r.category: r.median_roi for r in cohorts.franchise_vs_standalone(small_clean).collect()}
+    approx = {r.category: r.median_roi
+              for r in cohorts.franchise_vs_standalone(small_clean, approx=True).collect()}
     assert set(exact) == set(approx)
     for k in exact:
         assert abs(exact[k] - approx[k]) < 0.5
@@ -130,3 +131,15 @@ def test_exact_median_empty_input(spark):
     df = spark.createDataFrame([], "g string, v double")
     assert exact_median(df, "v", ["g"]).collect() == []
     assert exact_median(df, "v").collect() == []
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(st.one_of(st.integers(-50, 50).map(float),
+                          st.floats(-1e6, 1e6, allow_nan=False, allow_infinity=False)),
+                min_size=1, max_size=120),
+       st.integers(2, 6))
+def test_exact_median_matches_statistics(spark, values, pivots):
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_median(df, "v", threshold=5, pivots=pivots).first()[0]
+    want = statistics.median(values)
+    assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
