@@ -19,7 +19,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
-        # only when nothing is configured (local runs): a folder of our own,
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder is invisible to other executors
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        # local runs with nothing configured (tests): a folder of our own,
         # registered as the checkpoint directory so later calls agree
         d = tempfile.mkdtemp(prefix="marquee-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
