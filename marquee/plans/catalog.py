@@ -267,6 +267,11 @@ def q_chart_revenue_budget_grid(spark, sf):
                               "budget_musd", "revenue_musd", bins=20)
 
 
+def q_chart_popularity_rating_grid(spark, sf):
+    return charts.grid_counts(charts.popularity_rating_points(_clean(spark, sf)),
+                              "vote_average", "popularity", bins=20)
+
+
 def q_chart_break_even(spark, sf):
     return charts.break_even(_clean(spark, sf))
 
@@ -403,6 +408,7 @@ def catalog() -> dict:
         "chart_franchise_comparison": q_chart_franchise_comparison,
         "chart_top_franchises": q_chart_top_franchises,
         "chart_popularity_rating": q_chart_popularity_rating,
+        "chart_popularity_rating_grid": q_chart_popularity_rating_grid,
         "chart_genre_distribution": q_chart_genre_distribution,
         "published_rankings": q_published_rankings,
         "published_clean": q_published_clean,

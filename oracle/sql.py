@@ -197,6 +197,10 @@ UNION ALL SELECT category, 'mean_budget', mean_budget FROM r
 UNION ALL SELECT category, 'mean_popularity', mean_popularity FROM r
 UNION ALL SELECT category, 'mean_rating', mean_rating FROM r"""
 
+def _grid(x: str, y: str) -> str:
+    return GRID.replace("budget_musd", x).replace("revenue_musd", y)
+
+
 GRID = """
 , p AS (SELECT budget_musd AS x, revenue_musd AS y FROM clean
         WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL),
@@ -292,6 +296,7 @@ def queries() -> dict:
         "SELECT id, title, budget_musd, revenue_musd FROM clean "
         "WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL")
     q["chart_revenue_budget_grid"] = with_clean(GRID)
+    q["chart_popularity_rating_grid"] = with_clean(_grid("vote_average", "popularity"))
     q["chart_break_even"] = with_clean(
         "SELECT COUNT(*) AS points, GREATEST(MAX(budget_musd), MAX(revenue_musd)) AS max_value "
         "FROM clean WHERE budget_musd IS NOT NULL AND revenue_musd IS NOT NULL")
