@@ -93,6 +93,6 @@ def split_corrupt(docs: DataFrame):
     """(good, quarantined): rows whose ``_corrupt_record`` is set are
     quarantined with their text; good rows lose the column."""
     if CORRUPT_COLUMN not in docs.columns:
-        return docs, docs.limit(0)
+        return docs, docs.filter(F.lit(False))
     bad = F.col(CORRUPT_COLUMN).isNotNull()
     return docs.filter(~bad).drop(CORRUPT_COLUMN), docs.filter(bad)

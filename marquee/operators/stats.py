@@ -90,7 +90,7 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
             break
         last = round_no == max_rounds
         small = state.filter(F.col("_cnt") <= threshold) if not last else state
-        big = state.filter(F.col("_cnt") > threshold) if not last else state.limit(0)
+        big = state.filter(F.col("_cnt") > threshold) if not last else state.filter(F.lit(False))
 
         # finish groups whose interval is small: rank just those values
         sub = _join_state(base, small, keys, n_state).filter(_in_interval())
@@ -143,7 +143,7 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
             F.col("_x1._c").alias("_cnt")).checkpoint(eager=True)
 
     if not done:  # no values at all: an empty result with the right columns
-        done.append(state.select(*keys, F.lit(None).cast("double").alias(out_col)).limit(0))
+        done.append(state.select(*keys, F.lit(None).cast("double").alias(out_col)).filter(F.lit(False)))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
