@@ -62,13 +62,24 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_version(df: DataFrame, root: str, version: str | None = None) -> str:
+    """Write ``df`` as a new, not yet current, version under ``root``."""
+    version = version or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/v={version}")
+    return version
+
+
 def publish_table(df: DataFrame, root: str, version: str | None = None) -> str:
     """Write ``df`` as ``root/v=<version>`` and point ``root/_CURRENT`` at it."""
-    spark = df.sparkSession
     root = root.rstrip("/")
-    version = version or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
-    target = f"{root}/v={version}"
-    df.write.mode("errorifexists").parquet(target)
+    version = write_version(df, root, version)
+    point_to(df.sparkSession, root, version)
+    return f"{root}/v={version}"
+
+
+def point_to(spark: SparkSession, root: str, version: str) -> None:
+    """Make ``version`` current: write the pointer aside, then replace it."""
+    root = root.rstrip("/")
     tmp = f"{root}/.{POINTER}.{uuid.uuid4().hex[:8]}"
     _write_text(spark, tmp, version)
     fs, dst = _fs(spark, f"{root}/{POINTER}")
@@ -78,7 +89,6 @@ def publish_table(df: DataFrame, root: str, version: str | None = None) -> str:
         fs.delete(dst, False)
     if not fs.rename(src, dst):
         raise IOError(f"could not publish pointer {root}/{POINTER}")
-    return target
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:

@@ -27,3 +27,17 @@ def test_run_end_to_end(spark):
     second = run(spark, f"{landing}/*", out)
     assert second["quarantined"] is None          # clean stage reused
     assert publish.read_published(spark, f"{out}/clean").count() == 473
+
+
+def test_failed_quality_gate_keeps_previous_version(spark):
+    import pytest
+    from marquee.operators.quality import ValidationError
+    from marquee.plans.jobs import build_clean
+
+    landing = scratch_path(spark, "t-job-bad")
+    spark.createDataFrame([('{"id": 1, "title": "t", "status": "Planned"}',)], "value string") \
+        .write.text(landing)
+    out = scratch_path(spark, "t-job-bad-out")
+    with pytest.raises(ValidationError):
+        build_clean(spark, landing, out)
+    assert publish.current_version(spark, f"{out}/clean") is None
