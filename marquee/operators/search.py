@@ -18,7 +18,7 @@ def _matches(column: str, needle: str, match: str, sep: str):
 
 
 def search(df: DataFrame, all_of: dict, order_by=None, ascending: bool = True, select=None,
-           match: str = "substring", sep: str = "|") -> DataFrame:
+           match: str = "substring", sep: str = "|", tiebreak: str = "id") -> DataFrame:
     """Rows where every needle occurs in its column.
 
     ``match='substring'`` is case-sensitive containment in the joined string
@@ -36,7 +36,12 @@ def search(df: DataFrame, all_of: dict, order_by=None, ascending: bool = True, s
             cond = cond & _matches(column, n, match, sep)
     out = df.filter(cond)
     if order_by is not None:
-        out = out.orderBy(F.col(order_by).asc() if ascending else F.col(order_by).desc())
+        order = [F.col(order_by).asc() if ascending else F.col(order_by).desc()]
+        if tiebreak and tiebreak in df.columns and tiebreak != order_by:
+            # a unique tiebreak lets the range partitioner split a run of equal
+            # sort values across tasks instead of sending it to one
+            order.append(F.col(tiebreak).asc())
+        out = out.orderBy(*order)
     if select is not None:
         out = out.select(*select)
     return out
