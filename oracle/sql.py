@@ -225,6 +225,41 @@ outcome AS (SELECT v.id, CASE WHEN p.id IS NOT NULL THEN 'extracted' ELSE 'faile
             FROM valid v LEFT JOIN payload_ids p ON p.id = v.id)"""
 
 
+# Reports run by ``report_status`` (names as the bundle calls them) and the
+# oracle query whose row count each must have.
+REPORT_BUNDLE = [(f"ranking_{n}", f"ranking_{n}") for n, *_ in RANKINGS] + [
+    ("search_genres_cast", "search_genres_cast"),
+    ("search_cast_director", "search_cast_director"),
+    ("franchise_comparison", "franchise_vs_standalone"),
+    ("top_franchises", "top_franchises"),
+    ("top_directors", "top_directors"),
+    ("genre_kpis", "genre_combination_kpis"),
+    ("budget_band_kpis", None),
+    ("chart_revenue_budget", "chart_revenue_budget"),
+    ("chart_break_even", "chart_break_even"),
+    ("chart_roi_histogram", "chart_roi_histogram"),
+    ("chart_roi_median", "chart_roi_median"),
+    ("chart_popularity_rating", "chart_popularity_rating"),
+    ("chart_genre_distribution", "chart_genre_distribution"),
+]
+
+# the bundle's budget bands use the default edges 10, 50, 100, 200
+DEFAULT_BANDS = with_clean("""
+, b AS (SELECT CASE WHEN budget_musd < 10 THEN 0 WHEN budget_musd < 50 THEN 1
+                    WHEN budget_musd < 100 THEN 2 WHEN budget_musd < 200 THEN 3 ELSE 4 END AS band_index
+        FROM metrics WHERE budget_musd IS NOT NULL)
+SELECT DISTINCT band_index FROM b""")
+
+
+def _report_status(q: dict) -> str:
+    parts = []
+    for name, key in REPORT_BUNDLE:
+        sql = q[key] if key else DEFAULT_BANDS
+        parts.append(f"SELECT '{name}' AS report, 'ok' AS status, "
+                     f"(SELECT COUNT(*) FROM ({sql}) t) AS rows, CAST(NULL AS VARCHAR) AS error")
+    return "\nUNION ALL\n".join(parts)
+
+
 def queries() -> dict:
     q = {}
     q["clean_titles"] = with_clean(f"SELECT {CLEAN_COLS} FROM clean")
@@ -337,4 +372,5 @@ FROM outcome"""
 SELECT part, COUNT(*) AS rows,
   CASE WHEN part = 'good' THEN COUNT(rid) ELSE 0 END AS rows_with_id
 FROM p GROUP BY part""")
+    q["report_status"] = _report_status(q)
     return q
