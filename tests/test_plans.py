@@ -59,3 +59,17 @@ def test_dedupe_combines_before_the_shuffle(spark):
         exch = p.index("Exchange")
         # a partial aggregate sits below (after, in the tree string) the exchange
         assert "Aggregate" in p[exch:], p
+
+
+def test_clean_over_documents_has_one_shuffle(spark):
+    from marquee.plans.clean import clean_titles
+    from marquee.plans.storage import scratch_path
+    from marquee.sources.fixtures import payloads
+    from marquee.sources.readers import read_documents
+    path = scratch_path(spark, "t-docs")
+    payloads(spark, SF_SMALL).write.json(path)
+    df = clean_titles(read_documents(spark, path))
+    df.write.format("noop").mode("overwrite").save()
+    p = plan(df)
+    assert p.count("Exchange hashpartitioning") == 1, p
+    assert "BroadcastExchange" not in p
