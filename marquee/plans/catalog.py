@@ -55,6 +55,10 @@ def _raw(spark, sf):
     return _plan(spark, sf, "raw", lambda: raw_titles(spark, sf))
 
 
+def _payloads(spark, sf) -> DataFrame:
+    return _plan(spark, sf, "payloads", lambda: payloads(spark, sf, raw=_raw(spark, sf)))
+
+
 def _clean_plan(spark, sf) -> DataFrame:
     """The clean table computed from the raw tables (lazy plan)."""
     return _plan(spark, sf, "clean", lambda: P.clean_titles(_raw(spark, sf)))
@@ -96,30 +100,30 @@ def q_request_summary(spark, sf):
 
 
 def q_hoist_credits(spark, sf):
-    h = C.hoist_credits(payloads(spark, sf))
+    h = C.hoist_credits(_payloads(spark, sf))
     return h.select("id", size_or_null("cast").alias("cast_count"),
                     F.concat_ws("|", F.transform("cast", lambda x: x["name"])).alias("cast_names"),
                     size_or_null("crew").alias("crew_count"))
 
 
 def q_ingest_valid(spark, sf):
-    return ingest.first_copy_per_id(payloads(spark, sf)).select("id", "title", "status")
+    return ingest.first_copy_per_id(_payloads(spark, sf)).select("id", "title", "status")
 
 
 def q_ingest_outcomes(spark, sf):
-    return ingest.outcomes(request_ids(spark, sf), ingest.first_copy_per_id(payloads(spark, sf)))
+    return ingest.outcomes(request_ids(spark, sf), ingest.first_copy_per_id(_payloads(spark, sf)))
 
 
 def q_ingest_summary(spark, sf):
     return ingest.outcome_summary(request_ids(spark, sf),
-                                  ingest.first_copy_per_id(payloads(spark, sf)))
+                                  ingest.first_copy_per_id(_payloads(spark, sf)))
 
 
 def q_quarantine(spark, sf):
     """Land payloads as JSON text with planted faults (a text id for
     k % 37 = 0, a cut-off line for k % 41 = 0), read them back under the
     declared schema and split good from quarantined rows."""
-    p = payloads(spark, sf)
+    p = _payloads(spark, sf)
     js = F.to_json(F.struct(*[F.col(c) for c in p.columns]))
     k = F.col("id")
     text = (F.when(k % 41 == 0, F.substring(js, 1, 40))
@@ -345,7 +349,7 @@ def q_checkpointed_clean(spark, sf):
 
 def q_raw_roundtrip(spark, sf):
     path = scratch_path(spark, "landed")
-    publish.write_documents(payloads(spark, sf), path)
+    publish.write_documents(_payloads(spark, sf), path)
     return P.clean_titles(read_documents(spark, path, keep_corrupt=False))
 
 

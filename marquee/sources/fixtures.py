@@ -160,10 +160,10 @@ def raw_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
                       for c in RAW_SCHEMA.fieldNames()])
 
 
-def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def payloads(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) -> DataFrame:
     """Landed extractor payloads: ``raw_titles`` with cast and crew moved
     under ``credits`` for k % 3 = 0 (the pre-hoist form)."""
-    r = raw_titles(spark, sf_dir)
+    r = raw if raw is not None else raw_titles(spark, sf_dir)
     under = F.col("id").isNotNull() & (F.col("id") % 3 == 0)
     credits = F.when(under, F.struct(F.col("cast").alias("cast"), F.col("crew").alias("crew")))
     cols = []
