@@ -51,10 +51,25 @@ def ranking_specs(settings: Settings = DEFAULTS):
     return [(n, m, a, _extra_filter(k, settings)) for n, m, a, k in RANKING_TABLE]
 
 
+def _implied(metric: str, columns):
+    """Predicates on stored columns implied by ``metric IS NOT NULL`` for the
+    derived metrics; unlike the derived expression they reach the Parquet
+    scan as pushed filters."""
+    if metric == "roi" and {"revenue_musd", "budget_musd"} <= set(columns):
+        return F.col("revenue_musd").isNotNull() & (F.col("budget_musd") > 0)
+    if metric == "profit" and {"revenue_musd", "budget_musd"} <= set(columns):
+        return F.col("revenue_musd").isNotNull() & F.col("budget_musd").isNotNull()
+    return None
+
+
 def rank_by_metric(df: DataFrame, metric: str, ascending: bool = False, filter_expr=None,
                    top_n=None, tiebreak: str = "id", settings: Settings = DEFAULTS) -> DataFrame:
     n = resolve_top_n(top_n, settings)
-    out = df.filter(F.col(metric).isNotNull())
+    out = df
+    implied = _implied(metric, df.columns)
+    if implied is not None:
+        out = out.filter(implied)
+    out = out.filter(F.col(metric).isNotNull())
     if filter_expr is not None:
         out = out.filter(filter_expr)
     order = [F.col(metric).asc() if ascending else F.col(metric).desc()]
