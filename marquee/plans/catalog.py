@@ -343,8 +343,7 @@ def q_idempotent_clean(spark, sf):
 
 
 def q_checkpointed_clean(spark, sf):
-    released = publish.checkpoint(P.released(_raw(spark, sf)), "after dedupe")
-    return released.transform(C.min_non_null, DEFAULTS).transform(C.reorder, DEFAULTS)
+    return P.clean_titles(_raw(spark, sf), checkpoints=P.CHECKPOINT_SITES)
 
 
 def q_raw_roundtrip(spark, sf):
