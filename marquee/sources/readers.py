@@ -56,3 +56,25 @@ def read_documents(spark: SparkSession, path, schema=PAYLOAD_SCHEMA,
     else:
         reader = reader.schema(schema)
     return reader.json(path)
+
+
+def landed_documents_or_none(spark: SparkSession, path: str, **kw):
+    """Landed documents when ``path`` holds at least one non-empty file,
+    else None (the caller then has to land data first)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        statuses = fs.globStatus(p)
+    except Exception:  # noqa: BLE001 - unreadable location: nothing landed
+        return None
+    if not statuses:
+        return None
+    for st in statuses:
+        files = fs.listFiles(st.getPath(), True)
+        while files.hasNext():
+            f = files.next()
+            name = f.getPath().getName()
+            if f.getLen() > 0 and not name.startswith(("_", ".")):
+                return read_documents(spark, path, **kw)
+    return None
