@@ -20,7 +20,8 @@ from marquee.functions.columns import category, exact_avg, exact_sum
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import exact_median
 
-r2 = lambda c: F.round(c, 2)
+def r2(c):
+    return F.round(c, 2)
 
 
 def _explode_tokens(df: DataFrame, column: str, sep: str) -> DataFrame:
