@@ -64,7 +64,7 @@ def _rankings_long(with_rank=True):
         order = f"{metric} {'ASC' if asc else 'DESC'}, id ASC"
         parts.append(
             f"SELECT * FROM (SELECT '{name}' AS ranking, "
-            f"row_number() OVER (ORDER BY {order}) AS rank, title, "
+            f"CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS rank, title, "
             f"CAST({metric} AS DOUBLE) AS value, release_date, genres FROM metrics "
             f"WHERE {where}) WHERE rank <= 10")
     body = "\nUNION ALL\n".join(parts)
