@@ -356,7 +356,8 @@ def q_report_status(spark, sf):
     clean = _clean(spark, sf).persist()
     try:
         rows = run_isolated(report_builders(clean, genres=E1_GENRES, cast=E1_CAST,
-                                            pair_cast=E2_CAST, pair_director=E2_DIRECTOR))
+                                            pair_cast=E2_CAST, pair_director=E2_DIRECTOR),
+                            parallelism=4)
     finally:
         clean.unpersist()
     schema = "report string, status string, rows long, error string"

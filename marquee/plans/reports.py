@@ -41,16 +41,29 @@ def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
     return b
 
 
-def run_isolated(builders: dict, action=None) -> list:
-    """Build and act on each report; a failure is recorded and the next
-    report still runs.  Returns rows (report, status, rows, error)."""
-    out = []
-    for name, build in builders.items():
-        try:
-            df = build()
-            n = action(name, df) if action is not None else df.count()
-            out.append((name, "ok", int(n) if n is not None else None, None))
-        except Exception as e:  # noqa: BLE001 - isolation is the point
-            log.error("report %s failed: %s", name, e)
-            out.append((name, "failed", None, f"{type(e).__name__}: {str(e)[:500]}"))
-    return out
+def _run_one(name, build, action):
+    try:
+        df = build()
+        n = action(name, df) if action is not None else df.count()
+        return (name, "ok", int(n) if n is not None else None, None)
+    except Exception as e:  # noqa: BLE001 - isolation is the point
+        log.error("report %s failed: %s", name, e)
+        return (name, "failed", None, f"{type(e).__name__}: {str(e)[:500]}")
+
+
+def run_isolated(builders: dict, action=None, parallelism: int = 1) -> list:
+    """Build and act on each report; a failure is recorded and the other
+    reports still run.  Returns rows (report, status, rows, error) in the
+    builders' order.
+
+    With ``parallelism > 1`` reports are submitted from that many driver
+    threads, so several small report jobs share the cluster at once (Spark
+    schedules concurrent jobs; each thread keeps its own job group).
+    """
+    items = list(builders.items())
+    if parallelism <= 1 or len(items) <= 1:
+        return [_run_one(n, b, action) for n, b in items]
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+        futures = [pool.submit(_run_one, n, b, action) for n, b in items]
+        return [f.result() for f in futures]
