@@ -137,21 +137,26 @@ def nullify(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 def dedupe_by_id(df: DataFrame, prefer=None) -> DataFrame:
     """One row per id; null ids count as equal.
 
-    ``prefer=None`` keeps an arbitrary survivor (``dropDuplicates``).  With
-    ``prefer`` (column names or Column expressions, compared ascending; to
-    prefer larger numbers pass their negation, or map categories to ranks
-    with ``when``) the survivor is the smallest by ``prefer`` and then by the
-    whole row, so it is deterministic.  Both are
-    hash aggregates with a map-side partial step, so a hot id is collapsed
-    before the shuffle and never lands whole in one task.
+    ``prefer=None`` keeps an arbitrary survivor, as ``dropDuplicates`` does,
+    but takes ``first`` of the whole row packed in one struct: every column
+    of the survivor comes from the same row, and one aggregate buffer per
+    key is cheaper than one per column.  With ``prefer`` (column names or
+    Column expressions, compared ascending; to prefer larger numbers pass
+    their negation, or map categories to ranks with ``when``) the survivor
+    is the smallest by ``prefer`` and then by the whole row, so it is
+    deterministic.  Both are aggregates with a map-side partial step, so a
+    hot id is collapsed before the shuffle and never lands whole in one
+    task.
     """
-    if prefer is None:
-        return df.dropDuplicates(["id"])
-    prefer = [prefer] if isinstance(prefer, (str,)) or not hasattr(prefer, "__iter__") else prefer
     rest = [c for c in df.columns if c != "id"]
     row = F.struct(*[F.col(c) for c in rest])
-    key = F.struct(*[F.col(p) if isinstance(p, str) else p for p in prefer], row.alias("_all"))
-    return (df.groupBy("id").agg(F.min_by(row, key).alias("_row"))
+    if prefer is None:
+        picked = F.first(row)
+    else:
+        prefer = [prefer] if isinstance(prefer, str) or not hasattr(prefer, "__iter__") else prefer
+        key = F.struct(*[F.col(p) if isinstance(p, str) else p for p in prefer], row.alias("_all"))
+        picked = F.min_by(row, key)
+    return (df.groupBy("id").agg(picked.alias("_row"))
             .select("id", *[F.col(f"_row.{c}").alias(c) for c in rest]))
 
 

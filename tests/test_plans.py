@@ -48,7 +48,7 @@ def test_clean_has_one_dedupe(spark):
     df = catalog()["clean_titles"](spark, SF_SMALL)
     # analyzed plan: unaffected by cached identical plans in this session
     analyzed = df._jdf.queryExecution().analyzed().toString()
-    assert analyzed.count("Deduplicate [id") == 1
+    assert analyzed.count("Aggregate [id") == 1
 
 
 def test_dedupe_combines_before_the_shuffle(spark):
