@@ -131,21 +131,26 @@ def band_index(edges) -> "F.Column":
     return expr.otherwise(F.lit(len(edges)))
 
 
-def budget_band_kpis(df: DataFrame, edges=None, median: bool = True,
+def budget_band_kpis(df: DataFrame, edges=None, median: bool = True, approx: bool = False,
                      settings: Settings = DEFAULTS) -> DataFrame:
-    """KPIs per budget band (titles with a known budget)."""
+    """KPIs per budget band (titles with a known budget); ``median_roi`` is
+    exact and distributed, or ``percentile_approx`` with ``approx=True``."""
     edges = edges or settings.budget_band_edges
     m = (with_metrics(df).filter(F.col("budget_musd").isNotNull())
          .withColumn("band", budget_band(edges)).withColumn("band_index", band_index(edges)))
-    out = m.groupBy("band_index", "band").agg(
+    aggs = [
         F.count(F.lit(1)).alias("movie_count"),
         exact_avg("budget_musd").alias("mean_budget"),
         exact_avg("revenue_musd").alias("mean_revenue"),
         exact_avg("profit").alias("mean_profit"),
         exact_avg("roi").alias("mean_roi"),
         exact_avg("vote_average").alias("mean_rating"),
-        exact_avg("popularity").alias("mean_popularity"))
-    if median:
+        exact_avg("popularity").alias("mean_popularity"),
+    ]
+    if median and approx:
+        aggs.append(r2(F.percentile_approx("roi", 0.5)).alias("median_roi"))
+    out = m.groupBy("band_index", "band").agg(*aggs)
+    if median and not approx:
         med = exact_median(m, "roi", ["band_index"], out_col="median_roi")
         out = out.join(med.select("band_index", r2(F.col("median_roi")).alias("median_roi")),
                        "band_index", "left")
