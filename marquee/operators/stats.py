@@ -58,11 +58,14 @@ def exact_median(df: DataFrame, value: str, group_cols=(), threshold: int = 200_
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     gcols = list(group_cols)
-    keys = gcols if gcols else ["_g"]
-    gexprs = [F.col(c) for c in gcols] if gcols else [F.lit(0).alias("_g")]
+    # The group travels as one struct key: it is never null itself and struct
+    # equality treats null fields as equal, so a null group is joined back to
+    # its state like any other instead of dropping out of the equi-joins.
+    keys = ["_g"]
+    fields = [F.col(c) for c in gcols] if gcols else [F.lit(0).alias("_all")]
     # Only (group, value) is kept, and it is persisted: every round reads it
     # again.  Blocks lost with an executor are recomputed from lineage.
-    base = (df.select(*gexprs, F.col(value).cast("double").alias("_v"))
+    base = (df.select(F.struct(*fields).alias("_g"), F.col(value).cast("double").alias("_v"))
             .filter(F.col("_v").isNotNull())
             .persist(StorageLevel.MEMORY_AND_DISK))
     try:
@@ -147,7 +150,9 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
-    return out.select(*gcols, out_col) if gcols else out.select(out_col)
+    if gcols:
+        return out.select(*[F.col("_g").getField(c).alias(c) for c in gcols], out_col)
+    return out.select(out_col)
 
 
 def correlations(df: DataFrame, columns, decimals: int = 6) -> DataFrame:

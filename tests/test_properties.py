@@ -143,3 +143,11 @@ def test_exact_median_matches_statistics(spark, values, pivots):
     got = exact_median(df, "v", threshold=5, pivots=pivots).first()[0]
     want = statistics.median(values)
     assert abs(got - want) <= 1e-9 * max(1.0, abs(want))
+
+
+def test_exact_median_null_group(spark):
+    rows = [(None, 1.0), (None, 3.0), ("a", 5.0), ("a", 7.0), ("a", 9.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for kw in ({}, {"threshold": 1, "pivots": 2}):
+        got = {r.g: r.median for r in exact_median(df, "v", ["g"], **kw).collect()}
+        assert got == {None: 2.0, "a": 7.0}, kw
