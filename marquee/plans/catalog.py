@@ -1,9 +1,12 @@
 """Registered queries: ``name -> f(spark, sf_dir) -> DataFrame``.
 
 Every query derives its input from the star-schema tables in ``sf_dir``
-(through the title fixture), so its work grows with them.  Queries that
-exercise sinks write under a fresh directory in the session's shared
-folder (``spark.checkpoint.dir``) and read the result back.
+(through the title fixture), so its work grows with them.  Stage queries
+(``flatten_*``, ``typed_titles``, ``clean_titles``, ...) compute from the raw
+tables; report queries read the clean table as a materialised stage built
+once from those tables (``plans.stages``), as production reports read the
+published table.  Queries that exercise sinks write under a fresh directory
+in the session's shared folder (``spark.checkpoint.dir``) and read back.
 """
 
 from __future__ import annotations
@@ -12,9 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.config import DEFAULTS
+from marquee.functions.columns import size_or_null
 from marquee.operators import charts, cohorts, ingest, quality, rankings, search
 from marquee.operators import clean as C
-from marquee.functions.columns import size_or_null
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import correlations
 from marquee.plans import clean as P
