@@ -76,8 +76,11 @@ def exact_median(df: DataFrame, value: str, group_cols=(), threshold: int = 200_
 
 
 def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col):
-
-    state = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
+    # Checkpoints (reliable, in the shared folder) are taken only where a
+    # frame is computed from the data: the finished medians and the
+    # per-group bucket picks.  Frames derived from those by filter/select
+    # already have short lineage; the first per-group counts are persisted.
+    state0 = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
              .select(*keys,
                      F.floor((F.col("_cnt") - 1) / 2).cast("long").alias("_r1"),
                      F.floor(F.col("_cnt") / 2).cast("long").alias("_r2"),
@@ -85,7 +88,14 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
                      F.lit(None).cast("double").alias("_hi"),
                      F.lit(0).cast("long").alias("_below"),
                      F.col("_cnt").cast("long").alias("_cnt"))
-             .checkpoint(eager=True))
+              .persist())
+    try:
+        return _rounds(base, state0, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col)
+    finally:
+        state0.unpersist()
+
+
+def _rounds(base, state, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col):
     done = []
     for round_no in range(max_rounds + 1):
         n_state = state.count()
@@ -112,9 +122,7 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
         # narrow large intervals with approximate cut points + exact counts
         sub = _join_state(base, big, keys, n_big).filter(_in_interval())
         cuts = [i / pivots for i in range(1, pivots)]
-        piv = (sub.groupBy(*keys)
-               .agg(F.percentile_approx("_v", cuts, accuracy).alias("_piv"))
-               .checkpoint(eager=True))
+        piv = sub.groupBy(*keys).agg(F.percentile_approx("_v", cuts, accuracy).alias("_piv"))
         buckets = (_join_state(sub.select(*keys, "_v"), piv, keys, n_big)
                    .select(*keys, "_v", F.size(F.filter("_piv", lambda p: p < F.col("_v"))).alias("_b"))
                    .groupBy(*keys, "_b")
@@ -139,11 +147,11 @@ def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rou
         constant = F.col("_x1._mn") == F.col("_x1._mx")
         done.append(per_group.filter(split | constant).select(
             *keys, F.when(split, (F.col("_x1._mx") + F.col("_x2._mn")) / 2)
-            .otherwise(F.col("_x1._mn")).alias(out_col)).checkpoint(eager=True))
+            .otherwise(F.col("_x1._mn")).alias(out_col)))
         state = per_group.filter(~split & ~constant).select(
             *keys, "_r1", "_r2", F.col("_x1._mn").alias("_lo"), F.col("_x1._mx").alias("_hi"),
             (F.col("_below") + F.col("_x1._before")).alias("_below"),
-            F.col("_x1._c").alias("_cnt")).checkpoint(eager=True)
+            F.col("_x1._c").alias("_cnt"))
 
     if not done:  # no values at all: an empty result with the right columns
         done.append(state.select(*keys, F.lit(None).cast("double").alias(out_col)).filter(F.lit(False)))
