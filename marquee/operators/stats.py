@@ -166,16 +166,25 @@ def _rounds(base, state, gcols, keys, threshold, pivots, accuracy, max_rounds, o
 def correlations(df: DataFrame, columns, decimals: int = 6) -> DataFrame:
     """Pairwise Pearson correlation over rows where both values are present:
     one aggregate for all pairs, then one row per pair
-    (metric_a, metric_b, pairs, correlation)."""
+    (metric_a, metric_b, pairs, correlation).
+
+    Computed as ``covar_pop / sqrt(var_pop_a * var_pop_b)`` over the pair's
+    rows (Spark's stable moment aggregates) with ``try_divide``: an
+    undefined correlation (fewer than two pairs, or a constant column) is
+    null instead of failing the job, which Spark's ``corr`` does under ANSI.
+    """
     pairs = list(combinations(columns, 2))
     aggs = []
     for i, (a, b) in enumerate(pairs):
         both = F.col(a).isNotNull() & F.col(b).isNotNull()
-        aggs.append(F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"c{i}"))
-        aggs.append(F.count_if(both).alias(f"n{i}"))
+        xa = F.when(both, F.col(a).cast("double"))
+        xb = F.when(both, F.col(b).cast("double"))
+        aggs += [F.covar_pop(xa, xb).alias(f"cov{i}"), F.var_pop(xa).alias(f"va{i}"),
+                 F.var_pop(xb).alias(f"vb{i}"), F.count_if(both).alias(f"n{i}")]
     wide = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"),
-                              F.col(f"n{i}").alias("pairs"),
-                              F.round(F.col(f"c{i}"), decimals).alias("correlation"))
-                     for i, (a, b) in enumerate(pairs)])
+    rows = F.array(*[F.struct(
+        F.lit(a).alias("metric_a"), F.lit(b).alias("metric_b"), F.col(f"n{i}").alias("pairs"),
+        F.round(F.try_divide(F.col(f"cov{i}"), F.sqrt(F.col(f"va{i}") * F.col(f"vb{i}"))),
+                decimals).alias("correlation"))
+        for i, (a, b) in enumerate(pairs)])
     return wide.select(F.explode(rows).alias("r")).select("r.*")
