@@ -71,7 +71,8 @@ def outcome_summary(requested: DataFrame, fetched: DataFrame) -> DataFrame:
                  F.count_if(F.col("outcome") == "extracted").alias("extracted"),
                  F.count_if(F.col("outcome") == "failed").alias("failed")).select(
         "valid_requested", "extracted", "failed",
-        F.round(F.col("extracted") * 100.0 / F.col("valid_requested"), 2).alias("success_rate"))
+        F.round(F.try_divide(F.col("extracted") * 100.0, F.col("valid_requested")), 2)
+        .alias("success_rate"))
 
 
 def check_requests(ids: DataFrame) -> None:

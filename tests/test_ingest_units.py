@@ -64,3 +64,8 @@ def test_landed_or_none(spark):
     full = scratch_path(spark, "t-full")
     spark.createDataFrame([('{"id": 1}',)], "value string").write.text(full)
     assert landed_documents_or_none(spark, full).count() == 1
+
+
+def test_outcome_summary_without_valid_requests(spark):
+    s = ingest.outcome_summary(ids(spark, [0, -1]), ids(spark, [1])).first()
+    assert (s.valid_requested, s.extracted, s.success_rate) == (0, 0, None)
