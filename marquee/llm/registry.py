@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from marquee.llm import exact_dedup, mixing, sharding
+from marquee.llm import bpe, exact_dedup, fingerprints, mixing, packing, sharding
 
 
 def queries():
     return {
         "op2_mixing": mixing.op2_mixing,
+        "op5_bpe": bpe.op5_bpe,
         "op6_sharding": sharding.op6_sharding,
+        "op7_packing": packing.op7_packing,
+        "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
     }
 
