@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, exact_dedup, fingerprints, mixing, packing, sharding
+from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, packing, sharding, toxicity
 
 
 def queries():
     return {
         "op2_mixing": mixing.op2_mixing,
+        "op3_licenses": licenses.op3_licenses,
         "op5_bpe": bpe.op5_bpe,
         "op6_sharding": sharding.op6_sharding,
         "op7_packing": packing.op7_packing,
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
+        "op10_toxicity": toxicity.op10_toxicity,
     }
 
 
