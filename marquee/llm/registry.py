@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, packing, sharding, toxicity
+from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, packing, sharding, substrings, toxicity
 
 
 def queries():
     return {
         "op2_mixing": mixing.op2_mixing,
         "op3_licenses": licenses.op3_licenses,
+        "op4_substrings": substrings.op4_substrings,
         "op5_bpe": bpe.op5_bpe,
         "op6_sharding": sharding.op6_sharding,
         "op7_packing": packing.op7_packing,
@@ -21,5 +22,6 @@ def queries():
 def oracle_sql():
     return {
         "op2_mixing": mixing.OP2_SQL,
+        "op4_substrings": substrings.OP4_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
     }
