@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, packing, sharding, substrings, toxicity
+from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, sharding, substrings, toxicity
 
 
 def queries():
     return {
+        "op1_near_dedup": near_dedup.op1_near_dedup,
         "op2_mixing": mixing.op2_mixing,
         "op3_licenses": licenses.op3_licenses,
         "op4_substrings": substrings.op4_substrings,
@@ -21,6 +22,7 @@ def queries():
 
 def oracle_sql():
     return {
+        "op1_near_dedup": near_dedup.OP1_SQL,
         "op2_mixing": mixing.OP2_SQL,
         "op4_substrings": substrings.OP4_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
