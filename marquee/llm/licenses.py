@@ -114,7 +114,8 @@ class Index:
     def __init__(self, df: dict[str, int], n_docs: int):
         self.words = _vocabulary()
         number = {w: i for i, w in enumerate(self.words)}
-        self.idf = [math.log((n_docs + 1) / (df.get(w, 0) + 1)) + 1e-3 for w in self.words]
+        # a word of no document is as rare as a word of one
+        self.idf = [math.log((n_docs + 1) / (max(df.get(w, 0), 1) + 1)) + 1e-3 for w in self.words]
         self.keys, self.which = _hash_table(self.words)
         self.postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
         self.weight = []
