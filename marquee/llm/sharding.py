@@ -50,16 +50,30 @@ def hilbert_index(coords: list[Column], bits: int) -> Column:
                            .when(s["i"] == 0, v)
                            .when((j == 0) | (j == s["i"]), v.bitwiseXOR(swap)).otherwise(v))
 
-    x = F.aggregate(steps, x, undo)
-    # Gray code: each axis takes the exclusive or of all axes up to it
-    x = F.transform(x, lambda v, j: F.aggregate(F.slice(x, 1, j + 1), F.lit(0).cast("long"),
-                                                lambda t, y: t.bitwiseXOR(y)))
-    flips = F.aggregate(F.array(*[F.lit(1 << b).cast("long") for b in range(bits - 1, 0, -1)]), F.lit(0).cast("long"),
-                        lambda t, q: F.when(F.element_at(x, n).bitwiseAND(q) != 0, t.bitwiseXOR(q - 1)).otherwise(t))
-    places = F.array(*[F.struct(F.lit(1 << b).cast("long").alias("q"), F.lit(i + 1).alias("i"))
-                       for b in range(bits - 1, -1, -1) for i in range(n)])
-    return F.aggregate(places, F.lit(0).cast("long"),
-                       lambda t, p: t * 2 + F.when(F.element_at(x, p["i"]).bitwiseXOR(flips).bitwiseAND(p["q"]) != 0, 1).otherwise(0))
+    # Each stage hands its result on through ``finish``: a lambda variable is
+    # evaluated once, while a column named in a lambda would be evaluated
+    # again for every element.
+    def interleaved(a: Column, flips: Column) -> Column:
+        places = F.array(*[F.struct(F.lit(1 << b).cast("long").alias("q"), F.lit(i + 1).alias("i"))
+                           for b in range(bits - 1, -1, -1) for i in range(n)])
+        return F.aggregate(places, F.lit(0).cast("long"), lambda t, p: t * 2 + F.when(
+            F.element_at(a, p["i"]).bitwiseXOR(flips).bitwiseAND(p["q"]) != 0, 1).otherwise(0))
+
+    def flipped(a: Column) -> Column:
+        if bits < 2:
+            return interleaved(a, F.lit(0).cast("long"))
+        qs = F.array(*[F.lit(1 << b).cast("long") for b in range(bits - 1, 0, -1)])
+        return F.aggregate(qs, F.lit(0).cast("long"), lambda t, q: F.when(
+            F.element_at(a, n).bitwiseAND(q) != 0, t.bitwiseXOR(q - 1)).otherwise(t), lambda t: interleaved(a, t))
+
+    def gray(a: Column) -> Column:
+        if n < 2:
+            return flipped(a)
+        axes = F.array(*[F.lit(i) for i in range(1, n)])
+        return F.aggregate(axes, a, lambda g, i: F.transform(
+            g, lambda v, j: F.when(j == i, v.bitwiseXOR(F.element_at(g, i))).otherwise(v)), flipped)
+
+    return F.aggregate(steps, x, undo, gray) if bits > 1 else gray(x)
 
 
 def text_rank(c: Column) -> Column:
