@@ -7,7 +7,7 @@ together.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 
 # --- fixed values (must equal the source pipeline's configuration) ---------
 DROP_COLUMNS = ("adult", "imdb_id", "original_title", "video", "homepage")
@@ -27,6 +27,24 @@ TOP_N = 10
 SEPARATOR = "|"
 DIRECTOR_JOB = "Director"
 RELEASED = "Released"
+# (name, metric, ascending, extra filter kind) for the ten rankings
+RANKING_TABLE = (
+    ("highest_revenue", "revenue_musd", False, None),
+    ("highest_budget", "budget_musd", False, None),
+    ("highest_profit", "profit", False, None),
+    ("lowest_profit", "profit", True, None),
+    ("highest_roi", "roi", False, "min_budget"),
+    ("lowest_roi", "roi", True, "min_budget"),
+    ("most_voted", "vote_count", False, None),
+    ("highest_rated", "vote_average", False, "min_votes"),
+    ("lowest_rated", "vote_average", True, "min_votes"),
+    ("most_popular", "popularity", False, None),
+)
+# needles of the two searches
+SEARCH_GENRES = ("Science Fiction", "Action")
+SEARCH_CAST = ("Bruce Willis",)
+SEARCH_PAIR_CAST = ("Uma Thurman",)
+SEARCH_PAIR_DIRECTOR = ("Quentin Tarantino",)
 # columns whose empty string becomes null after flattening
 EMPTY_AS_NULL = (
     "genres", "belongs_to_collection", "director", "cast",
@@ -59,7 +77,7 @@ class Settings:
     # chart data
     histogram_max_bins: int = 30
     genre_chart_top: int = 15
-    extra: dict = field(default_factory=dict)
+    grid_bins: int = 20
 
     def with_(self, **kw) -> "Settings":
         return replace(self, **kw)

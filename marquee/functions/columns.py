@@ -98,8 +98,18 @@ def non_null_count(columns: Iterable[str]) -> Column:
     return reduce(lambda a, b: a + b, parts, F.lit(0))
 
 
-def spark_round2(c) -> Column:
-    return F.round(_c(c), 2)
+def to_whole(c, dtype=None) -> Column:
+    """A 64-bit integer from a number or its text; fractions are cut off."""
+    col = _c(c)
+    if dtype is not None and dtype.typeName() in ("long", "integer", "short", "byte"):
+        return col.cast("bigint")
+    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
+
+
+def to_finite(c, dtype=None) -> Column:
+    """A double from a number or its text; NaN and infinities are null."""
+    d = _c(c).try_cast("double")
+    return F.when(~F.isnan(d) & (F.abs(d) < F.lit(float("inf"))), d)
 
 
 # Sums and means of reported KPIs are taken over exact decimals: a double sum
@@ -109,10 +119,12 @@ EXACT_DECIMAL = "decimal(38,10)"
 
 
 def exact_avg(c, decimals: int = 2) -> Column:
-    """Mean over exact decimals, rounded half-up, as a double."""
-    return F.round(F.avg(_c(c).cast(EXACT_DECIMAL)), decimals).cast("double")
+    """Mean over exact decimals, rounded half-up, as a double; a value that
+    no such decimal holds (NaN, 1e300) is left out instead of failing the job."""
+    return F.round(F.avg(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")
 
 
 def exact_sum(c, decimals: int = 2) -> Column:
-    """Sum over exact decimals, rounded half-up, as a double."""
-    return F.round(F.sum(_c(c).cast(EXACT_DECIMAL)), decimals).cast("double")
+    """Sum over exact decimals, rounded half-up, as a double; values left out
+    as in ``exact_avg``."""
+    return F.round(F.sum(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")

@@ -62,41 +62,34 @@ def roi_histogram(df: DataFrame, max_bins: int = 30) -> DataFrame:
     """Histogram of 0 < roi < 100 with ``min(max_bins, n)`` equal-width bins
     over [min, max] (last bin closed; min = max widened by 0.5 each side);
     every bin is returned, empty ones with count 0.  Fewer than two values
-    give no rows.  Bin assignment follows numpy's rule: a first guess from
+    give no rows.  The range is computed first (one small job).  Bin assignment follows numpy's rule: a first guess from
     the scaled offset, then corrected against the computed edges.
     """
     v = roi_values(df)
-    st = (v.agg(F.count(F.lit(1)).alias("n"), F.min("roi").alias("mn0"), F.max("roi").alias("mx0"))
-          .filter(F.col("n") >= 2)
-          .select("n",
-                  F.least(F.col("n"), F.lit(max_bins)).cast("int").alias("bins"),
-                  F.when(F.col("mn0") == F.col("mx0"), F.col("mn0") - 0.5).otherwise(F.col("mn0")).alias("mn"),
-                  F.when(F.col("mn0") == F.col("mx0"), F.col("mx0") + 0.5).otherwise(F.col("mx0")).alias("mx"))
-          .withColumn("_k", F.lit(1)))
-    step = (F.col("mx") - F.col("mn")) / F.col("bins")
+    spark = df.sparkSession
+    r = v.agg(F.count(F.lit(1)).alias("n"), F.min("roi").alias("mn"), F.max("roi").alias("mx")).first()
+    n, mn, mx = r["n"], r["mn"], r["mx"]
+    if n < 2:
+        return spark.createDataFrame([], "bin int, lower double, upper double, count long")
+    if mn == mx:
+        mn, mx = mn - 0.5, mx + 0.5
+    bins = min(n, max_bins)
+    step = (mx - mn) / bins
 
     def edge(i):
-        return F.when(i >= F.col("bins"), F.col("mx")).otherwise(F.col("mn") + i * step)
+        return F.when(i >= bins, F.lit(mx)).otherwise(F.lit(mn) + i * F.lit(step))
 
-    guess = F.least(F.floor((F.col("roi") - F.col("mn")) * (F.col("bins") / (F.col("mx") - F.col("mn")))),
-                    F.col("bins") - 1).cast("int")
-    # the statistics row is a single row: broadcasting it is size-safe
-    x = v.withColumn("_k", F.lit(1)).join(F.broadcast(st), "_k").withColumn("_g", guess)
+    g = F.least(F.floor((F.col("roi") - F.lit(mn)) * F.lit(bins / (mx - mn))), F.lit(bins - 1)).cast("int")
+    x = v.withColumn("_g", g)
     x = x.withColumn("_g", F.when(F.col("roi") < edge(F.col("_g")), F.col("_g") - 1).otherwise(F.col("_g")))
-    x = x.withColumn("_g", F.when((F.col("roi") >= edge(F.col("_g") + 1)) & (F.col("_g") != F.col("bins") - 1),
+    x = x.withColumn("_g", F.when((F.col("roi") >= edge(F.col("_g") + 1)) & (F.col("_g") != bins - 1),
                                   F.col("_g") + 1).otherwise(F.col("_g")))
     counts = x.groupBy(F.col("_g").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    all_bins = st.select(F.explode(F.sequence(F.lit(0), F.col("bins") - 1)).alias("bin"),
-                         "mn", "mx", "bins")
+    edges = [(i, mn if i == 0 else mn + i * (mx - mn) / bins,
+              mx if i + 1 == bins else mn + (i + 1) * (mx - mn) / bins) for i in range(bins)]
+    all_bins = spark.createDataFrame(edges, "bin int, lower double, upper double")
     return (all_bins.join(counts, "bin", "left")
-            .select("bin",
-                    F.when(F.col("bin") == 0, F.col("mn"))
-                    .otherwise(F.col("mn") + F.col("bin") * (F.col("mx") - F.col("mn")) / F.col("bins"))
-                    .alias("lower"),
-                    F.when(F.col("bin") + 1 == F.col("bins"), F.col("mx"))
-                    .otherwise(F.col("mn") + (F.col("bin") + 1) * (F.col("mx") - F.col("mn")) / F.col("bins"))
-                    .alias("upper"),
-                    F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
+            .select("bin", "lower", "upper", F.coalesce(F.col("count"), F.lit(0)).cast("long").alias("count")))
 
 
 def roi_median(df: DataFrame, decimals: int = 6) -> DataFrame:

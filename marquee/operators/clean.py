@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from marquee.config import DEFAULTS, Settings
 from marquee.functions.columns import (
     empty_to_null, joined_names, joined_strings, non_null_count, nonzero,
-    placeholder_to_null, role_names, size_or_zero,
+    placeholder_to_null, role_names, size_or_zero, to_finite, to_whole,
 )
 
 _NAME_FIELD = {
@@ -90,18 +90,19 @@ def flatten_nested(df: DataFrame, settings: Settings = DEFAULTS) -> DataFrame:
 
 
 _TYPES = {
-    "budget": "double", "revenue": "double", "id": "int", "popularity": "double",
-    "vote_count": "int", "vote_average": "double", "runtime": "int",
+    "budget": "double", "revenue": "double", "id": "bigint", "popularity": "double",
+    "vote_count": "bigint", "vote_average": "double", "runtime": "bigint",
 }
 
 
 def convert_types(df: DataFrame) -> DataFrame:
-    """Safe casts: a bad or overflowing value becomes null instead of
-    failing the job under ANSI mode."""
+    """Safe conversions of numbers or their text: a value that is no finite
+    number becomes null instead of failing the job under ANSI mode."""
     out = []
     for c in df.columns:
         if c in _TYPES:
-            out.append(F.col(c).try_cast(_TYPES[c]).alias(c))
+            convert = to_whole if _TYPES[c] == "bigint" else to_finite
+            out.append(convert(c, df.schema[c].dataType).alias(c))
         elif c == "release_date":
             if isinstance(df.schema[c].dataType, T.DateType):
                 out.append(F.col(c))

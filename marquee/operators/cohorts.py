@@ -25,7 +25,8 @@ def r2(c):
 
 
 def _explode_tokens(df: DataFrame, column: str, sep: str) -> DataFrame:
-    return df.withColumn(column, F.explode(F.split(F.col(column), re.escape(sep))))
+    # a name that occurs twice in one title counts once for it
+    return df.withColumn(column, F.explode(F.array_distinct(F.split(F.col(column), re.escape(sep)))))
 
 
 def franchise_vs_standalone(df: DataFrame, median: bool = True, approx: bool = False) -> DataFrame:

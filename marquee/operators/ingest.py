@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.functions.columns import to_whole
 from marquee.schema import CORRUPT_COLUMN
 
 
@@ -37,15 +38,15 @@ def request_summary(ids: DataFrame) -> DataFrame:
 def first_copy_per_id(payloads: DataFrame, order_col: str = "_arrival",
                       require=("id",)) -> DataFrame:
     """Payloads with the required fields present, one per id: the first
-    by ``order_col`` (arrival order).  ``min_by`` over a struct is a
-    partial aggregate, so duplicates of a hot id combine before the
-    shuffle."""
+    by ``order_col`` (arrival order, which must be there: row order after a
+    read or a shuffle says nothing).  ``min_by`` over a struct is a partial
+    aggregate, so duplicates of a hot id combine before the shuffle."""
+    if order_col not in payloads.columns:
+        raise ValueError(f"payloads need an order of arrival in column {order_col}")
     cond = F.lit(True)
     for c in require:
         cond = cond & F.col(c).isNotNull()
     p = payloads.filter(cond)
-    if order_col not in p.columns:
-        p = p.withColumn(order_col, F.monotonically_increasing_id())
     rest = [c for c in p.columns if c not in ("id", order_col)]
     return (p.groupBy("id")
             .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_row"))
@@ -79,21 +80,33 @@ def check_requests(ids: DataFrame) -> None:
     """Raise when the request list is empty or has no valid id."""
     s = request_summary(ids).first()
     if s is None or not s["requested"]:
-        raise ExtractionError("No ids provided for extraction")
+        raise ExtractionError("the request list has no rows")
     if not s["valid_ids"]:
-        raise ExtractionError(f"No valid ids after filtering {s['requested']} input ids")
+        raise ExtractionError(f"none of the {s['requested']} requested ids is above 0")
 
 
 def check_extracted(requested: DataFrame, fetched: DataFrame) -> None:
     s = outcome_summary(requested, fetched).first()
     if s is None or not s["extracted"]:
-        raise ExtractionError("Failed to extract any title")
+        raise ExtractionError("no requested title has a landed document")
+
+
+def quarantine_reason(docs: DataFrame):
+    """Why a document cannot be used, or null: ``malformed`` (the text is no
+    JSON object) or ``bad id`` (the id is there but is no number)."""
+    whole = to_whole("id", docs.schema["id"].dataType)
+    reason = F.when(F.col("id").isNotNull() & whole.isNull(), F.lit("bad id"))
+    if CORRUPT_COLUMN in docs.columns:
+        reason = F.when(F.col(CORRUPT_COLUMN).isNotNull() & F.col("id").isNull(), F.lit("malformed")).otherwise(reason)
+    return reason
 
 
 def split_corrupt(docs: DataFrame):
-    """(good, quarantined): rows whose ``_corrupt_record`` is set are
-    quarantined with their text; good rows lose the column."""
-    if CORRUPT_COLUMN not in docs.columns:
-        return docs, docs.filter(F.lit(False))
-    bad = F.col(CORRUPT_COLUMN).isNotNull()
-    return docs.filter(~bad).drop(CORRUPT_COLUMN), docs.filter(bad)
+    """(good, quarantined): quarantined rows carry their ``reason``; good
+    rows lose ``_corrupt_record``.  A document with one value of an
+    unexpected form is good; that value is null."""
+    reason = quarantine_reason(docs)
+    good = docs.filter(reason.isNull())
+    if CORRUPT_COLUMN in docs.columns:
+        good = good.drop(CORRUPT_COLUMN)
+    return good, docs.withColumn("reason", reason).filter(F.col("reason").isNotNull())

@@ -2,10 +2,10 @@
 
 ``rank_by_metric`` plans as ``TakeOrderedAndProject``: each task keeps its
 own top n and one merge follows, so no full sort and no large shuffle.
-``rankings_long`` computes all ten rankings from a single scan: rows are
-expanded into (ranking, value) pairs, and ``row_number() <= n`` over the
-ranking lets Catalyst insert a partial ``WindowGroupLimit`` before the
-exchange, so only n rows per ranking per task are shuffled.
+``rankings_long`` computes all ten rankings together: narrow rows (ranking,
+key, id) are ranked, where ``row_number() <= n`` lets Catalyst insert a partial
+``WindowGroupLimit`` before the exchange, so only n rows per ranking per task
+are shuffled; the winners are then joined back to their titles.
 
 Ties are broken by ``id`` ascending, which always yields one of the answers
 an arbitrary tie cut could give.
@@ -16,33 +16,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marquee.config import DEFAULTS, Settings, resolve_top_n
+from marquee.config import DEFAULTS, RANKING_TABLE, Settings, resolve_top_n
 from marquee.operators.metrics import with_metrics
 
 RANKING_PROJECTION = ("title", "release_date", "genres")
 
 
-# (name, metric, ascending, extra filter kind) for the ten rankings
-RANKING_TABLE = (
-    ("highest_revenue", "revenue_musd", False, None),
-    ("highest_budget", "budget_musd", False, None),
-    ("highest_profit", "profit", False, None),
-    ("lowest_profit", "profit", True, None),
-    ("highest_roi", "roi", False, "min_budget"),
-    ("lowest_roi", "roi", True, "min_budget"),
-    ("most_voted", "vote_count", False, None),
-    ("highest_rated", "vote_average", False, "min_votes"),
-    ("lowest_rated", "vote_average", True, "min_votes"),
-    ("most_popular", "popularity", False, None),
-)
 RANKING_NAMES = tuple(r[0] for r in RANKING_TABLE)
 
 
 def _extra_filter(kind, settings: Settings):
     if kind == "min_budget":
-        return F.col("budget_musd").isNotNull() & (F.col("budget_musd") >= settings.min_budget_for_roi)
+        return F.col("budget_musd") >= settings.min_budget_for_roi
     if kind == "min_votes":
-        return F.col("vote_count").isNotNull() & (F.col("vote_count") >= settings.min_votes_for_rating)
+        return F.col("vote_count") >= settings.min_votes_for_rating
     return None
 
 
@@ -86,16 +73,12 @@ def ranking(df: DataFrame, name: str, top_n=None, settings: Settings = DEFAULTS)
     raise KeyError(name)
 
 
-def all_rankings(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) -> dict:
-    """name -> frame, as separate top-k plans."""
-    m = with_metrics(df)
-    return {nm: rank_by_metric(m, metric, asc, flt, top_n, settings=settings)
-            for nm, metric, asc, flt in ranking_specs(settings)}
-
-
 def rankings_long(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) -> DataFrame:
-    """All ten rankings from one scan, long form:
-    ranking, rank, title, value, release_date, genres."""
+    """All ten rankings, long form:
+    ranking, rank, title, value, release_date, genres.
+
+    Narrow rows (ranking, key, id) are ranked; the winners, n a ranking and
+    so a proven bound for the broadcast, then fetch their titles."""
     n = resolve_top_n(top_n, settings)
     m = with_metrics(df)
     entries = []
@@ -106,9 +89,10 @@ def rankings_long(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) -> D
         entries.append(F.when(ok, F.struct(F.lit(name).alias("ranking"), value.alias("value"),
                                            key.alias("key"))))
     pairs = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    long = (m.select("id", *RANKING_PROJECTION, F.explode(pairs).alias("_r"))
-            .select("id", *RANKING_PROJECTION, "_r.ranking", "_r.value", "_r.key"))
+    narrow = (m.select("id", F.explode(pairs).alias("_r"))
+              .select("id", "_r.ranking", "_r.value", "_r.key"))
     w = Window.partitionBy("ranking").orderBy(F.col("key").asc(), F.col("id").asc())
-    return (long.withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= n)
+    winners = (narrow.withColumn("rank", F.row_number().over(w))
+               .filter(F.col("rank") <= n).select("ranking", "rank", "id", "value"))
+    return (df.select("id", *RANKING_PROJECTION).join(F.broadcast(winners), "id")
             .select("ranking", "rank", "title", "value", "release_date", "genres"))

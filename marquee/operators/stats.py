@@ -7,154 +7,80 @@ holding a whole large group in one task.  Spark's own ``median`` /
 aggregation task, which fails for a group holding a large share of a
 100 TB table.  Instead:
 
-1. count per group; a group with at most ``threshold`` values in its
-   current interval is finished by ranking just those values;
-2. otherwise ``percentile_approx`` gives ``pivots - 1`` cut points inside
-   the interval, one aggregate counts values per (group, bucket) with
-   their min and max, and a cumulative sum over the (small) bucket table
-   finds the bucket holding the middle rank(s).  If the two middle ranks
-   fall in different buckets, they are the max of one and the min of the
-   next; if the bucket holds a single distinct value, that is the answer;
-   else the interval narrows to that bucket and the loop repeats.
-
-Each round shrinks the interval to about ``1/pivots`` of its rows, so a
-handful of passes suffices at any scale.  The per-group state is tiny, is
-broadcast only below a checked row count, and is checkpointed (reliable
-checkpoint in the session's shared folder) to cut lineage between rounds.
+1. count per group; a group with at most ``threshold`` values is finished by
+   ranking just those values;
+2. otherwise ``percentile_approx`` gives cut points inside the interval.
+   Every cut point has a bucket of its own for the values equal to it, and
+   the values between two cut points are a bucket.  One aggregate counts
+   them, and a cumulative sum over the (small) bucket table finds the bucket
+   of the middle rank(s).  If the two middle ranks fall in different buckets,
+   they are the max of one and the min of the next; if the bucket is one of
+   equal values, that is the answer; else the interval narrows to the bucket.
+
+A value that is repeated often becomes a cut point and so leaves the interval
+at once; what remains shrinks to about ``1/pivots`` a round, so the rounds
+grow with the logarithm of the group, whatever the ties.  The per-group state
+is checkpointed in the session's shared folder between rounds.
 """
 
 from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from marquee.plans.storage import ensure_checkpoint_dir
 
-BROADCAST_STATE_ROWS = 100_000
 
-
-def _join_state(data: DataFrame, state: DataFrame, keys, n_state: int) -> DataFrame:
-    if n_state <= BROADCAST_STATE_ROWS:
-        state = F.broadcast(state)
-    return data.join(state, keys)
-
-
-def _in_interval(v="_v"):
-    lo, hi = F.col("_lo"), F.col("_hi")
-    return (lo.isNull() | (F.col(v) >= lo)) & (hi.isNull() | (F.col(v) <= hi))
+def _interval(base: DataFrame, state: DataFrame) -> DataFrame:
+    """The values of each group in ``state`` that lie in its interval."""
+    v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")
+    return base.join(state, "_g").filter((lo.isNull() | (v >= lo)) & (hi.isNull() | (v <= hi)))
 
 
 def exact_median(df: DataFrame, value: str, group_cols=(), threshold: int = 200_000,
-                 pivots: int = 64, accuracy: int = 10_000, max_rounds: int = 12,
-                 out_col: str = "median") -> DataFrame:
-    """Exact median of ``value`` per ``group_cols`` (nulls ignored).
+                 pivots: int = 64, accuracy: int = 10_000, out_col: str = "median",
+                 on_round=None) -> DataFrame:
+    """Exact median of ``value`` per ``group_cols`` (nulls and NaN ignored).
 
-    Runs a few small jobs eagerly and returns a small checkpointed frame
+    Runs a few small jobs eagerly and returns a small frame
     ``(*group_cols, out_col)``; groups without values are absent.
+    ``on_round`` is called with the number of each narrowing round.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
+    ensure_checkpoint_dir(df.sparkSession)
     gcols = list(group_cols)
     # The group travels as one struct key: it is never null itself and struct
     # equality treats null fields as equal, so a null group is joined back to
     # its state like any other instead of dropping out of the equi-joins.
-    keys = ["_g"]
     fields = [F.col(c) for c in gcols] if gcols else [F.lit(0).alias("_all")]
-    # Only (group, value) is kept, and it is persisted: every round reads it
-    # again.  Blocks lost with an executor are recomputed from lineage.
     base = (df.select(F.struct(*fields).alias("_g"), F.col(value).cast("double").alias("_v"))
-            .filter(F.col("_v").isNotNull())
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        return _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy,
-                                    max_rounds, out_col)
-    finally:
-        base.unpersist()
-
-
-def _exact_median_rounds(base, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col):
-    # Checkpoints (reliable, in the shared folder) are taken only where a
-    # frame is computed from the data: the finished medians and the
-    # per-group bucket picks.  Frames derived from those by filter/select
-    # already have short lineage; the first per-group counts are persisted.
-    state0 = (base.groupBy(*keys).agg(F.count(F.lit(1)).alias("_cnt"))
-             .select(*keys,
-                     F.floor((F.col("_cnt") - 1) / 2).cast("long").alias("_r1"),
+            .filter(F.col("_v").isNotNull() & ~F.isnan("_v")))
+    state = (base.groupBy("_g").agg(F.count(F.lit(1)).cast("long").alias("_cnt"))
+             .select("_g", F.floor((F.col("_cnt") - 1) / 2).cast("long").alias("_r1"),
                      F.floor(F.col("_cnt") / 2).cast("long").alias("_r2"),
-                     F.lit(None).cast("double").alias("_lo"),
-                     F.lit(None).cast("double").alias("_hi"),
-                     F.lit(0).cast("long").alias("_below"),
-                     F.col("_cnt").cast("long").alias("_cnt"))
-              .persist())
-    try:
-        return _rounds(base, state0, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col)
-    finally:
-        state0.unpersist()
-
-
-def _rounds(base, state, gcols, keys, threshold, pivots, accuracy, max_rounds, out_col):
-    done = []
-    for round_no in range(max_rounds + 1):
-        n_state = state.count()
-        if n_state == 0:
-            break
-        last = round_no == max_rounds
-        small = state.filter(F.col("_cnt") <= threshold) if not last else state
-        big = state.filter(F.col("_cnt") > threshold) if not last else state.filter(F.lit(False))
-
-        # finish groups whose interval is small: rank just those values
-        sub = _join_state(base, small, keys, n_state).filter(_in_interval())
-        w = Window.partitionBy(*keys).orderBy("_v")
-        ranked = sub.withColumn("_rank", F.col("_below") + F.row_number().over(w) - 1)
-        fin = (ranked.filter((F.col("_rank") == F.col("_r1")) | (F.col("_rank") == F.col("_r2")))
-               .groupBy(*keys)
-               .agg(((F.max(F.when(F.col("_rank") == F.col("_r1"), F.col("_v")))
-                      + F.max(F.when(F.col("_rank") == F.col("_r2"), F.col("_v")))) / 2)
-                    .alias(out_col)))
-        done.append(fin.checkpoint(eager=True))
-
-        n_big = big.count()
-        if n_big == 0:
-            break
-        # narrow large intervals with approximate cut points + exact counts
-        sub = _join_state(base, big, keys, n_big).filter(_in_interval())
-        cuts = [i / pivots for i in range(1, pivots)]
-        piv = sub.groupBy(*keys).agg(F.percentile_approx("_v", cuts, accuracy).alias("_piv"))
-        buckets = (_join_state(sub.select(*keys, "_v"), piv, keys, n_big)
-                   .select(*keys, "_v", F.size(F.filter("_piv", lambda p: p < F.col("_v"))).alias("_b"))
-                   .groupBy(*keys, "_b")
-                   .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"),
-                        F.max("_v").alias("_mx")))
-        wb = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-        located = (buckets.withColumn("_before", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
-                   .join(big.select(*keys, "_r1", "_r2", "_below"), keys)
-                   .withColumn("_t1", F.col("_r1") - F.col("_below"))
-                   .withColumn("_t2", F.col("_r2") - F.col("_below")))
-
-        def holds(t):
-            return (F.col("_before") <= F.col(t)) & (F.col(t) < F.col("_before") + F.col("_c"))
-
-        per_group = (located.groupBy(*keys).agg(
-            F.max(F.when(holds("_t1"), F.struct("_b", "_c", "_mn", "_mx", "_before"))).alias("_x1"),
-            F.max(F.when(holds("_t2"), F.struct("_b", "_mn"))).alias("_x2"),
-            F.first("_r1").alias("_r1"), F.first("_r2").alias("_r2"),
-            F.first("_below").alias("_below"))
-            .checkpoint(eager=True))
+                     F.lit(None).cast("double").alias("_lo"), F.lit(None).cast("double").alias("_hi"),
+                     F.lit(0).cast("long").alias("_below"), "_cnt")
+             .checkpoint(eager=True))
+    done, rounds = [], 0
+    small = state.filter(F.col("_cnt") <= threshold)
+    large = state.filter(F.col("_cnt") > threshold)
+    while large.limit(1).count():
+        rounds += 1
+        if on_round is not None:
+            on_round(rounds)
+        picked = _middle_buckets(base, large, pivots, accuracy).checkpoint(eager=True)
         split = F.col("_x1._b") != F.col("_x2._b")
         constant = F.col("_x1._mn") == F.col("_x1._mx")
-        done.append(per_group.filter(split | constant).select(
-            *keys, F.when(split, (F.col("_x1._mx") + F.col("_x2._mn")) / 2)
+        done.append(picked.filter(split | constant).select(
+            "_g", F.when(split, (F.col("_x1._mx") + F.col("_x2._mn")) / 2)
             .otherwise(F.col("_x1._mn")).alias(out_col)))
-        state = per_group.filter(~split & ~constant).select(
-            *keys, "_r1", "_r2", F.col("_x1._mn").alias("_lo"), F.col("_x1._mx").alias("_hi"),
-            (F.col("_below") + F.col("_x1._before")).alias("_below"),
-            F.col("_x1._c").alias("_cnt"))
-
-    if not done:  # no values at all: an empty result with the right columns
-        done.append(state.select(*keys, F.lit(None).cast("double").alias(out_col)).filter(F.lit(False)))
+        left = picked.filter(~split & ~constant).select(
+            "_g", "_r1", "_r2", F.col("_x1._mn").alias("_lo"), F.col("_x1._mx").alias("_hi"),
+            (F.col("_below") + F.col("_x1._before")).alias("_below"), F.col("_x1._c").alias("_cnt"))
+        small = small.unionByName(left.filter(F.col("_cnt") <= threshold))
+        large = left.filter(F.col("_cnt") > threshold)
+    done.append(_ranked_middle(base, small, out_col))
     out = done[0]
     for d in done[1:]:
         out = out.unionByName(d)
@@ -163,6 +89,43 @@ def _rounds(base, state, gcols, keys, threshold, pivots, accuracy, max_rounds, o
     return out.select(out_col)
 
 
+def _middle_buckets(base: DataFrame, large: DataFrame, pivots: int, accuracy: int) -> DataFrame:
+    """For each large group the buckets that hold its middle ranks."""
+    sub = _interval(base, large)
+    cuts = [i / pivots for i in range(1, pivots)]
+    piv = sub.groupBy("_g").agg(F.array_distinct(F.percentile_approx("_v", cuts, accuracy)).alias("_piv"))
+    below = F.size(F.filter("_piv", lambda p: p < F.col("_v")))
+    bucket = below * 2 + F.array_contains("_piv", F.col("_v")).cast("int")
+    buckets = (sub.select("_g", "_v").join(piv, "_g").select("_g", "_v", bucket.alias("_b"))
+               .groupBy("_g", "_b")
+               .agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_mn"), F.max("_v").alias("_mx")))
+    wb = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    located = (buckets.withColumn("_before", F.coalesce(F.sum("_c").over(wb), F.lit(0)))
+               .join(large.select("_g", "_r1", "_r2", "_below"), "_g")
+               .withColumn("_t1", F.col("_r1") - F.col("_below"))
+               .withColumn("_t2", F.col("_r2") - F.col("_below")))
+
+    def holds(t):
+        return (F.col("_before") <= F.col(t)) & (F.col(t) < F.col("_before") + F.col("_c"))
+
+    return located.groupBy("_g").agg(
+        F.max(F.when(holds("_t1"), F.struct("_b", "_c", "_mn", "_mx", "_before"))).alias("_x1"),
+        F.max(F.when(holds("_t2"), F.struct("_b", "_mn"))).alias("_x2"),
+        F.first("_r1").alias("_r1"), F.first("_r2").alias("_r2"), F.first("_below").alias("_below"))
+
+
+def _ranked_middle(base: DataFrame, small: DataFrame, out_col: str) -> DataFrame:
+    """The median of groups whose interval holds at most the threshold."""
+    w = Window.partitionBy("_g").orderBy("_v")
+    ranked = _interval(base, small).withColumn("_rank", F.col("_below") + F.row_number().over(w) - 1)
+
+    def at(r):
+        return F.max(F.when(F.col("_rank") == F.col(r), F.col("_v")))
+
+    return (ranked.filter((F.col("_rank") == F.col("_r1")) | (F.col("_rank") == F.col("_r2")))
+            .groupBy("_g").agg(((at("_r1") + at("_r2")) / 2).alias(out_col)))
+
+
 def correlations(df: DataFrame, columns, decimals: int = 6) -> DataFrame:
     """Pairwise Pearson correlation over rows where both values are present:
     one aggregate for all pairs, then one row per pair

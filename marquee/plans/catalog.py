@@ -14,19 +14,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.config import DEFAULTS
-from marquee.functions.columns import size_or_null
+from marquee.config import DEFAULTS, RANKING_TABLE
+from marquee.functions.columns import exact_sum, size_or_null, to_whole
 from marquee.operators import charts, cohorts, ingest, quality, rankings, search
 from marquee.operators import clean as C
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import correlations
 from marquee.plans import clean as P
 from marquee.plans import publish
-from marquee.plans.reports import SAVED_REPORTS, report_builders, run_isolated
+from marquee.plans.jobs import build_clean
+from marquee.plans.jobs import run as run_job
+from marquee.plans.reports import SAVED_REPORTS, report_builders, run_isolated, written_to
 from marquee.plans.stages import clean_stage
 from marquee.plans.storage import scratch_path
 from marquee.schema import RAW_SCHEMA
-from marquee.sources.fixtures import payloads, raw_titles, request_ids
+from marquee.sources.fixtures import arriving_payloads, payloads, raw_titles, request_ids
 from marquee.sources.readers import read_documents
 
 # Needles for the searches on the fixture (it has supplier names for people
@@ -110,16 +112,27 @@ def q_hoist_credits(spark, sf):
 
 
 def q_ingest_valid(spark, sf):
-    return ingest.first_copy_per_id(_payloads(spark, sf)).select("id", "title", "status")
+    return ingest.first_copy_per_id(arriving_payloads(spark, sf)).select("id", "title", "status")
+
+
+def q_ingest_valid_titled(spark, sf):
+    """The first copy that has both id and title."""
+    return (ingest.first_copy_per_id(arriving_payloads(spark, sf), require=("id", "title"))
+            .select("id", "title", "status"))
+
+
+def q_dedup_first_arrival(spark, sf):
+    """Dedupe on copies that differ; the earliest survives, null ids are one."""
+    return C.dedupe_by_id(arriving_payloads(spark, sf), prefer=["_arrival"]).select("id", "title", "status")
 
 
 def q_ingest_outcomes(spark, sf):
-    return ingest.outcomes(request_ids(spark, sf), ingest.first_copy_per_id(_payloads(spark, sf)))
+    return ingest.outcomes(request_ids(spark, sf), ingest.first_copy_per_id(arriving_payloads(spark, sf)))
 
 
 def q_ingest_summary(spark, sf):
     return ingest.outcome_summary(request_ids(spark, sf),
-                                  ingest.first_copy_per_id(_payloads(spark, sf)))
+                                  ingest.first_copy_per_id(arriving_payloads(spark, sf)))
 
 
 def q_quarantine(spark, sf):
@@ -135,12 +148,29 @@ def q_quarantine(spark, sf):
     path = scratch_path(spark, "landed")
     p.select(text.alias("value")).write.text(path)
     good, bad = ingest.split_corrupt(read_documents(spark, path))
-    return (good.select(F.lit("good").alias("part"), F.col("id"))
-            .unionByName(bad.select(F.lit("quarantined").alias("part"), F.col("id")))
+    return (good.select(F.lit("good").alias("part"), to_whole("id").alias("id"))
+            .unionByName(bad.select(F.col("reason").alias("part"), to_whole("id").alias("id")))
             .groupBy("part").agg(F.count(F.lit(1)).alias("rows"),
                                  F.count("id").alias("rows_with_id")))
 
 
+def q_typed_mixed_json(spark, sf):
+    """Land payloads whose numbers are written in several ways: whole, with a
+    fraction (k % 3 = 1) or as text (k % 3 = 2), and ids above 2^31 for
+    k % 7 = 0; read, split and convert them."""
+    p = _payloads(spark, sf).filter(F.col("id").isNotNull())
+    k = F.col("id")
+    shifted = F.when(k % 7 == 0, k + 3_000_000_000).otherwise(k)
+    js = F.to_json(F.struct(*[shifted.alias("id") if c == "id" else F.col(c) for c in p.columns]))
+    numbers = r'"(id|budget|revenue|runtime|vote_count)":([0-9]+)'
+    text = (F.when(k % 3 == 1, F.regexp_replace(js, numbers, '"$1":$2.0'))
+            .when(k % 3 == 2, F.regexp_replace(js, numbers, '"$1":"$2"')).otherwise(js))
+    path = scratch_path(spark, "mixed")
+    p.select(text.alias("value")).write.text(path)
+    good, _ = ingest.split_corrupt(read_documents(spark, path))
+    return P.typed(good).select("id", "budget", "revenue", "runtime", "vote_count", "vote_average", "popularity")
+
+
 # --- cleaning stages -----------------------------------------------------------
 
 def q_flatten_collection(spark, sf):
@@ -153,6 +183,13 @@ def q_flatten_names(spark, sf):
         "cast", "origin_country")
 
 
+def q_drop_irrelevant(spark, sf):
+    """Documents with the five irrelevant columns lose just those."""
+    wide = _raw(spark, sf).select("id", *[F.lit("x").alias(c) for c in DEFAULTS.drop_columns], "title")
+    out = C.drop_irrelevant(wide)
+    return out.withColumn("columns", F.lit(",".join(out.columns)))
+
+
 def q_credit_sizes(spark, sf):
     return P.flattened(_raw(spark, sf)).select("id", "cast_size", "crew_size")
 
@@ -217,11 +254,11 @@ def q_rankings_long(spark, sf):
 
 
 def q_search_genres_cast(spark, sf):
-    return search.search_genres_cast(_clean(spark, sf), E1_GENRES, E1_CAST)
+    return search.search_genres_cast(_clean(spark, sf), E1_GENRES, E1_CAST, position=True)
 
 
 def q_search_cast_director(spark, sf):
-    return search.search_cast_director(_clean(spark, sf), E2_CAST, E2_DIRECTOR)
+    return search.search_cast_director(_clean(spark, sf), E2_CAST, E2_DIRECTOR, position=True)
 
 
 def q_search_token(spark, sf):
@@ -312,16 +349,12 @@ def q_chart_genre_distribution(spark, sf):
 
 def q_published_rankings(spark, sf):
     """Write the saved report data sets, then read the rankings back."""
-    clean = _clean(spark, sf).persist()
-    try:
-        root = scratch_path(spark, "analysis")
-        builders = report_builders(clean)
-        for name in SAVED_REPORTS:
-            builders[name]().write.mode("overwrite").parquet(f"{root}/{name}")
-    finally:
-        clean.unpersist()
+    root = scratch_path(spark, "analysis")
+    builders = report_builders(_clean(spark, sf))
+    for name in SAVED_REPORTS:
+        builders[name]().write.mode("overwrite").parquet(f"{root}/{name}")
     parts = []
-    for name, metric, *_ in rankings.RANKING_TABLE:
+    for name, metric, *_ in RANKING_TABLE:
         r = spark.read.parquet(f"{root}/ranking_{name}")
         parts.append(r.select(F.lit(name).alias("ranking"), "title",
                               F.col(metric).cast("double").alias("value"),
@@ -355,16 +388,59 @@ def q_raw_roundtrip(spark, sf):
     return P.clean_titles(read_documents(spark, path, keep_corrupt=False))
 
 
+_SEARCHES = {"genres": E1_GENRES, "cast": E1_CAST, "pair_cast": E2_CAST, "pair_director": E2_DIRECTOR}
+
+
 def q_report_status(spark, sf):
-    clean = _clean(spark, sf).persist()
-    try:
-        rows = run_isolated(report_builders(clean, genres=E1_GENRES, cast=E1_CAST,
-                                            pair_cast=E2_CAST, pair_director=E2_DIRECTOR),
-                            parallelism=4)
-    finally:
-        clean.unpersist()
-    schema = "report string, status string, rows long, error string"
-    return spark.createDataFrame(rows, schema)
+    builders = report_builders(_clean(spark, sf), **_SEARCHES)
+    rows = run_isolated(builders, written_to(spark, scratch_path(spark, "status")), parallelism=4)
+    return spark.createDataFrame(rows, "report string, status string, rows long, error string")
+
+
+# the number that is added up of each report the job writes
+REPORT_VALUES = {f"ranking_{name}": metric for name, metric, *_ in RANKING_TABLE} | {
+    "search_genres_cast": "vote_average", "search_cast_director": "runtime",
+    "franchise_comparison": "mean_revenue", "top_franchises": "total_revenue",
+    "top_directors": "total_revenue", "genre_kpis": "avg_revenue", "budget_band_kpis": "mean_budget",
+    "chart_revenue_budget": "revenue_musd", "chart_break_even": "max_value", "chart_roi_histogram": "count",
+    "chart_roi_median": "median_roi", "chart_revenue_budget_grid": "points",
+    "chart_popularity_rating_grid": "points", "chart_franchise_comparison": "value",
+    "chart_top_franchises": "total_revenue", "chart_popularity_rating": "popularity",
+    "chart_genre_distribution": "movies",
+}
+
+
+def _land(spark, df, path, mode="append"):
+    df.select(F.to_json(F.struct(*df.columns)).alias("value")).write.mode(mode).text(path)
+
+
+def q_job_outputs(spark, sf):
+    """The whole job on landed documents; rows and a total of every data set
+    it leaves behind."""
+    raw, out = scratch_path(spark, "job-landed"), scratch_path(spark, "job-out")
+    _land(spark, _payloads(spark, sf), raw)
+    run_job(spark, raw, out, requested=request_ids(spark, sf), searches=_SEARCHES)
+    parts = [publish.read_published(spark, f"{out}/clean").agg(
+        F.lit("clean").alias("name"), F.count(F.lit(1)).alias("rows"), exact_sum("revenue_musd").alias("total"))]
+    parts.append(spark.read.parquet(f"{out}/ingest/outcomes").filter("outcome = 'failed'").agg(
+        F.lit("failed requests").alias("name"), F.count(F.lit(1)).alias("rows"), F.lit(0.0).alias("total")))
+    for name, value in REPORT_VALUES.items():
+        parts.append(spark.read.parquet(f"{out}/analysis/{name}").agg(
+            F.lit(name).alias("name"), F.count(F.lit(1)).alias("rows"), exact_sum(value).alias("total")))
+    table = parts[0]
+    for p in parts[1:]:
+        table = table.unionByName(p)
+    return table
+
+
+def q_incremental_clean(spark, sf):
+    """A second run after more documents have landed includes them."""
+    raw, out = scratch_path(spark, "inc-landed"), scratch_path(spark, "inc-out")
+    p = _payloads(spark, sf)
+    _land(spark, p.filter(F.col("id") % 2 == 0), f"{raw}/first")
+    build_clean(spark, raw, out)
+    _land(spark, p.filter("id IS NULL OR id % 2 <> 0"), f"{raw}/second")
+    return build_clean(spark, raw, out)[0]
 
 
 def catalog() -> dict:
@@ -375,6 +451,10 @@ def catalog() -> dict:
         "request_summary": q_request_summary,
         "hoist_credits": q_hoist_credits,
         "ingest_valid": q_ingest_valid,
+        "ingest_valid_titled": q_ingest_valid_titled,
+        "dedup_first_arrival": q_dedup_first_arrival,
+        "typed_mixed_json": q_typed_mixed_json,
+        "drop_irrelevant": q_drop_irrelevant,
         "ingest_outcomes": q_ingest_outcomes,
         "ingest_summary": q_ingest_summary,
         "quarantine": q_quarantine,
@@ -423,5 +503,7 @@ def catalog() -> dict:
         "checkpointed_clean": q_checkpointed_clean,
         "raw_roundtrip": q_raw_roundtrip,
         "report_status": q_report_status,
+        "job_outputs": q_job_outputs,
+        "incremental_clean": q_incremental_clean,
     })
     return q

@@ -1,9 +1,12 @@
 """Sinks, publishing and resumable stages.
 
 * ``publish_table`` writes a new version directory (Spark's commit protocol
-  leaves ``_SUCCESS`` only after every task committed), then replaces a
-  small pointer file.  Readers follow the pointer, so the previous table
-  stays readable until the new one is complete; nothing is deleted first.
+  leaves ``_SUCCESS`` only after every task committed), then creates one
+  empty file whose name carries a running number and the version.  The
+  highest number is current.  Creating a file is one atomic step on any
+  store and nothing is replaced, so a reader sees the old table or the new
+  one at every moment, and a crash leaves the old one current.
+* Versions that are neither among the last few nor young are dropped.
 * ``load_or_build`` makes a stage idempotent: an existing complete output
   with the expected schema is reused unless ``fresh=True``.
 * ``write_documents`` lands raw documents as JSON lines.
@@ -16,7 +19,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-POINTER = "_CURRENT"
+POINTERS = "_published"
+KEEP_VERSIONS, KEEP_SECONDS = 3, 24 * 3600
 
 
 def _fs(spark: SparkSession, path: str):
@@ -34,65 +38,77 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path.rstrip('/')}/_SUCCESS")
 
 
-def _write_text(spark: SparkSession, path: str, text: str) -> None:
-    fs, p = _fs(spark, path)
-    out = fs.create(p, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-
-
-def _read_text(spark: SparkSession, path: str) -> str | None:
-    fs, p = _fs(spark, path)
-    if not fs.exists(p):
-        return None
-    jvm = spark.sparkContext._jvm
-    stream = fs.open(p)
-    try:
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, "UTF-8"))
-        line = reader.readLine()
-        return line.strip() if line else None
-    finally:
-        stream.close()
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    df.write.mode(mode).parquet(path)
-    return path
+def version_name(key: str = "") -> str:
+    """A fresh version name; a ``key`` is its end."""
+    return f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}" + (f"-{key}" if key else "")
 
 
 def write_version(df: DataFrame, root: str, version: str | None = None) -> str:
     """Write ``df`` as a new, not yet current, version under ``root``."""
-    version = version or f"{time.strftime('%Y%m%dT%H%M%S')}-{uuid.uuid4().hex[:8]}"
+    version = version or version_name()
     df.write.mode("errorifexists").parquet(f"{root.rstrip('/')}/v={version}")
     return version
 
 
 def publish_table(df: DataFrame, root: str, version: str | None = None) -> str:
-    """Write ``df`` as ``root/v=<version>`` and point ``root/_CURRENT`` at it."""
+    """Write ``df`` as ``root/v=<version>`` and make it current."""
     root = root.rstrip("/")
     version = write_version(df, root, version)
     point_to(df.sparkSession, root, version)
     return f"{root}/v={version}"
 
 
+def _pointers(spark: SparkSession, root: str) -> list[tuple[int, str, float]]:
+    """(number, version, age in seconds) of every publication, oldest first."""
+    fs, folder = _fs(spark, f"{root.rstrip('/')}/{POINTERS}")
+    if not fs.exists(folder):
+        return []
+    found = []
+    for st in fs.listStatus(folder):
+        number, _, version = st.getPath().getName().partition("--")
+        if version and number.isdigit():
+            found.append((int(number), version, time.time() - st.getModificationTime() / 1000))
+    return sorted(found)
+
+
 def point_to(spark: SparkSession, root: str, version: str) -> None:
-    """Make ``version`` current: write the pointer aside, then replace it."""
+    """Make ``version`` current and drop versions no longer needed."""
     root = root.rstrip("/")
-    tmp = f"{root}/.{POINTER}.{uuid.uuid4().hex[:8]}"
-    _write_text(spark, tmp, version)
-    fs, dst = _fs(spark, f"{root}/{POINTER}")
-    _, src = _fs(spark, tmp)
-    # rename onto an existing file is refused by Hadoop; replace it last
-    if fs.exists(dst):
-        fs.delete(dst, False)
-    if not fs.rename(src, dst):
-        raise IOError(f"could not publish pointer {root}/{POINTER}")
+    known = _pointers(spark, root)
+    number = known[-1][0] + 1 if known else 1
+    fs, pointer = _fs(spark, f"{root}/{POINTERS}/{number:012d}--{version}")
+    fs.create(pointer, False).close()
+    drop_versions(spark, root)
+
+
+def drop_versions(spark: SparkSession, root: str, keep: int = KEEP_VERSIONS,
+                  seconds: float = KEEP_SECONDS) -> int:
+    """Delete publications beyond the last ``keep`` that are older than
+    ``seconds`` (a reader that started before may still use them), pointer
+    first; returns how many."""
+    known = _pointers(spark, root.rstrip("/"))
+    live = {v for _, v, _ in known[-keep:]}
+    gone = 0
+    for number, version, age in known[:-keep]:
+        if age >= seconds:
+            fs, pointer = _fs(spark, f"{root.rstrip('/')}/{POINTERS}/{number:012d}--{version}")
+            fs.delete(pointer, False)
+            if version not in live:
+                fs, folder = _fs(spark, f"{root.rstrip('/')}/v={version}")
+                fs.delete(folder, True)
+            gone += 1
+    return gone
+
+
+def drop_version(spark: SparkSession, root: str, version: str) -> None:
+    """Delete a version that was written but never made current."""
+    fs, folder = _fs(spark, f"{root.rstrip('/')}/v={version}")
+    fs.delete(folder, True)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
-    return _read_text(spark, f"{root.rstrip('/')}/{POINTER}")
+    known = _pointers(spark, root)
+    return known[-1][1] if known else None
 
 
 def read_published(spark: SparkSession, root: str) -> DataFrame:

@@ -7,20 +7,21 @@ import logging
 
 from pyspark.sql import DataFrame
 
-from marquee.config import DEFAULTS, Settings
+from marquee.config import (DEFAULTS, SEARCH_CAST, SEARCH_GENRES, SEARCH_PAIR_CAST, SEARCH_PAIR_DIRECTOR,
+                            Settings)
 from marquee.operators import charts, cohorts, rankings, search
 
 log = logging.getLogger(__name__)
 
-# Report data sets written by the source pipeline: ten rankings and three
-# grouped reports (searches and the genre report are shown, not saved).
+# Report data sets that the source pipeline writes: ten rankings and three
+# grouped reports.  The job here writes all of ``report_builders``.
 SAVED_REPORTS = tuple(f"ranking_{n}" for n in rankings.RANKING_NAMES) + (
     "franchise_comparison", "top_franchises", "top_directors")
 
 
 def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
-                    genres=("Science Fiction", "Action"), cast=("Bruce Willis",),
-                    pair_cast=("Uma Thurman",), pair_director=("Quentin Tarantino",)) -> dict:
+                    genres=SEARCH_GENRES, cast=SEARCH_CAST, pair_cast=SEARCH_PAIR_CAST,
+                    pair_director=SEARCH_PAIR_DIRECTOR) -> dict:
     """name -> zero-argument builder of a lazy frame."""
     b = {}
     for name, *_ in rankings.ranking_specs(settings):
@@ -36,6 +37,14 @@ def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
     b["chart_break_even"] = lambda: charts.break_even(clean)
     b["chart_roi_histogram"] = lambda: charts.roi_histogram(clean, settings.histogram_max_bins)
     b["chart_roi_median"] = lambda: charts.roi_median(clean)
+    b["chart_revenue_budget_grid"] = lambda: charts.grid_counts(
+        charts.revenue_budget_points(clean), "budget_musd", "revenue_musd", settings.grid_bins)
+    b["chart_popularity_rating_grid"] = lambda: charts.grid_counts(
+        charts.popularity_rating_points(clean), "vote_average", "popularity", settings.grid_bins)
+    b["chart_franchise_comparison"] = lambda: charts.franchise_comparison_series(
+        cohorts.franchise_vs_standalone(clean, median=False))
+    b["chart_top_franchises"] = lambda: charts.top_franchise_series(
+        cohorts.top_franchises(clean, settings=settings))
     b["chart_popularity_rating"] = lambda: charts.popularity_rating_points(clean)
     b["chart_genre_distribution"] = lambda: charts.genre_distribution(clean, settings.genre_chart_top)
     return b
@@ -43,17 +52,26 @@ def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
 
 def _run_one(name, build, action):
     try:
-        df = build()
-        n = action(name, df) if action is not None else df.count()
+        n = action(name, build())
         return (name, "ok", int(n) if n is not None else None, None)
     except Exception as e:  # noqa: BLE001 - isolation is the point
         log.error("report %s failed: %s", name, e)
-        return (name, "failed", None, f"{type(e).__name__}: {str(e)[:500]}")
+        return (name, "failed", None, f"{type(e).__name__}: {e}")
 
 
-def run_isolated(builders: dict, action=None, parallelism: int = 1) -> list:
-    """Build and act on each report; a failure is recorded and the other
-    reports still run.  Returns rows (report, status, rows, error) in the
+def written_to(spark, root: str):
+    """An action that writes a report under ``root`` and returns its rows.
+    Writing computes every column; a count would let Spark skip them."""
+    def write(name, df):
+        path = f"{root.rstrip('/')}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path).count()
+    return write
+
+
+def run_isolated(builders: dict, action, parallelism: int = 1) -> list:
+    """Build each report and run ``action(name, frame)`` on it; a failure is
+    recorded with its whole message and the other reports still run.  Returns rows (report, status, rows, error) in the
     builders' order.
 
     With ``parallelism > 1`` reports are submitted from that many driver

@@ -5,21 +5,21 @@ under the session's shared folder (``spark.checkpoint.dir``), and read by
 every report, as a production run does.  The location is keyed by
 
 * the inputs' signature (path, size and modification time of every input
-  file, read through the Hadoop FileSystem API so it works on any store),
+  file),
 * a hash of the code that defines the stage,
 
-so a changed input or changed cleaning rules always rebuild it, and a
-written stage is only reused when complete (``_SUCCESS``).  A written table
-also survives lost executors, unlike cached blocks.
+so a changed input or changed cleaning rules always rebuild it, and a stage is
+only reused when published.  A written table also survives lost executors,
+unlike cached blocks.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from marquee.plans import publish
 from marquee.plans.storage import shared_dir
@@ -39,38 +39,26 @@ def code_hash() -> str:
 
 
 def input_signature(spark: SparkSession, paths) -> str:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    h = hashlib.sha256()
-    for p in paths:
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        fs = path.getFileSystem(conf)
-        for st in fs.listStatus(path):
-            h.update(f"{st.getPath().toString()}|{st.getLen()}|{st.getModificationTime()};".encode())
-    return h.hexdigest()[:16]
+    """A digest of path, size and modification time of every file under
+    ``paths``, nested ones included.  One small job: Spark lists the files
+    and adds up their hashes; no file is opened."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+             .select(F.xxhash64("path", "modificationTime", "length").alias("h"), "length"))
+    r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.bit_xor("h").alias("x"),
+                  F.sum(F.pmod("h", F.lit(1 << 40))).alias("s")).first()
+    return hashlib.sha256(f"{sorted(paths)}|{r['n']}|{r['size']}|{r['x']}|{r['s']}".encode()).hexdigest()[:16]
 
 
 def materialized(spark: SparkSession, name: str, inputs, build, fresh: bool = False) -> DataFrame:
-    """``build()`` written once under the shared folder and read back.
-
-    The table is written to a private temporary directory and renamed into
-    place only when complete, so concurrent runs never see a partial stage;
-    if another run won the rename, its (identical) table is used.
-    """
-    key = f"{input_signature(spark, inputs)}-{code_hash()}"
-    path = f"{shared_dir(spark)}/marquee/stages/{name}-{key}"
-    if fresh or not publish.is_complete(spark, path):
-        tmp = f"{path}.tmp-{uuid.uuid4().hex[:12]}"
-        build().write.parquet(tmp)
-        fs, dst = publish._fs(spark, path)
-        _, src = publish._fs(spark, tmp)
-        if fresh and fs.exists(dst):
-            fs.delete(dst, True)
-        if not fs.rename(src, dst):
-            fs.delete(src, True)
-            if not publish.is_complete(spark, path):
-                raise IOError(f"could not publish stage {path}")
-    return spark.read.parquet(path)
+    """``build()`` published once under the shared folder and read back.
+
+    Each build is a version of its own and becomes current in one step, so
+    concurrent runs never see a partial stage and a rebuild never takes the
+    files from under a reader."""
+    root = f"{shared_dir(spark)}/marquee/stages/{name}-{input_signature(spark, inputs)}-{code_hash()}"
+    if fresh or publish.current_version(spark, root) is None:
+        publish.publish_table(build(), root)
+    return publish.read_published(spark, root)
 
 
 def clean_stage(spark: SparkSession, sf_dir: str, fresh: bool = False) -> DataFrame:

@@ -2,47 +2,38 @@
 
 On a cluster the shared folder is whatever ``spark.checkpoint.dir`` names;
 it is read from the session and never replaced.  Only when it is unset (as
-in local tests) do we pick a directory of our own.
+in local tests) a folder inside the session's warehouse directory is used,
+which a cluster shares as well; never a machine-local temporary folder.
 """
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
-        d = spark.sparkContext.getCheckpointDir()
-    if not d:
-        if not spark.sparkContext.master.startswith("local"):
-            # a machine-local folder is invisible to other executors
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-        # local runs with nothing configured (tests): a folder of our own,
-        # registered as the checkpoint directory so later calls agree
-        d = tempfile.mkdtemp(prefix="marquee-ckpt-")
-        spark.sparkContext.setCheckpointDir(d)
+        d = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_marquee_shared"
     return d.rstrip("/")
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Make ``df.checkpoint()`` usable, using the configured shared folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    d = shared_dir(spark)
-    sc.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(shared_dir(spark))
     return sc.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh directory under the shared folder for one run's outputs."""
-    base = shared_dir(spark)
-    if "://" not in base:
-        os.makedirs(base, exist_ok=True)
-    return f"{base}/marquee/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh path under the shared folder for one run's outputs; what is
+    written there goes when the driver's JVM ends."""
+    path = f"{shared_dir(spark)}/marquee/{label}-{uuid.uuid4().hex[:12]}"
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(where.getParent())
+    fs.deleteOnExit(where)
+    return path

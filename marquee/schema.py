@@ -52,7 +52,16 @@ RAW_FIELDS = [
 RAW_SCHEMA = T.StructType(RAW_FIELDS)
 # Payload form as landed by the extractor before the credits hoist.
 PAYLOAD_SCHEMA = T.StructType(RAW_FIELDS + [T.StructField("credits", CREDITS)])
+# Documents as read from JSON: numbers are taken as their text, so a value
+# written as 1500000.0 or "1500000" is converted later instead of spoiling
+# the document.
+NUMERIC_FIELDS = ("id", "budget", "revenue", "runtime", "vote_count", "vote_average", "popularity")
+DOCUMENT_SCHEMA = T.StructType([
+    T.StructField(f.name, T.StringType() if f.name in NUMERIC_FIELDS else f.dataType)
+    for f in PAYLOAD_SCHEMA.fields])
 CORRUPT_COLUMN = "_corrupt_record"
+# Order of arrival of a document read from files.
+ARRIVAL_COLUMN = "_arrival"
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -60,7 +69,7 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
 
 
 CLEAN_SCHEMA = T.StructType([
-    T.StructField("id", T.IntegerType()),
+    T.StructField("id", T.LongType()),
     T.StructField("title", T.StringType()),
     T.StructField("tagline", T.StringType()),
     T.StructField("release_date", T.DateType()),
@@ -71,10 +80,10 @@ CLEAN_SCHEMA = T.StructType([
     T.StructField("revenue_musd", T.DoubleType()),
     T.StructField("production_companies", T.StringType()),
     T.StructField("production_countries", T.StringType()),
-    T.StructField("vote_count", T.IntegerType()),
+    T.StructField("vote_count", T.LongType()),
     T.StructField("vote_average", T.DoubleType()),
     T.StructField("popularity", T.DoubleType()),
-    T.StructField("runtime", T.IntegerType()),
+    T.StructField("runtime", T.LongType()),
     T.StructField("overview", T.StringType()),
     T.StructField("spoken_languages", T.StringType()),
     T.StructField("poster_path", T.StringType()),

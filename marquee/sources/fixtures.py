@@ -177,12 +177,32 @@ def payloads(spark: SparkSession, sf_dir: str, raw: DataFrame | None = None) ->
     return r.select(*cols)
 
 
+def arriving_payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, title, status and ``_arrival`` of landed payloads whose copies
+    differ: k % 10 = 0 has a second copy with another title (none for
+    k % 30 = 0) and status, which arrives before the first for k % 20 = 0;
+    k % 101 = 0 has a copy without id."""
+    d = documents(spark, sf_dir).select("id", "title", "status")
+    k, c = F.col("id"), F.col("_copy")
+    copies = F.filter(F.array(F.lit(0), F.lit(1), F.lit(2)),
+                      lambda c: (c == 0) | ((c == 1) & (k % 10 == 0)) | ((c == 2) & (k % 101 == 0)))
+    d = d.withColumn("_copy", F.explode(copies))
+    late = F.when(k % 20 == 0, k * 10 - 5).otherwise(k * 10 + 5)
+    return d.select(
+        F.when(c != 2, k).alias("id"),
+        F.when(c != 1, F.col("title")).when(k % 30 != 0, F.concat("title", F.lit(" (copy)"))).alias("title"),
+        F.when(c == 1, "Planned").otherwise(F.col("status")).alias("status"),
+        F.when(c == 0, k * 10).when(c == 1, late).otherwise(k * 10 + 7).alias("_arrival"))
+
+
 def request_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Requested ids: every order key, the k % 10 = 0 keys again, -1 and 0,
     and 50 keys above the largest that have no payload."""
     orders = star_table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"))
+    twice = orders.select(F.explode(F.when(F.col("id") % 10 == 0, F.array("id", "id"))
+                                    .otherwise(F.array("id"))).alias("id"))
     top = orders.agg(F.max("id").alias("m"))
     extra = top.select(F.explode(F.concat(
         F.array(F.lit(-1).cast("bigint"), F.lit(0).cast("bigint")),
         F.sequence(F.col("m") + 1, F.col("m") + 50))).alias("id"))
-    return orders.unionByName(orders.filter(F.col("id") % 10 == 0)).unionByName(extra)
+    return twice.unionByName(extra)

@@ -4,8 +4,9 @@ breaks on legal input (all-null structs, all-empty arrays)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from marquee.schema import CORRUPT_COLUMN, PAYLOAD_SCHEMA, with_corrupt_column
+from marquee.schema import ARRIVAL_COLUMN, CORRUPT_COLUMN, DOCUMENT_SCHEMA, with_corrupt_column
 
 
 # Declared schemas of the star-schema test tables: a declared schema skips
@@ -40,22 +41,33 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 read_clean = read_table
 
 
-def read_documents(spark: SparkSession, path, schema=PAYLOAD_SCHEMA,
-                   multi_line: bool = False, keep_corrupt: bool = True) -> DataFrame:
-    """Title documents under a declared schema.
+def read_documents(spark: SparkSession, path, schema=DOCUMENT_SCHEMA,
+                   multi_line: bool = False, keep_corrupt: bool = True,
+                   arrival: bool = False) -> DataFrame:
+    """Title documents under a declared schema, numbers as their text.
 
     JSON lines (the default) split across tasks; ``multi_line=True`` reads
     the single-array form, one task per file.  In PERMISSIVE mode a
-    malformed line, or a value of the wrong type, leaves its text in
-    ``_corrupt_record`` so it can be quarantined instead of failing the job.
+    malformed line leaves its text in ``_corrupt_record`` so it can be
+    quarantined instead of failing the job.  ``arrival=True`` adds the order
+    of arrival: file modification time, path, place of the split in the file
+    and place of the row in the split, which do not depend on how the files
+    are dealt to tasks.
     """
-    reader = spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
+    reader = (spark.read.option("mode", "PERMISSIVE").option("multiLine", multi_line)
+              .option("recursiveFileLookup", "true"))
     if keep_corrupt:
         reader = (reader.schema(with_corrupt_column(schema))
                   .option("columnNameOfCorruptRecord", CORRUPT_COLUMN))
     else:
         reader = reader.schema(schema)
-    return reader.json(path)
+    docs = reader.json(path)
+    if arrival:
+        m = "_metadata."
+        docs = docs.withColumn(ARRIVAL_COLUMN, F.struct(
+            F.col(m + "file_modification_time").alias("at"), F.col(m + "file_path").alias("file"),
+            F.col(m + "file_block_start").alias("split"), F.monotonically_increasing_id().alias("row")))
+    return docs
 
 
 def landed_documents_or_none(spark: SparkSession, path: str, **kw):

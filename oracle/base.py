@@ -25,6 +25,7 @@ def dsum2(expr: str) -> str:
     return f"CAST(SUM(CAST({expr} AS DECIMAL(38,10))) AS DECIMAL(38,2))::DOUBLE"
 
 
+# Fixed placeholder values (the same as the engine's).
 PLACEHOLDERS = "('No Data', '', 'N/A', 'no data', 'NA')"
 
 LINES_CTE = """
@@ -111,7 +112,7 @@ rows AS (
   FROM raw r JOIN copies c ON c.k = r.k
 ),
 typed AS (
-  SELECT CAST(rid AS INTEGER) AS id, title, status,
+  SELECT CAST(rid AS BIGINT) AS id, title, status,
     CASE WHEN tagline_raw NOT IN {ph} THEN tagline_raw END AS tagline,
     TRY_CAST(release_raw AS DATE) AS release_date,
     NULLIF(genres, '') AS genres,
@@ -121,10 +122,10 @@ typed AS (
     CAST(NULLIF(revenue_raw, 0) AS DOUBLE) / 1000000 AS revenue_musd,
     NULLIF(production_companies, '') AS production_companies,
     NULLIF(production_countries, '') AS production_countries,
-    CAST(votes_raw AS INTEGER) AS vote_count,
+    CAST(votes_raw AS BIGINT) AS vote_count,
     CASE WHEN votes_raw = 0 THEN NULL ELSE rating_raw END AS vote_average,
     popularity,
-    CAST(NULLIF(runtime_raw, 0) AS INTEGER) AS runtime,
+    CAST(NULLIF(runtime_raw, 0) AS BIGINT) AS runtime,
     CASE WHEN overview_raw NOT IN {ph} THEN overview_raw END AS overview,
     NULLIF(spoken_languages, '') AS spoken_languages,
     poster_path,

@@ -34,11 +34,11 @@ RANKINGS = [
 ]
 
 CLEAN_TYPES = [
-    ("id", "int"), ("title", "string"), ("tagline", "string"), ("release_date", "date"),
+    ("id", "bigint"), ("title", "string"), ("tagline", "string"), ("release_date", "date"),
     ("genres", "string"), ("belongs_to_collection", "string"), ("original_language", "string"),
     ("budget_musd", "double"), ("revenue_musd", "double"), ("production_companies", "string"),
-    ("production_countries", "string"), ("vote_count", "int"), ("vote_average", "double"),
-    ("popularity", "double"), ("runtime", "int"), ("overview", "string"),
+    ("production_countries", "string"), ("vote_count", "bigint"), ("vote_average", "double"),
+    ("popularity", "double"), ("runtime", "bigint"), ("overview", "string"),
     ("spoken_languages", "string"), ("poster_path", "string"), ("cast", "string"),
     ("cast_size", "int"), ("director", "string"), ("crew_size", "int"),
 ]
@@ -122,7 +122,7 @@ ORDER BY total_revenue DESC NULLS LAST, belongs_to_collection ASC LIMIT 10"""
 
 
 def _top_directors(person: bool):
-    src = ("(SELECT unnest(string_split(director, '|')) AS director, revenue_musd, vote_average "
+    src = ("(SELECT DISTINCT id, unnest(string_split(director, '|')) AS director, revenue_musd, vote_average "
            "FROM metrics WHERE director IS NOT NULL AND director <> '')" if person else
            "(SELECT * FROM metrics WHERE director IS NOT NULL AND director <> '')")
     return with_clean(f"""
@@ -225,6 +225,17 @@ outcome AS (SELECT v.id, CASE WHEN p.id IS NOT NULL THEN 'extracted' ELSE 'faile
             FROM valid v LEFT JOIN payload_ids p ON p.id = v.id)"""
 
 
+# Payload copies that differ, in order of arrival.
+ARRIVING = """
+, arriving AS (
+  SELECT k AS id, title, status, k * 10 AS arrival FROM raw
+  UNION ALL
+  SELECT k, CASE WHEN k % 30 <> 0 THEN title || ' (copy)' END, 'Planned',
+         CASE WHEN k % 20 = 0 THEN k * 10 - 5 ELSE k * 10 + 5 END FROM raw WHERE k % 10 = 0
+  UNION ALL
+  SELECT NULL, title, status, k * 10 + 7 FROM raw WHERE k % 101 = 0)"""
+
+
 # Reports run by ``report_status`` (names as the bundle calls them) and the
 # oracle query whose row count each must have.
 REPORT_BUNDLE = [(f"ranking_{n}", f"ranking_{n}") for n, *_ in RANKINGS] + [
@@ -235,6 +246,10 @@ REPORT_BUNDLE = [(f"ranking_{n}", f"ranking_{n}") for n, *_ in RANKINGS] + [
     ("top_directors", "top_directors"),
     ("genre_kpis", "genre_combination_kpis"),
     ("budget_band_kpis", None),
+    ("chart_revenue_budget_grid", "chart_revenue_budget_grid"),
+    ("chart_popularity_rating_grid", "chart_popularity_rating_grid"),
+    ("chart_franchise_comparison", "chart_franchise_comparison"),
+    ("chart_top_franchises", "chart_top_franchises"),
     ("chart_revenue_budget", "chart_revenue_budget"),
     ("chart_break_even", "chart_break_even"),
     ("chart_roi_histogram", "chart_roi_histogram"),
@@ -244,11 +259,33 @@ REPORT_BUNDLE = [(f"ranking_{n}", f"ranking_{n}") for n, *_ in RANKINGS] + [
 ]
 
 # the bundle's budget bands use the default edges 10, 50, 100, 200
-DEFAULT_BANDS = with_clean("""
-, b AS (SELECT CASE WHEN budget_musd < 10 THEN 0 WHEN budget_musd < 50 THEN 1
+DEFAULT_BANDS = with_clean(f"""
+, b AS (SELECT budget_musd, CASE WHEN budget_musd < 10 THEN 0 WHEN budget_musd < 50 THEN 1
                     WHEN budget_musd < 100 THEN 2 WHEN budget_musd < 200 THEN 3 ELSE 4 END AS band_index
         FROM metrics WHERE budget_musd IS NOT NULL)
-SELECT DISTINCT band_index FROM b""")
+SELECT band_index, {davg2('budget_musd')} AS mean_budget FROM b GROUP BY band_index""")
+
+# the number that is added up of each report in ``job_outputs``
+TOTALS = {f"ranking_{n}": m for n, m, *_ in RANKINGS} | {
+    "search_genres_cast": "vote_average", "search_cast_director": "runtime",
+    "franchise_comparison": "mean_revenue", "top_franchises": "total_revenue",
+    "top_directors": "total_revenue", "genre_kpis": "avg_revenue", "budget_band_kpis": "mean_budget",
+    "chart_revenue_budget": "revenue_musd", "chart_break_even": "max_value", "chart_roi_histogram": "count",
+    "chart_roi_median": "median_roi", "chart_revenue_budget_grid": "points",
+    "chart_popularity_rating_grid": "points", "chart_franchise_comparison": "value",
+    "chart_top_franchises": "total_revenue", "chart_popularity_rating": "popularity",
+    "chart_genre_distribution": "movies",
+}
+
+
+def _job_outputs(q: dict) -> str:
+    parts = [f"SELECT 'clean' AS name, COUNT(*) AS rows, {dsum2('revenue_musd')} AS total FROM ({q['clean_titles']}) t",
+             f"SELECT 'failed requests', COUNT(*), CAST(0 AS DOUBLE) FROM ({q['ingest_outcomes']}) t "
+             "WHERE outcome = 'failed'"]
+    for name, key in REPORT_BUNDLE:
+        sql = q[key] if key else DEFAULT_BANDS
+        parts.append(f"SELECT '{name}', COUNT(*), {dsum2(_q(TOTALS[name]))} FROM ({sql}) t")
+    return "\nUNION ALL\n".join(parts)
 
 
 def _report_status(q: dict) -> str:
@@ -281,10 +318,16 @@ def queries() -> dict:
         "SELECT rid AS id, CASE WHEN n_credits > 0 THEN COALESCE(director_names, '') END AS director "
         "FROM rows")
     q["typed_titles"] = with_clean(
-        "SELECT CAST(rid AS INTEGER) AS id, TRY_CAST(release_raw AS DATE) AS release_date, "
+        "SELECT CAST(rid AS BIGINT) AS id, TRY_CAST(release_raw AS DATE) AS release_date, "
         "CAST(budget_raw AS DOUBLE) AS budget, CAST(revenue_raw AS DOUBLE) AS revenue, "
-        "CAST(runtime_raw AS INTEGER) AS runtime, CAST(votes_raw AS INTEGER) AS vote_count, "
+        "CAST(runtime_raw AS BIGINT) AS runtime, CAST(votes_raw AS BIGINT) AS vote_count, "
         "rating_raw AS vote_average, popularity FROM rows")
+    q["typed_mixed_json"] = with_clean(
+        "SELECT CAST(CASE WHEN rid % 7 = 0 THEN rid + 3000000000 ELSE rid END AS BIGINT) AS id, "
+        "CAST(budget_raw AS DOUBLE) AS budget, CAST(revenue_raw AS DOUBLE) AS revenue, "
+        "CAST(runtime_raw AS BIGINT) AS runtime, CAST(votes_raw AS BIGINT) AS vote_count, "
+        "rating_raw AS vote_average, popularity FROM rows WHERE rid IS NOT NULL")
+    q["drop_irrelevant"] = with_clean("SELECT rid AS id, title, 'id,title' AS columns FROM rows")
     q["nullified_titles"] = with_clean(
         "SELECT id, title, status, overview, tagline, budget_musd, revenue_musd, runtime, vote_count, "
         "vote_average, genres, belongs_to_collection, director, \"cast\", production_companies, "
@@ -308,11 +351,13 @@ def queries() -> dict:
     q["rankings_long"] = _rankings_long()
     q["published_rankings"] = _rankings_long(with_rank=False)
     q["search_genres_cast"] = with_clean(
-        "SELECT title, vote_average, genres, \"cast\" FROM clean WHERE genres IS NOT NULL "
+        "SELECT title, vote_average, genres, \"cast\", CAST(row_number() OVER "
+        "(ORDER BY vote_average DESC NULLS LAST, id) AS INTEGER) AS position FROM clean WHERE genres IS NOT NULL "
         "AND \"cast\" IS NOT NULL AND contains(genres, 'PROMO') AND contains(genres, 'ECONOMY') "
         "AND contains(\"cast\", 'Supplier#000000003')")
     q["search_cast_director"] = with_clean(
-        "SELECT title, runtime, director, \"cast\" FROM clean WHERE \"cast\" IS NOT NULL "
+        "SELECT title, runtime, director, \"cast\", CAST(row_number() OVER "
+        "(ORDER BY runtime ASC NULLS FIRST, id) AS INTEGER) AS position FROM clean WHERE \"cast\" IS NOT NULL "
         "AND director IS NOT NULL AND contains(\"cast\", 'Supplier#000000005') "
         "AND contains(director, 'Supplier#000000003')")
     q["search_token"] = with_clean(
@@ -359,7 +404,13 @@ SELECT rid AS id,
   CAST(CASE WHEN rid IS NOT NULL AND rid % 3 = 0 THEN COALESCE(raw_cast_count, 0)
             ELSE raw_cast_count END AS INTEGER) AS crew_count
 FROM rows""")
-    q["ingest_valid"] = with_clean("SELECT DISTINCT rid AS id, title, status FROM rows WHERE rid IS NOT NULL")
+    first = "row_number() OVER (PARTITION BY id ORDER BY arrival) = 1"
+    q["ingest_valid"] = with_clean(
+        f"{ARRIVING} SELECT id, title, status FROM arriving WHERE id IS NOT NULL QUALIFY {first}")
+    q["ingest_valid_titled"] = with_clean(
+        f"{ARRIVING} SELECT id, title, status FROM arriving "
+        f"WHERE id IS NOT NULL AND title IS NOT NULL QUALIFY {first}")
+    q["dedup_first_arrival"] = with_clean(f"{ARRIVING} SELECT id, title, status FROM arriving QUALIFY {first}")
     q["ingest_outcomes"] = REQUESTS + PAYLOAD_IDS + " SELECT id, outcome FROM outcome"
     q["ingest_summary"] = REQUESTS + PAYLOAD_IDS + f"""
 SELECT COUNT(*) AS valid_requested, COUNT(*) FILTER (WHERE outcome = 'extracted') AS extracted,
@@ -368,9 +419,11 @@ SELECT COUNT(*) AS valid_requested, COUNT(*) FILTER (WHERE outcome = 'extracted'
 FROM outcome"""
     q["quarantine"] = with_clean("""
 , p AS (SELECT rid, CASE WHEN rid IS NOT NULL AND (rid % 41 = 0 OR rid % 37 = 0)
-                         THEN 'quarantined' ELSE 'good' END AS part FROM rows)
+                         THEN CASE WHEN rid % 41 = 0 THEN 'malformed' ELSE 'bad id' END ELSE 'good' END AS part FROM rows)
 SELECT part, COUNT(*) AS rows,
   CASE WHEN part = 'good' THEN COUNT(rid) ELSE 0 END AS rows_with_id
 FROM p GROUP BY part""")
     q["report_status"] = _report_status(q)
+    q["job_outputs"] = _job_outputs(q)
+    q["incremental_clean"] = q["clean_titles"]
     return q

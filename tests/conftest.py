@@ -40,10 +40,10 @@ def small_clean(spark):
 
 
 def docs_frame(spark, docs):
-    """Hand-written JSON documents read under the payload schema."""
+    """Hand-written JSON documents read under the document schema."""
     import json
-    from marquee.schema import PAYLOAD_SCHEMA, with_corrupt_column
+    from marquee.schema import DOCUMENT_SCHEMA, with_corrupt_column
     lines = [d if isinstance(d, str) else json.dumps(d) for d in docs]
     rdd = spark.sparkContext.parallelize(lines, 1)
-    return (spark.read.schema(with_corrupt_column(PAYLOAD_SCHEMA))
+    return (spark.read.schema(with_corrupt_column(DOCUMENT_SCHEMA))
             .option("columnNameOfCorruptRecord", "_corrupt_record").json(rdd))

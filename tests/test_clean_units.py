@@ -77,10 +77,43 @@ def test_release_date_forms(spark):
     assert one(t, "release_date", 4) is None
 
 
-def test_overflow_id_dropped(spark):
-    docs = [base(1), base(3_000_000_000)]
-    c = clean_titles(docs_frame(spark, docs))
-    assert [r.id for r in c.collect()] == [1]
+def test_large_ids_and_counts_are_kept(spark):
+    docs = [base(1), base(3_000_000_000, vote_count=5_000_000_000, runtime=4_000_000_000)]
+    c = {r.id: r for r in clean_titles(docs_frame(spark, docs)).collect()}
+    assert set(c) == {1, 3_000_000_000}
+    assert c[3_000_000_000].vote_count == 5_000_000_000 and c[3_000_000_000].runtime == 4_000_000_000
+
+
+def test_numbers_in_any_form_keep_the_title(spark):
+    docs = [base("4", budget=1500000.0, runtime=100.0), base(5, budget="2000000", runtime="90", popularity="1.5"),
+            base(6.0, budget="many", popularity="NaN", genres="not a list")]
+    good, bad = split_corrupt(docs_frame(spark, docs))
+    assert bad.count() == 0
+    t = {r.id: r for r in nullified(good).collect()}
+    assert t[4].budget_musd == 1.5 and t[4].runtime == 100
+    assert t[5].budget_musd == 2.0 and t[5].runtime == 90 and t[5].popularity == 1.5
+    assert t[6].budget_musd is None and t[6].popularity is None and t[6].genres is None
+
+
+def test_quarantine_says_why(spark):
+    docs = [base(1), '{"id": "x", "title": "bad"}', '{"id": 5, "title": ', '{"title": "no id"}']
+    good, bad = split_corrupt(docs_frame(spark, docs))
+    assert sorted(r.reason for r in bad.collect()) == ["bad id", "malformed"]
+    assert good.count() == 2
+
+
+def test_sums_leave_out_what_no_decimal_holds(spark):
+    from marquee.functions.columns import exact_avg, exact_sum
+    df = spark.createDataFrame([(1e300,), (float("nan"),), (1.0,), (2.0,)], "v double")
+    assert tuple(df.agg(exact_avg("v"), exact_sum("v")).first()) == (1.5, 3.0)
+
+
+def test_a_name_twice_in_a_title_counts_once(spark):
+    from marquee.operators.cohorts import top_directors
+    df = spark.createDataFrame([(1, "A|A", 10.0, 1.0, 5.0), (2, "A|B", 5.0, 1.0, 7.0)],
+                               "id long, director string, revenue_musd double, budget_musd double, vote_average double")
+    got = {r.director: (r.total_movies, r.total_revenue) for r in top_directors(df, by="person").collect()}
+    assert got == {"A": (2, 15.0), "B": (1, 5.0)}
 
 
 def test_text_id_quarantined(spark):

@@ -53,7 +53,7 @@ def test_json_array_form(spark, tmp_path):
     path = tmp_path / "movies.json"
     path.write_text(json.dumps(docs, indent=2))
     df = read_documents(spark, str(path), multi_line=True)
-    assert sorted((r.id, r.title) for r in df.collect()) == [(1, "A"), (2, "B")]
+    assert sorted((r.id, r.title) for r in df.collect()) == [("1", "A"), ("2", "B")]
 
 
 def test_landed_or_none(spark):

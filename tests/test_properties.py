@@ -151,3 +151,20 @@ def test_exact_median_null_group(spark):
     for kw in ({}, {"threshold": 1, "pivots": 2}):
         got = {r.g: r.median for r in exact_median(df, "v", ["g"], **kw).collect()}
         assert got == {None: 2.0, "a": 7.0}, kw
+
+
+def test_exact_median_heavy_ties_take_few_rounds(spark):
+    """99 % ties: the tied value is a cut point with a bucket of its own."""
+    import statistics
+
+    values = [5.0] * 39_600 + [float(i % 397) / 100 for i in range(400)]
+    rounds = []
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_median(df, "v", threshold=1000, on_round=rounds.append).first()[0]
+    assert got == statistics.median(values) and len(rounds) <= 4
+    # the median just below the tied value
+    values = [5.0] * 19_990 + [4.999 - i / 1e6 for i in range(20_010)]
+    rounds.clear()
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = exact_median(df, "v", threshold=1000, on_round=rounds.append).first()[0]
+    assert got == statistics.median(values) and len(rounds) <= 4
