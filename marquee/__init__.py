@@ -14,7 +14,8 @@ Layout:
                    searches, grouped reports, chart data, statistics, ingest
 * ``plans``      - compositions: the clean pipeline, report bundle,
                    publishing, idempotent stages and the end-to-end job
-* ``streaming``  - the same cleaning applied to payload files as they land
+* ``llm``        - operators for training data (an optional part that nothing
+                   else imports)
 """
 
 from marquee.config import Settings, DEFAULTS
