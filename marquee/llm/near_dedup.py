@@ -12,13 +12,20 @@ classes next to each other.
   value deeper, and so on, so depth adapts to how crowded a region is.
 * In all regions, neighbours in the sorted order (longest common prefix)
   are candidates, at whatever depth they part.
+* A candidate pair goes on when its sizes allow a link and its sketches (one
+  bit of each minimum) agree in no fewer places than ``DEVIATIONS`` standard
+  deviations below what a pair at the threshold has.
 * Regions that were cut may have parted a linked pair.  For them there is a
-  second round: after the links found so far are joined to components, each
-  region in which several components meet compares, between components, the
-  classes by whole signatures, and every pair whose estimate is within
-  ``SLACK`` of the threshold becomes a candidate, whatever its depth.
-
-Every candidate is confirmed on the full sets with integer arithmetic
+  second round, over the regions of ``CROWD_TREES`` trees: after the links
+  found so far are joined to components, each region in which several
+  components meet is compared on full sets, every class outside the region's
+  main component against all of the region.  Classes too few of whose
+  shingles occur in another class of those regions cannot be linked and are
+  left out first.  Regions of more than ``BLOCK_ITEMS`` shingles are split
+  into blocks that meet pairwise, so a task's memory is bounded; only links
+  that join two components leave it, never pairs.
+
+Every candidate pair is confirmed on the full sets with integer arithmetic
 (100 * intersection >= percent * union).  Components grow by hooking and
 pointer jumping over the confirmed links.
 
@@ -35,6 +42,7 @@ empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,18 +50,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.bits import bit_filter, bit_set
 from marquee.llm.common import documents, stage, text_or_empty
 from marquee.llm.words import SPACED, blocks, mix, sequence_hashes, tokenised, whole_hash
 
 HASHES, TREES, DEPTH, BASE, SMALL = 96, 24, 8, 4, 4
-#: A second-round pair is tried when its estimate is above threshold - SLACK
-#: (over five standard deviations of the estimate).
-SLACK = 0.2
+DEVIATIONS = 4.5
+#: Trees whose regions are compared in the second round: a pair at the
+#: threshold 0.85 shares one of them with probability above 0.9998.
+CROWD_TREES = 12
+#: Shingles of a block of a region.
+BLOCK_ITEMS = 1_000_000
 _RNG = np.random.RandomState(11)
 _MULTIPLIERS = (_RNG.randint(0, 1 << 31, HASHES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)).astype(np.uint32)
 _OFFSETS = _RNG.randint(0, 1 << 32, HASHES, dtype=np.uint64).astype(np.uint32)
 
 
+def sketch_agreement(percent: int) -> int:
+    """The least number of agreeing sketch bits of a candidate pair."""
+    p = (1 + percent / 100) / 2
+    return math.floor(HASHES * p - DEVIATIONS * math.sqrt(HASHES * p * (1 - p)))
+
+
 def tree_choice(tree: int) -> list[int]:
     """The signature values of a tree, in order."""
     return np.random.RandomState(1000 + tree).permutation(HASHES)[:DEPTH].tolist()
@@ -87,25 +105,33 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-FEATURES_DDL = "doc_id long, n_shingles long, k1 long, k2 long, sig binary"
+FEATURES_DDL = "doc_id long, n_shingles long, k1 long, k2 long, sig binary, b1 long, b2 long"
+#: Places of the sketch bits in their two words.
+_HALF = HASHES // 2
+_PLACES = np.int64(1) << np.arange(_HALF, dtype=np.int64)
 
 
 def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = batch.column("doc_id").to_pylist()
-        out: list[list] = [[], [], [], [], []]
+        out: list[list] = [[], [], [], [], [], [], []]
         part: list[tuple[int, np.ndarray]] = []
         held = 0
 
         def take() -> None:
             full = [p for p in part if len(p[1])]
-            sig = iter(_signatures([s for _, s in full])) if full else iter(())
+            sigs = _signatures([s for _, s in full]) if full else np.zeros((0, HASHES), dtype=np.uint32)
+            bits = (sigs & 1).astype(np.int64)
+            sig = iter(zip(sigs, (bits[:, :_HALF] * _PLACES).sum(1).tolist(), (bits[:, _HALF:] * _PLACES).sum(1).tolist()))
             for i, s in part:
                 out[0].append(ids[i])
                 out[1].append(len(s))
                 out[2].append(int(s.sum(dtype=np.uint64).view(np.int64)))
                 out[3].append(int(mix(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64).view(np.int64)))
-                out[4].append(next(sig).astype(">u4").tobytes() if len(s) else None)
+                values, b1, b2 = next(sig) if len(s) else (None, None, None)
+                out[4].append(values.astype(">u4").tobytes() if len(s) else None)
+                out[5].append(b1)
+                out[6].append(b2)
 
         for row in shingle_sets(batch, k):
             part.append(row)
@@ -116,8 +142,8 @@ def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
         take()
         yield pa.RecordBatch.from_arrays(
             [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
-             pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())],
-            names=["doc_id", "n_shingles", "k1", "k2", "sig"])
+             pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.int64()),
+             pa.array(out[6], pa.int64())], names=["doc_id", "n_shingles", "k1", "k2", "sig", "b1", "b2"])
 
 
 CANDIDATES_DDL = "kind int, x long, y long"
@@ -130,10 +156,12 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
     that was cut deeper.
     """
     out: list[list[int]] = [[], [], []]
+    least = sketch_agreement(percent)
 
     def pair(p, q) -> None:
         a, b, n, m = p[2], q[2], p[3], q[3]
-        if 100 * min(n, m) >= percent * max(n, m):      # else no link is possible
+        if (100 * min(n, m) >= percent * max(n, m)
+                and HASHES - (p[4] ^ q[4]).bit_count() - (p[5] ^ q[5]).bit_count() >= least):
             out[0].append(0)
             out[1].append(min(a, b))
             out[2].append(max(a, b))
@@ -160,13 +188,14 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                 pair(p, q)
             region = int(mix(np.array([int.from_bytes(rows[0][1][:8]) ^ (int.from_bytes(rows[0][1][8:16]) * 31 % (1 << 64))
                                        ^ rows[0][0] << 7], dtype=np.uint64))[0].view(np.int64))
-            out[0].extend([1] * len(rows))
-            out[1].extend([region] * len(rows))
-            out[2].extend(r[2] for r in rows)
+            if rows[0][0] < CROWD_TREES:
+                out[0].extend([1] * len(rows))
+                out[1].extend([region] * len(rows))
+                out[2].extend(r[2] for r in rows)
 
     group: list = []
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("tree", "label", "cls", "n"))):
+        for row in zip(*(batch.column(c).to_pylist() for c in ("tree", "label", "cls", "n", "b1", "b2"))):
             if group and (row[0] != group[0][0] or row[1][:4 * BASE] != group[0][1][:4 * BASE]):
                 close(group)
                 group = []
@@ -181,33 +210,65 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                                           pa.array(out[2], pa.int64())], names=["kind", "x", "y"])
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are similar enough."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+def member_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """doc_id and the full shingle set (sorted 64-bit numbers) of the
+    documents in ``ids`` (column doc_id), and of a few more: which are wanted
+    is a filter of fixed size, so the texts are not shuffled."""
+    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.col("doc_id").alias("m"))))
 
     def sets(batches):
         for batch in batches:
-            got = [(i, s.astype("<u8").tobytes()) for i, s in shingle_sets(batch, k)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for _, s in got], pa.binary())],
+            batch = batch.filter(batch.column("doc_id").is_valid())
+            batch = batch.filter(pa.array(bit_set(wanted.value, np.asarray(batch.column("doc_id"), dtype=np.int64))))
+            held: list[bytes] = []
+            begin = 0
+            for i, s in shingle_sets(batch, k):
+                held.append(s.astype("<u8").tobytes())
+                if len(held) >= 1000:
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id")[begin:i + 1], pa.array(held, pa.binary())],
+                                                     names=["doc_id", "items"])
+                    held, begin = [], i + 1
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[begin:], pa.array(held, pa.binary())],
                                              names=["doc_id", "items"])
 
+    return stage(docs.mapInArrow(sets, "doc_id long, items binary")
+                 .groupBy("doc_id").agg(F.min("items").alias("items")), "near-sets")
+
+
+def confirmed(items: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets (rows of ``items``) are similar enough."""
     def compare(batches):
         for batch in batches:
             keep = []
             for x, y in zip(batch.column("sa"), batch.column("sb")):
                 x, y = np.frombuffer(x.as_py(), dtype="<u8"), np.frombuffer(y.as_py(), dtype="<u8")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                shared = len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    items = (docs.join(ids, "doc_id", "left_semi").mapInArrow(sets, "doc_id long, items binary")
-             .groupBy("doc_id").agg(F.min("items").alias("items")))
-    items = stage(items, "near-sets")
     both = (pairs.join(items.select(F.col("doc_id").alias("a"), F.col("items").alias("sa")), "a")
             .join(items.select(F.col("doc_id").alias("b"), F.col("items").alias("sb")), "b"))
     return both.select("a", "b", "sa", "sb").mapInArrow(compare, "a long, b long")
 
 
+def shared_counts(items: DataFrame) -> DataFrame:
+    """vertex, c: how many of its shingles another row of ``items`` has too
+    (never too few: a filter of fixed size tells shared shingles)."""
+    def each(batches):
+        for batch in batches:
+            for x in batch.column("items"):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(x.as_py(), dtype="<i8"))], names=["m"])
+
+    often = items.select("items").mapInArrow(each, "m long").groupBy("m").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    shared = items.sparkSession.sparkContext.broadcast(bit_filter(often))
+
+    def count(batches):
+        for batch in batches:
+            c = [int(bit_set(shared.value, np.frombuffer(x.as_py(), dtype="<u8")).sum()) for x in batch.column("items")]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(c, pa.int64())], names=["vertex", "c"])
+    return items.mapInArrow(count, "vertex long, c long")
+
+
 def components(links: DataFrame) -> DataFrame:
     """vertex, component (its smallest reachable vertex) for the vertices of
     ``links`` (a, b).  Each round hooks vertices and their current roots to
@@ -233,47 +294,105 @@ def components(links: DataFrame) -> DataFrame:
             return label.withColumnRenamed("root", "component")
 
 
+def _joining_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Links (a, b) that join different components of a region, from rows
+    (region, lo, hi, vertex, component, main, items) sorted by the first three."""
+    def close(rows: list[tuple]) -> list[tuple[int, int]]:
+        items = [np.frombuffer(r[6], dtype="<u8") for r in rows]
+        n = np.array([len(x) for x in items])
+        _, number = np.unique(np.concatenate(items), return_inverse=True)
+        at = np.concatenate([[0], np.cumsum(n)[:-1]])
+        root = {r[4]: r[4] for r in rows}
+
+        def top(c: int) -> int:
+            while root[c] != c:
+                root[c] = root[root[c]]
+                c = root[c]
+            return c
+
+        mark = np.zeros(number.max() + 1, dtype=np.int32)
+        links = []
+        for i, r in enumerate(rows):
+            if r[4] == r[5]:
+                continue
+            mine = number[at[i]:at[i] + n[i]]
+            mark[mine] = 1
+            shared = np.add.reduceat(mark[number], at)
+            mark[mine] = 0
+            for j in np.flatnonzero(100 * shared >= percent * (n + n[i] - shared)):
+                x, y = top(r[4]), top(rows[j][4])
+                if x != y:
+                    root[x] = y
+                    links.append((min(r[3], rows[j][3]), max(r[3], rows[j][3])))
+        return links
+
+    group: list[tuple] = []
+    names = ("region", "lo", "hi", "vertex", "component", "main", "items")
+    for batch in batches:
+        for row in zip(*(batch.column(c).to_pylist() for c in names)):
+            if group and row[:3] != group[0][:3]:
+                links = close(group)
+                if links:
+                    yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)],
+                                                     names=["a", "b"])
+                group = []
+            group.append(row)
+    if group:
+        links = close(group)
+        yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+
+def links_across(met: DataFrame, classes: DataFrame, items: DataFrame, percent: int) -> DataFrame:
+    """Links between different components of the regions in ``met`` (region,
+    vertex, component)."""
+    facts = (classes.select(F.col("cls").alias("vertex"), F.col("n_shingles").alias("n"))
+             .join(shared_counts(items), "vertex").filter(100 * F.col("c") >= percent * F.col("n")))
+    met = met.join(facts, "vertex")
+    parts = met.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    regions = (parts.groupBy("region")
+               .agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
+                    F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
+               .filter("parts > 1").drop("parts"))
+    block = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
+    rows = (met.select("region", "vertex", "component").join(regions, "region").withColumn("block", block)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
+                    "vertex", "component", "main"))
+    rows = rows.join(items.withColumnRenamed("doc_id", "vertex"), "vertex")
+    return (rows.repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi", "vertex")
+            .select("region", "lo", "hi", "vertex", "component", "main", "items")
+            .mapInArrow(lambda it: _joining_links(it, percent), "a long, b long").distinct())
+
+
 def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     feats = stage(d.mapInArrow(lambda it: _features(it, shingle), FEATURES_DDL), "near-features")
     classes = stage(feats.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "k1", "k2")
-                    .agg(F.min_by("sig", "doc_id").alias("sig"), F.min("doc_id").alias("cls")), "near-classes")
+                    .agg(F.first("sig").alias("sig"), F.first("b1").alias("b1"), F.first("b2").alias("b2"),
+                         F.min("doc_id").alias("cls")), "near-classes")
     labels = [F.struct(F.lit(t).alias("tree"),
                        F.concat(*[F.substring("sig", 4 * j + 1, 4) for j in tree_choice(t)]).alias("label"))
               for t in range(TREES)]
-    forest = (classes.select("cls", F.col("n_shingles").alias("n"), F.explode(F.array(*labels)).alias("l"))
-              .select("l.tree", "l.label", "cls", "n", F.substring("l.label", 1, 4 * BASE).alias("base")))
-    found = stage(forest.repartition("tree", "base").sortWithinPartitions("tree", "label", "cls")
-                  .select("tree", "label", "cls", "n")
+    forest = (classes.select("cls", F.col("n_shingles").alias("n"), "b1", "b2", F.explode(F.array(*labels)).alias("l"))
+              .select("l.tree", "l.label", "cls", "n", "b1", "b2"))
+    found = stage(forest.repartition("tree", F.substring("label", 1, 4 * BASE))
+                  .sortWithinPartitions("tree", "label", "cls")
                   .mapInArrow(lambda it: _regions(it, percent), CANDIDATES_DDL), "near-candidates")
     pairs = stage(found.filter("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "near-pairs")
-    links = stage(confirmed(d, pairs, shingle, percent), "near-confirmed")
+    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    links = stage(confirmed(member_sets(d, ends, shingle), pairs, percent), "near-confirmed")
     roots = components(links)
     # second round: crowded regions in which several components meet
     crowd = (found.filter("kind = 1").select(F.col("x").alias("region"), F.col("y").alias("vertex"))
              .join(roots, "vertex", "left").select("region", "vertex", F.coalesce("component", "vertex").alias("component")))
     mixed = (crowd.groupBy("region").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .filter("lo < hi").select("region"))
-    met = crowd.join(mixed, "region")
-    size = met.groupBy("region", "component").agg(F.count(F.lit(1)).alias("c"))
-    main = size.groupBy("region").agg(F.max_by("component", F.struct("c", "component")).alias("main"))
-    sig = classes.select(F.col("cls").alias("vertex"), F.col("n_shingles").alias("n"),
-                         F.transform(F.sequence(F.lit(0), F.lit(HASHES - 1)),
-                                     lambda j: F.substring(F.col("sig"), j * 4 + 1, F.lit(4))).alias("s"))
-    met = stage(met.join(main, "region").join(sig, "vertex"), "near-crowd")
-    # every pair of components but the main one with itself: one side is always outside the main component
-    one = met.filter("component <> main").select("region", *[F.col(c).alias(c + "1") for c in ("vertex", "component", "n", "s")])
-    alike = F.size(F.filter(F.zip_with("s", "s1", lambda p, q: p == q), lambda e: e))
-    more = (met.join(one, "region").filter(
-        (F.col("component") != F.col("component1")) & (F.col("vertex") != F.col("vertex1"))
-        & (100 * F.least("n", "n1") >= percent * F.greatest("n", "n1"))
-        & (alike >= int((percent / 100 - SLACK) * HASHES)))
-        .select(F.least("vertex", "vertex1").alias("a"), F.greatest("vertex", "vertex1").alias("b")).distinct())
-    more = stage(more.join(pairs, ["a", "b"], "left_anti"), "near-more")
-    if more.limit(1).count():
-        links2 = stage(confirmed(d, more, shingle, percent), "near-confirmed")
+    met = stage(crowd.join(mixed, "region"), "near-crowd")
+    if met.limit(1).count():
+        items = member_sets(d, met.select(F.col("vertex").alias("doc_id")), shingle)
+        links2 = stage(links_across(met, classes, items, percent), "near-confirmed")
         if links2.limit(1).count():
             roots = components(links.union(links2))
     of_class = (classes.select("n_shingles", "k1", "k2", "cls")

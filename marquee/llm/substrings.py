@@ -39,13 +39,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marquee.llm.bits import bit_filter, bit_set
 from marquee.llm.common import documents, stage, text_or_empty
 from marquee.llm.words import SPACED, blocks, sequence_hashes, tokenised
 
 WINDOW, MINIMISER = 50, 10
-#: Bits of the filter of shared minimisers and of the filter of hot ones (4 KB pages).
-FILTER_BITS = 1 << 26
-PAGE = 1 << 15
 #: Rows of a minimiser from which its windows travel one by one.
 HOT = 2_000
 
@@ -93,22 +91,6 @@ def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["m", "doc_id"])
 
 
-def _bit_filter(keys: DataFrame) -> np.ndarray:
-    """A bit for each value of ``m`` modulo FILTER_BITS; pages are built by Spark."""
-    place = F.pmod(F.col("m"), F.lit(FILTER_BITS))
-    pages = (keys.select(place.alias("p")).select(F.floor(F.col("p") / PAGE).cast("int").alias("page"), F.pmod("p", F.lit(PAGE)).alias("bit"))
-             .groupBy("page").agg(F.call_function("bitmap_construct_agg", F.col("bit")).alias("bits")))
-    out = np.zeros(FILTER_BITS // 8, dtype=np.uint8)
-    for r in pages.toLocalIterator():       # at most FILTER_BITS / 8 bytes in all
-        out[r["page"] * (PAGE // 8):(r["page"] + 1) * (PAGE // 8)] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
-
-
-def _set(bits: np.ndarray, m: np.ndarray) -> np.ndarray:
-    p = m % np.uint64(FILTER_BITS)
-    return (bits[(p >> np.uint64(3)).astype(np.int64)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-
-
 _PACKED = pa.schema([("m", pa.int64()), ("m2", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()),
                      ("at", pa.int64()), ("words", pa.binary())])
 PACKED_DDL = "m long, m2 long, doc_id long, row long, at long, words binary"
@@ -135,8 +117,8 @@ def _packed(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarr
                 low, starts, counts = minimisers(mine)
                 if doc is None or not len(low):
                     continue
-                sent = _set(shared, low)
-                warm = sent & _set(hot, low)
+                sent = bit_set(shared, low)
+                warm = sent & bit_set(hot, low)
                 for i in np.flatnonzero(sent & ~warm):
                     s, n = int(starts[i]), int(counts[i]) + WINDOW - 1
                     a, e = b.start[first + s], b.end[first + s + n - 1]
@@ -227,8 +209,8 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     counted = stage(d.mapInArrow(_keys, "m long, doc_id long").groupBy("m")
                     .agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"), F.count(F.lit(1)).alias("n"))
                     .filter("lo < hi").select("m", "n"), "minimisers")
-    shared = spark.sparkContext.broadcast(_bit_filter(counted))
-    warm = spark.sparkContext.broadcast(_bit_filter(counted.filter(F.col("n") > hot)))
+    shared = spark.sparkContext.broadcast(bit_filter(counted))
+    warm = spark.sparkContext.broadcast(bit_filter(counted.filter(F.col("n") > hot)))
     sent = stage(d.mapInArrow(lambda it: _packed(it, shared.value, warm.value), PACKED_DDL), "super-kmers")
     cold = (sent.filter("words IS NOT NULL").select("m", "doc_id", "row", "at", "words")
             .repartition("m").sortWithinPartitions("m").mapInArrow(_repeated, "doc_id long, row long, a long, b long"))
