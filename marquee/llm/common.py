@@ -46,10 +46,6 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     Cuts lineage, survives lost executors, and the files go when the
     driver's JVM ends.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, f"llm-{label}")
+    path = scratch_path(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(where)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
