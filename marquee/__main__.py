@@ -3,7 +3,8 @@
 Runs the end-to-end job (landed documents -> quarantine -> published clean
 table -> reports and chart data) with the session that ``spark-submit`` (or
 the environment) configures, and prints the run status as JSON.  Without
-``--fresh`` a complete published clean table is reused.
+``--fresh`` the published clean table is reused while the landed files are
+the same.
 """
 
 from __future__ import annotations
