@@ -5,11 +5,11 @@ ones are cut into chunks that overlap by ``OVERLAP`` characters and are
 pre-tokenised in parallel.  A pre-token depends only on the text from its
 start on, so once two neighbouring chunks have a boundary in common in their
 overlap, the later chunk is in step with the whole text; there the document
-is cut.  The pieces between cuts are encoded in parallel, each with the one
-character after it for the pattern's look-ahead, and joined in order.  A
-document in which some overlap has no common boundary (a run of one kind of
-character longer than the overlap) is one piece.  Decoding concatenates the
-bytes of the ids.
+is cut, at the first common boundary that follows no white space (there the
+pattern's look-ahead does not reach over the cut).  The pieces between cuts are
+encoded in parallel and joined in order.  A document in which some overlap has
+no such boundary (a run of one kind of character longer than the overlap) is
+one piece.  Decoding concatenates the bytes of the ids.
 
 Defined cases: null text = empty text = no ids; repeated rows are documents
 of their own; a null identifier stays null; an empty table gives an empty
@@ -64,31 +64,13 @@ class Codec:
             s = f"{i},".encode()
             digits[i, :len(s)] = np.frombuffer(s, dtype=np.uint8)
         self.digits = digits
-        self.seen: dict[str, list[int]] = {}
 
     def encode(self, text: str) -> np.ndarray:
         return np.asarray(self.bpe.encode_to_numpy(text, disallowed_special=()), dtype=np.uint32)
 
     def boundaries(self, text: str) -> list[int]:
-        return [m.start() for m in self.pieces.finditer(text)]
-
-    def encode_piece(self, text: str, ahead: str) -> np.ndarray:
-        """The ids of ``text``, which ends at a boundary and is followed by ``ahead``."""
-        ids, done = [], 0
-        for m in self.pieces.finditer(text + ahead):
-            if m.start() >= len(text):
-                break
-            piece = m.group()
-            got = self.seen.get(piece)
-            if got is None:
-                if len(self.seen) > 100_000:
-                    self.seen.clear()
-                got = self.seen[piece] = self.bpe.encode_ordinary(piece)
-            ids += got
-            done = m.end()
-        if done != len(text):
-            raise ValueError("a piece must end at a boundary")
-        return np.array(ids, dtype=np.uint32)
+        """Pre-token starts that follow a character other than white space."""
+        return [p for p in (m.start() for m in self.pieces.finditer(text)) if p and not text[p - 1].isspace()]
 
     def decode(self, ids: np.ndarray) -> bytes:
         n = self.length[ids]
@@ -187,21 +169,20 @@ def _overlap_boundaries(batches, path: str, step: int, overlap: int):
 
 def _pieces(batches):
     schema = pa.schema([("doc_id", pa.int64()), ("key", pa.string()), ("copies", pa.int64()), ("at", pa.int64()),
-                        ("text", pa.string()), ("ahead", pa.string())])
+                        ("text", pa.string())])
     for batch in batches:
         for row in batch.to_pylist():
             text = row["text"]
             cuts = [0, *row["cuts"], len(text)]
             for a, b in zip(cuts, cuts[1:]):
                 yield pa.RecordBatch.from_pylist([{"doc_id": row["doc_id"], "key": row["key"], "copies": row["copies"],
-                                                   "at": a, "text": text[a:b], "ahead": text[b:b + 1]}], schema=schema)
+                                                   "at": a, "text": text[a:b]}], schema=schema)
 
 
 def _encode_pieces(batches, path: str):
     c = codec(path)
     for batch in batches:
-        ids = [c.encode_piece(t.as_py(), a.as_py()).astype("<u4").tobytes()
-               for t, a in zip(batch.column("text"), batch.column("ahead"))]
+        ids = [c.encode(t.as_py()).astype("<u4").tobytes() for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("key"), batch.column("copies"),
                                           batch.column("at"), pa.array(ids, pa.binary())],
                                          names=["doc_id", "key", "copies", "at", "ids"])
@@ -243,7 +224,7 @@ def encode_into(docs: DataFrame, finish, ddl: str, id_col: str = "doc_id", text_
                        .otherwise(F.array().cast("array<long>")).alias("cuts"))
     pieces = (long_.join(cuts, "key", "left")
               .withColumn("cuts", F.coalesce("cuts", F.array().cast("array<long>")))
-              .mapInArrow(_pieces, "doc_id long, key string, copies long, at long, text string, ahead string")
+              .mapInArrow(_pieces, "doc_id long, key string, copies long, at long, text string")
               .repartition("doc_id", "key", "at"))
     done = (pieces.mapInArrow(lambda it: _encode_pieces(it, path), "doc_id long, key string, copies long, at long, ids binary")
             .groupBy("doc_id", "key", "copies").agg(F.sort_array(F.collect_list(F.struct("at", "ids"))).alias("parts")))
