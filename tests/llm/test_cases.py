@@ -108,6 +108,26 @@ def test_near_chain_and_crowd(spark):
     assert {got[1000 + i] for i in range(120)} == {1000}
 
 
+def forest_rows(tree, labels, n=300, bits=None):
+    import pyarrow as pa
+
+    b1, b2 = bits or ([0] * len(labels), [0] * len(labels))
+    return pa.RecordBatch.from_pydict({
+        "tree": [tree] * len(labels), "label": [b"".join(v.to_bytes(4) for v in x) for x in labels],
+        "cls": list(range(len(labels))), "n": [n] * len(labels), "b1": b1, "b2": b2})
+
+
+def test_near_crowded_regions_of_all_trees():
+    trees = [near_dedup.tree_choice(t) for t in range(near_dedup.TREES)]
+    first = [j for t in trees for j in t[:near_dedup.BASE]]
+    assert sorted(first) == list(range(near_dedup.HASHES))
+    assert all(len(set(t)) == near_dedup.DEPTH for t in trees)
+    for tree in range(near_dedup.TREES):
+        batch = forest_rows(tree, [(1, 2, 3, 4, i, i, i, i) for i in range(9)])
+        got = [r for b in near_dedup._regions([batch], 80) for r in b.to_pylist()]
+        assert sorted(r["y"] for r in got if r["kind"] == 1) == list(range(9))
+
+
 def test_components(spark):
     n = 300
     links = [(i, i + 1) for i in range(n) if i % 50 != 49] + [(7, 260)]
