@@ -128,6 +128,22 @@ def test_near_crowded_regions_of_all_trees():
         assert sorted(r["y"] for r in got if r["kind"] == 1) == list(range(9))
 
 
+def test_near_short_sets_need_no_sketch(spark):
+    label = (1, 2, 3, 4, 5, 6, 7, 8)
+    far = ([0, (1 << 48) - 1], [0, (1 << 48) - 1])
+    short = near_dedup._regions([forest_rows(0, [label, label], 5, far)], 80)
+    assert [r for b in short for r in b.to_pylist()] == [{"kind": 0, "x": 0, "y": 1}]
+    large = near_dedup._regions([forest_rows(0, [label, label], 5000, far)], 80)
+    assert not [r for b in large for r in b.to_pylist()]
+    # nine words against their first eight: 4 of 5 shingles of five words, exactly 0.8
+    data = []
+    for i in range(1000):
+        w = [f"w{i}x{j}" for j in range(9)]
+        data += [(2 * i, " ".join(w), "en", "a", 1), (2 * i + 1, " ".join(w[:8]), "en", "a", 1)]
+    got = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, data), 5, 80).collect()}
+    assert all(got[2 * i + 1] == 2 * i for i in range(1000))
+
+
 def test_components(spark):
     n = 300
     links = [(i, i + 1) for i in range(n) if i % 50 != 49] + [(7, 260)]
