@@ -26,9 +26,16 @@ share one of their first ``BASE`` values.
   components meet is compared on full sets, every class outside the region's
   main component against all of the region.  Classes too few of whose
   shingles occur in another class of those regions cannot be linked and are
-  left out first.  Regions of more than ``BLOCK_ITEMS`` shingles are split
-  into blocks that meet pairwise, so a task's memory is bounded; only links
-  that join two components leave it, never pairs.
+  left out first.  The main component's classes and the others are split into
+  blocks of ``BLOCK_ITEMS`` shingles; blocks of others meet all blocks, main
+  blocks do not meet each other, so a task's memory is bounded and a region
+  with few others ships each main class once.  Only links that join two
+  components leave a task, never pairs.
+
+The sorted order is cut into ranges, so a region with a large part of all
+classes is read by several tasks, each as a stream that holds a few rows.
+Regions at the ends of a range go to the second round whatever their size, so
+a pair that a cut parts is compared there.
 
 Every candidate pair is confirmed on the full sets with integer arithmetic
 (100 * intersection >= percent * union).  Components grow by hooking and
@@ -156,10 +163,10 @@ CANDIDATES_DDL = "kind int, x long, y long"
 
 
 def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Candidates of a partition sorted by (tree, label).
+    """Candidates of a partition sorted by (tree, label), read as a stream.
 
     Rows (0, a, b): a candidate pair; (1, region, class): a class of a region
-    that was cut deeper.
+    that was cut deeper, or that may go on in another partition.
     """
     out: list[list[int]] = [[], [], []]
     least = sketch_agreement(percent)
@@ -172,44 +179,66 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
             out[1].append(min(a, b))
             out[2].append(max(a, b))
 
-    def cut(rows: list, depth: int) -> None:
-        """All pairs of each group that is small at its depth."""
-        if len(rows) <= SMALL:
-            for i, p in enumerate(rows):
-                for q in rows[i + 1:]:
-                    pair(p, q)
-        elif depth < DEPTH:
-            lo = 0
-            for i in range(1, len(rows) + 1):
-                if i == len(rows) or rows[i][1][4 * depth:4 * depth + 4] != rows[lo][1][4 * depth:4 * depth + 4]:
-                    cut(rows[lo:i], depth + 1)
-                    lo = i
-
-    def close(rows: list) -> None:
-        if len(rows) < 2:
-            return
-        cut(rows, BASE)
-        if len(rows) > SMALL:
-            for p, q in zip(rows, rows[1:]):
-                pair(p, q)
-            region = int(mix(np.array([int.from_bytes(rows[0][1][:8]) ^ (int.from_bytes(rows[0][1][8:16]) * 31 % (1 << 64))
-                                       ^ rows[0][0] << 7], dtype=np.uint64))[0].view(np.int64))
-            out[0].extend([1] * len(rows))
-            out[1].extend([region] * len(rows))
-            out[2].extend(r[2] for r in rows)
-
-    group: list = []
+    def number(row) -> int:
+        """The number of a row's region."""
+        x = int.from_bytes(row[1][:8]) ^ (int.from_bytes(row[1][8:16]) * 31 % (1 << 64)) ^ row[0] << 7
+        return int(mix(np.array([x], dtype=np.uint64))[0].view(np.int64))
+
+    def crowd(region: int, rows: list) -> None:
+        out[0].extend([1] * len(rows))
+        out[1].extend([region] * len(rows))
+        out[2].extend(r[2] for r in rows)
+
+    def common(p, q) -> int:
+        """How many first values two rows share."""
+        if p[0] != q[0]:
+            return 0
+        return next((d for d in range(DEPTH) if p[1][4 * d:4 * d + 4] != q[1][4 * d:4 * d + 4]), DEPTH)
+
+    # the open group of each depth, as far as it matters: SMALL + 1 rows
+    groups: list[list] = [[] for _ in range(DEPTH + 1)]
+    region, at_edge = None, True
+
+    def close(depth: int, last: bool = False) -> None:
+        """End the groups that share more than ``depth`` values."""
+        nonlocal region, at_edge
+        for d in range(max(depth + 1, BASE), DEPTH + 1):
+            rows = groups[d]
+            if len(rows) <= SMALL:
+                # neighbours are pairs already, deeper groups have given theirs
+                for i, p in enumerate(rows):
+                    for q in rows[i + 2:]:
+                        if common(p, q) == d:
+                            pair(p, q)
+                if d == BASE and rows and (at_edge or last):
+                    crowd(number(rows[0]), rows)
+            groups[d] = []
+        if depth < BASE:
+            region, at_edge = None, False
+
+    before = None
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("tree", "label", "cls", "n", "b1", "b2"))):
-            if group and (row[0] != group[0][0] or row[1][:4 * BASE] != group[0][1][:4 * BASE]):
-                close(group)
-                group = []
-            group.append(row)
-        if len(out[0]) > 20_000:
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
-                                              pa.array(out[2], pa.int64())], names=["kind", "x", "y"])
-            out = [[], [], []]
-    close(group)
+            if before is not None:
+                shared = common(before, row)
+                if shared < DEPTH:
+                    close(shared)
+                if shared >= BASE:
+                    pair(before, row)
+            before = row
+            for d in range(BASE, DEPTH + 1):
+                if len(groups[d]) <= SMALL:
+                    groups[d].append(row)
+                    if d == BASE and len(groups[d]) > SMALL:
+                        region = number(row)
+                        crowd(region, groups[d][:-1])
+            if region is not None:
+                crowd(region, [row])
+            if len(out[0]) > 20_000:
+                yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
+                                                  pa.array(out[2], pa.int64())], names=["kind", "x", "y"])
+                out[:] = [[], [], []]
+    close(-1, last=True)
     if out[0]:
         yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int32()), pa.array(out[1], pa.int64()),
                                           pa.array(out[2], pa.int64())], names=["kind", "x", "y"])
@@ -347,23 +376,38 @@ def _joining_links(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["a", "b"])
 
 
+def meetings(met: DataFrame) -> DataFrame:
+    """region, lo, hi, vertex, component, main: which classes of ``met``
+    (region, vertex, component, n) meet in which task.
+
+    Main and other classes have blocks of their own.  Each block of others
+    meets each block of main classes, and each further block of others.
+    """
+    parts = met.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    largest = F.struct("k", "component")
+    main_n = F.max_by("n", largest)
+    regions = (parts.groupBy("region")
+               .agg(F.max_by("component", largest).alias("main"), F.count(F.lit(1)).alias("parts"),
+                    F.ceil(main_n / BLOCK_ITEMS).cast("int").alias("mains"),
+                    F.ceil((F.sum("n") - main_n) / BLOCK_ITEMS).cast("int").alias("others"))
+               .filter("parts > 1").drop("parts"))
+    stray = F.col("component") != F.col("main")
+    block = F.pmod(F.xxhash64("vertex"), F.when(stray, F.col("others")).otherwise(F.col("mains"))).cast("int")
+    place = F.expr("""CASE WHEN component = main THEN transform(sequence(0, others - 1), o -> struct(o AS lo, block AS hi))
+        ELSE concat(transform(sequence(0, mains - 1), m -> struct(block AS lo, m AS hi)),
+                    transform(filter(sequence(0, others - 1), o -> o <> block),
+                              o -> struct(least(block, o) AS lo, mains + greatest(block, o) AS hi))) END""")
+    return (met.select("region", "vertex", "component").join(regions, "region").withColumn("block", block)
+            .withColumn("place", F.explode(place))
+            .select("region", "place.lo", "place.hi", "vertex", "component", "main"))
+
+
 def links_across(met: DataFrame, classes: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     """Links between different components of the regions in ``met`` (region,
     vertex, component)."""
     facts = (classes.select(F.col("cls").alias("vertex"), F.col("n_shingles").alias("n"))
              .join(shared_counts(items), "vertex").filter(100 * F.col("c") >= percent * F.col("n")))
-    met = met.join(facts, "vertex")
-    parts = met.groupBy("region", "component").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
-    regions = (parts.groupBy("region")
-               .agg(F.max_by("component", F.struct("k", "component")).alias("main"), F.count(F.lit(1)).alias("parts"),
-                    F.ceil(F.sum("n") / BLOCK_ITEMS).cast("int").alias("blocks"))
-               .filter("parts > 1").drop("parts"))
-    block = F.pmod(F.xxhash64("vertex"), F.col("blocks")).cast("int")
-    rows = (met.select("region", "vertex", "component").join(regions, "region").withColumn("block", block)
-            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("region", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"),
-                    "vertex", "component", "main"))
-    rows = rows.join(items.withColumnRenamed("doc_id", "vertex"), "vertex")
+    rows = meetings(met.join(facts, "vertex")).join(items.withColumnRenamed("doc_id", "vertex"), "vertex")
     return (rows.repartition("region", "lo", "hi").sortWithinPartitions("region", "lo", "hi", "vertex")
             .select("region", "lo", "hi", "vertex", "component", "main", "items")
             .mapInArrow(lambda it: _joining_links(it, percent), "a long, b long").distinct())
@@ -382,7 +426,7 @@ def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: st
               for t in range(TREES)]
     forest = (classes.select("cls", F.col("n_shingles").alias("n"), "b1", "b2", F.explode(F.array(*labels)).alias("l"))
               .select("l.tree", "l.label", "cls", "n", "b1", "b2"))
-    found = stage(forest.repartition("tree", F.substring("label", 1, 4 * BASE))
+    found = stage(forest.repartitionByRange("tree", "label", "cls")
                   .sortWithinPartitions("tree", "label", "cls")
                   .mapInArrow(lambda it: _regions(it, percent), CANDIDATES_DDL), "near-candidates")
     pairs = stage(found.filter("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "near-pairs")

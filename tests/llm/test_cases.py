@@ -132,9 +132,9 @@ def test_near_short_sets_need_no_sketch(spark):
     label = (1, 2, 3, 4, 5, 6, 7, 8)
     far = ([0, (1 << 48) - 1], [0, (1 << 48) - 1])
     short = near_dedup._regions([forest_rows(0, [label, label], 5, far)], 80)
-    assert [r for b in short for r in b.to_pylist()] == [{"kind": 0, "x": 0, "y": 1}]
+    assert [r for b in short for r in b.to_pylist() if r["kind"] == 0] == [{"kind": 0, "x": 0, "y": 1}]
     large = near_dedup._regions([forest_rows(0, [label, label], 5000, far)], 80)
-    assert not [r for b in large for r in b.to_pylist()]
+    assert not [r for b in large for r in b.to_pylist() if r["kind"] == 0]
     # nine words against their first eight: 4 of 5 shingles of five words, exactly 0.8
     data = []
     for i in range(1000):
@@ -144,6 +144,56 @@ def test_near_short_sets_need_no_sketch(spark):
     assert all(got[2 * i + 1] == 2 * i for i in range(1000))
 
 
+def small_group_pairs(labels):
+    """Plain definition: neighbours of a region, and the pairs of groups of at most SMALL."""
+    want = set()
+    for i, p in enumerate(labels):
+        for j in range(i + 1, len(labels)):
+            d = next((k for k in range(8) if p[k] != labels[j][k]), 8)
+            if d >= near_dedup.BASE and (j == i + 1 or sum(x[:d] == p[:d] for x in labels) <= near_dedup.SMALL):
+                want.add((i, j))
+    return want
+
+
+def test_near_regions_are_streamed():
+    import random
+
+    rng = random.Random(3)
+    labels = sorted(tuple(rng.randint(0, 1) if k in (2, 4, 5, 6) else rng.randint(0, 3) if k == 7 else 0 for k in range(8))
+                    for _ in range(40)) + sorted((9, 9, 9, i // 2, i, 0, 0, 0) for i in range(9))
+    batch = forest_rows(3, labels)
+    got = [r for b in near_dedup._regions((batch.slice(i, 7) for i in range(0, 49, 7)), 80) for r in b.to_pylist()]
+    assert {(r["x"], r["y"]) for r in got if r["kind"] == 0} == small_group_pairs(labels)
+    sizes = Counter(x[:4] for x in labels)
+    crowded = {i for i, x in enumerate(labels) if sizes[x[:4]] > near_dedup.SMALL or x[:4] in (labels[0][:4], labels[-1][:4])}
+    assert {r["y"] for r in got if r["kind"] == 1} == crowded
+    # a region of any size is handed on while it is read
+    read = []
+
+    def crowd():
+        for i in range(40):
+            read.append(i)
+            yield forest_rows(0, [(1, 2, 3, 4, i, j, 0, 0) for j in range(1000)])
+    next(near_dedup._regions(crowd(), 80))
+    assert len(read) < 20
+
+
+def test_near_main_classes_are_sent_once(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK_ITEMS", 100)
+    met = [(5, v, 0 if v < 60 else v, 20) for v in range(64)]
+    schema = "region long, vertex long, component long, n long"
+    got = near_dedup.meetings(spark.createDataFrame(met, schema)).collect()
+    sent = Counter(r.vertex for r in got)
+    assert all(sent[v] == 1 for v in range(60)) and all(sent[v] == 12 for v in range(60, 64))
+    # several blocks of others: every pair with a class outside the main component meets
+    met = [(5, v, 0 if v < 30 else v, 20) for v in range(60)]
+    at = defaultdict(set)
+    for r in near_dedup.meetings(spark.createDataFrame(met, schema)).collect():
+        at[r.lo, r.hi].add(r.vertex)
+    pairs = {(a, b) for vs in at.values() for a in vs for b in vs if a < b}
+    assert {(a, b) for b in range(30, 60) for a in range(b)} <= pairs
+
+
 def test_components(spark):
     n = 300
     links = [(i, i + 1) for i in range(n) if i % 50 != 49] + [(7, 260)]
