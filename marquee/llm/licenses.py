@@ -3,7 +3,7 @@
 The words of the licence templates are counted over all documents (document
 frequencies; one row a template word reaches the driver).  The index holds,
 for each template's rarest words, their postings (template, position).  A
-file is scanned for indexed words; of those it has, its rarest are looked up
+file is scanned for indexed words; all of those it has are looked up
 and each posting votes for the template at the relative position file place -
 template place.  A template with enough agreeing votes (places may drift by a
 few words) is a candidate, and is found when its mandatory key phrases stand
@@ -59,8 +59,8 @@ TEMPLATES = (
             " granted", ("permission to use copy modify and or distribute",)),
     ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 )
-#: Indexed words of a template; words of a file that are looked up; drift in words; share of the votes needed.
-RARE, LOOKED_UP, DRIFT, AGREE = 8, 24, 2, 0.5
+#: Indexed words of a template; drift in words; share of the votes needed.
+RARE, DRIFT, AGREE = 8, 2, 0.5
 
 
 def _vocabulary() -> list[str]:
@@ -143,14 +143,11 @@ class Index:
                 starts += found
                 base.add(label)
         labels, score = set(base), 0.5 if base else 0.0
-        here = sorted((w for w in set(at.values()) if w in self.postings), key=lambda w: (-self.idf[w], w))[:LOOKED_UP]
-        looked = set(here)
         # votes: relative position -> words that agree, by template
         votes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
         for p, w in at.items():
-            if w in looked:
-                for t, q in self.postings[w]:
-                    votes[t][p - q].add(w)
+            for t, q in self.postings.get(w, ()):
+                votes[t][p - q].add(w)
         for t, by_place in votes.items():
             best = 0.0
             for place in by_place:

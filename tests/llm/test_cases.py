@@ -468,6 +468,20 @@ def test_license_templates_are_found_with_small_edits(spark):
     assert got[1] == "bsd" and got[2] == "all-rights-reserved" and got[3] == "" and got[11] == ""
 
 
+def test_license_notices_of_a_long_file_are_all_found():
+    import numpy as np
+
+    # the words of the short notices are common, those of the long ones rare
+    common = "all rights reserved licensed under cc by nc sa 4 0".split()
+    index = licenses.Index({w: 500 for w in common}, 1000)
+    number = {w: i for i, w in enumerate(index.words)}
+    notices = [t for _, t, _ in licenses.TEMPLATES]
+    assert len({w for t in notices for w in t.split() if number[w] in index.postings}) > 24
+    at = [number[w] for t in notices for w in t.split()]
+    labels = index.scan(np.arange(len(at)), np.array(at))[4]
+    assert set(labels.split(",")) == {label for label, _, _ in licenses.TEMPLATES}
+
+
 def test_toxicity_grammar():
     s = toxicity.Scorer({"idiot$": 2.0, "tras": 1.0})
     plain = s.clause("what an idiot", set())[0]
