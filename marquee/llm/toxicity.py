@@ -56,7 +56,8 @@ TURNS = ("but", "however", "although", "yet")
 
 _CLASSES = {w: c for c, ws in (("intent", INTENTS), ("violence", VIOLENCE), ("person", PERSONS),
                                ("negation", NEGATIONS), ("report", REPORTS), ("turn", TURNS)) for w in ws}
-_CLAUSE_END = re.compile(r"[.!?;:\n]")
+CLAUSE_ENDS = ".!?;:\n"
+_CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
 NEGATION_SCOPE = 4
 
@@ -170,11 +171,9 @@ class Scorer:
                 continue
             if entry.endswith("$") and end + 1 < len(low) and low[end + 1].isalpha():
                 continue
-            # the clause around the hit, read once
-            a = begin
-            stop = max(until, begin - 400, 0)
-            while a > stop and not _CLAUSE_END.match(low[a - 1]):
-                a -= 1
+            # the clause around the hit, read once; what lies before is searched once too
+            a = max(until, 0)
+            a = max(a, 1 + max(low.rfind(c, a, begin) for c in CLAUSE_ENDS))
             found = _CLAUSE_END.search(low, end)
             until = found.start() if found else len(low)
             s, h, t = self.clause(low[a:until], entries)

@@ -2,6 +2,7 @@
 repeated rows, empty tables, further columns; against plain Python."""
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -492,6 +493,16 @@ def test_toxicity_grammar():
     assert s.features("")[0] == 0 and s.features("IDIOT! trashy")[0] > s.features("IDIOT!")[0]
 
 
+def test_toxicity_reads_whole_clauses():
+    s = toxicity.Scorer({"idiot$": 2.0})
+    filler = "word " * 300
+    for clause in (f"he said {filler}idiot", f'"{filler}idiot', f"you are {filler}idiot", f"you will {filler}kill"):
+        score, hidden, threat = s.clause(clause, set())
+        for text in (clause, f"First one. Second; {clause}", f"{clause}! plain end"):
+            x = s.features(text)
+            assert (x[0], x[5], x[6]) == pytest.approx(tuple(map(math.log1p, (score, hidden, threat))))
+
+
 def test_toxicity_filter_keeps_columns(spark):
     df = clashing(frame(spark))
     out = toxicity.clean_rows(df, MODEL)
