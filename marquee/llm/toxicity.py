@@ -121,11 +121,13 @@ class Scorer:
         self.machine = grammar()
         self.lexicon = dict(lexicon)
         self.find = ahocorasick.Automaton()
-        for entry, weight in lexicon.items():
-            self.find.add_word(entry.rstrip("$"), (entry, weight))
-        for w in VIOLENCE:
-            if w not in self.lexicon and w + "$" not in self.lexicon:
-                self.find.add_word(w, (w, 0.0))
+        # a word may be an entry both whole and as a beginning
+        whole: dict[str, bool] = {}
+        for entry in lexicon:
+            key = entry.rstrip("$")
+            whole[key] = whole.get(key, True) and entry.endswith("$")
+        for key in [*whole, *(w for w in VIOLENCE if w not in whole)]:
+            self.find.add_word(key, (len(key), whole.get(key, False)))
         self.find.make_automaton()
 
     def word_weight(self, word: str) -> tuple[float, str]:
@@ -164,12 +166,11 @@ class Scorer:
         total = most = hidden = threat = 0.0
         entries: set[str] = set()
         until = -1
-        for end, (entry, _) in self.find.iter(low):
-            n = len(entry.rstrip("$"))
+        for end, (n, only_whole) in self.find.iter(low):
             begin = end - n + 1
             if begin < until or (begin and low[begin - 1].isalpha()):
                 continue
-            if entry.endswith("$") and end + 1 < len(low) and low[end + 1].isalpha():
+            if only_whole and end + 1 < len(low) and low[end + 1].isalpha():
                 continue
             # the clause around the hit, read once; what lies before is searched once too
             a = max(until, 0)

@@ -503,6 +503,14 @@ def test_toxicity_reads_whole_clauses():
             assert (x[0], x[5], x[6]) == pytest.approx(tuple(map(math.log1p, (score, hidden, threat))))
 
 
+def test_toxicity_entry_whole_and_as_beginning():
+    for lexicon in ({"scum": 1.5, "scum$": 2.0}, {"scum$": 2.0, "scum": 1.5}):
+        s = toxicity.Scorer(lexicon)
+        assert s.features("a scumbag")[0] == pytest.approx(math.log1p(1.5))
+        assert s.features("a scum")[0] == pytest.approx(math.log1p(2.0))
+    assert toxicity.Scorer({"scum$": 2.0}).features("a scumbag")[0] == 0
+
+
 def test_toxicity_filter_keeps_columns(spark):
     df = clashing(frame(spark))
     out = toxicity.clean_rows(df, MODEL)
