@@ -76,25 +76,38 @@ def hilbert_index(coords: list[Column], bits: int) -> Column:
     return F.aggregate(steps, x, undo, gray) if bits > 1 else gray(x)
 
 
-def text_rank(c: Column) -> Column:
-    """A number in the byte order of a string (its first seven bytes)."""
-    head = F.substring(F.coalesce(c.cast("string"), F.lit("")).cast("binary"), 1, 7)
-    return F.conv(F.rpad(F.hex(head), 14, "0"), 16, 10).cast("long")
+def text_cuts(df: DataFrame, dim: str, bits: int) -> DataFrame:
+    """One row: the 2^bits - 1 quantile cuts of a text dimension, whole values.
 
-
-def quantised(df: DataFrame, dims: list[str], bits: int) -> DataFrame:
-    """``df`` with an integer column q_<i> in [0, 2^bits) for each numeric
-    dimension: how many of its 2^bits - 1 quantile cuts lie below the value.
-    The cuts are one row of at most dims x 2^bits numbers (a bounded
+    Rows are counted per distinct value; the values are sorted in ranges, and
+    only the ranges' totals meet in one task.
+    """
+    counts = df.groupBy(dim).agg(F.count(F.lit(1)).alias("n"))
+    placed = stage(counts.repartitionByRange(dim).withColumn("part", F.spark_partition_id()), "shard-values")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = placed.groupBy("part").agg(F.sum("n").alias("part_n"))
+    parts = parts.select("part", F.coalesce(F.sum("part_n").over(before), F.lit(0)).alias("start"),
+                         F.sum("part_n").over(Window.partitionBy()).alias("total"))
+    inside = Window.partitionBy("part").orderBy(dim).rowsBetween(Window.unboundedPreceding, 0)
+    upto = placed.join(parts, "part").withColumn("upto", F.col("start") + F.sum("n").over(inside))
+    return upto.agg(F.array(*[F.min(F.when(F.col("upto") * (1 << bits) >= F.col("total") * i, F.col(dim)))
+                              for i in range(1, 1 << bits)]).alias(f"cuts_{dim}"))
+
+
+def quantised(df: DataFrame, texts: list[str], numbers: list[str], bits: int) -> DataFrame:
+    """``df`` with an integer column q_<i> in [0, 2^bits) for each dimension,
+    text ones first: how many of its 2^bits - 1 quantile cuts lie below the
+    value.  The cuts are one row of at most dims x 2^bits values (a bounded
     broadcast)."""
     cuts = [i / (1 << bits) for i in range(1, 1 << bits)]
-    bounds = df.agg(*[F.percentile_approx(d, cuts, 10_000).alias(f"cuts_{i}") for i, d in enumerate(dims)])
-    wide = df.crossJoin(F.broadcast(bounds))
+    wide = df.crossJoin(F.broadcast(df.agg(*[F.percentile_approx(d, cuts, 10_000).alias(f"cuts_{d}") for d in numbers])))
+    for dim in texts:
+        wide = wide.crossJoin(F.broadcast(text_cuts(df, dim, bits)))
 
-    def cuts_below(i: int, dim: str) -> Column:
-        return F.coalesce(F.size(F.filter(f"cuts_{i}", lambda c: c < F.col(dim))), F.lit(0))
+    def cuts_below(dim: str) -> Column:
+        return F.coalesce(F.size(F.filter(f"cuts_{dim}", lambda c: c < F.col(dim))), F.lit(0))
 
-    q = [cuts_below(i, d) for i, d in enumerate(dims)]
+    q = [cuts_below(d) for d in [*texts, *numbers]]
     return wide.select(*[F.col(c) for c in df.columns],
                        *[F.greatest(c, F.lit(0)).alias(f"q_{i}") for i, c in enumerate(q)])
 
@@ -107,8 +120,9 @@ def curve_shards(docs: DataFrame, shards: int = SHARDS, bits: int = BITS, id_col
     narrow = stage(docs.select(
         F.col(id_col).alias("doc_id"), (F.octet_length(text) + 8).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
-        text_rank(F.col(source_col)).alias("d_source"), text_rank(F.col(lang_col)).alias("d_lang")), "shard-keys")
-    cells = quantised(narrow, ["d_source", "d_lang", "size"], bits)
+        text_or_empty(source_col).cast("binary").alias("d_source"), text_or_empty(lang_col).cast("binary").alias("d_lang")),
+        "shard-keys")
+    cells = quantised(narrow, ["d_source", "d_lang"], ["size"], bits)
     cells = (cells.withColumn("curve", hilbert_index([F.col(f"q_{i}") for i in range(3)], bits))
              .withColumn("hb", F.pmod(F.xxhash64("text_crc32", "doc_id"), F.lit(256)).cast("int"))
              .select("doc_id", "size", "text_crc32", "curve", "hb"))

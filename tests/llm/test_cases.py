@@ -383,6 +383,26 @@ def test_shards(spark):
     assert [r.curve for r in line] == sorted(r.curve for r in got) and len(line) == n
 
 
+def test_shards_tell_sources_with_a_common_beginning(spark):
+    data = [(i, "same size", "language_" + "ab"[i // 8 % 2], f"https://site.example/{i % 8}", 1) for i in range(320)]
+    source = {r[0]: (r[3], r[2]) for r in data}
+    got = sharding.curve_shards(frame(spark, data), shards=16).collect()
+    cells = defaultdict(set)
+    for r in got:
+        cells[r.curve].add(source[r.doc_id])
+    assert len(cells) == 16 and all(len(c) == 1 for c in cells.values())
+
+
+def test_text_cuts_are_quantiles(spark):
+    import random
+
+    rng = random.Random(2)
+    values = [f"common beginning {int(rng.expovariate(0.02)):04d}" if rng.random() < 0.7 else "hot" for _ in range(3000)]
+    df = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    line = sorted(values)
+    assert sharding.text_cuts(df, "v", 4).first()[0] == [line[-(-i * 3000 // 16) - 1] for i in range(1, 16)]
+
+
 def vector(text):
     import xxhash
 
