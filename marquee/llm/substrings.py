@@ -19,8 +19,11 @@ document with a smaller identifier.
   second filter of fixed size.
 * Covered places come back as runs of words per document.
 
-Windows are compared by two independent 64-bit hashes of their words; the
-words of a bucket's windows are hashed from the packed strings.
+In a bucket windows are sorted by two 64-bit hashes over independently seeded
+word hashes, and every run of windows found again is compared with the run it
+repeats, word bytes by word bytes; where they differ the windows of those
+hashes are grouped by their words themselves.  Windows of hot minimisers are
+compared by their 128 hash bits.
 
 Defined cases: null text = no words; texts shorter than a window keep all
 words; rows with the same identifier are one document's (windows they share
@@ -41,7 +44,7 @@ from pyspark.sql import functions as F
 
 from marquee.llm.bits import bit_filter, bit_set
 from marquee.llm.common import documents, stage, text_or_empty
-from marquee.llm.words import SPACED, blocks, sequence_hashes, tokenised
+from marquee.llm.words import SPACED, Block, blocks, sequence_hashes, tokenised
 
 WINDOW, MINIMISER = 50, 10
 #: Rows of a minimiser from which its windows travel one by one.
@@ -96,8 +99,9 @@ _PACKED = pa.schema([("m", pa.int64()), ("m2", pa.int64()), ("doc_id", pa.int64(
 PACKED_DDL = "m long, m2 long, doc_id long, row long, at long, words binary"
 
 
-def _window_hashes(h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return sequence_hashes(h, WINDOW, 0), sequence_hashes(h, WINDOW, 100)
+def _window_hashes(h: np.ndarray, g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every window from two hashes of its words."""
+    return sequence_hashes(h, WINDOW, 0), sequence_hashes(g, WINDOW, 100)
 
 
 def _packed(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -109,7 +113,7 @@ def _packed(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarr
         size = 0
         for begin, texts in blocks(batch):
             b = tokenised(texts, SPACED)
-            h = b.hashes()
+            h, g = b.hashes(), None
             for d in range(len(texts)):
                 doc = ids[begin + d]
                 first = int(b.first[d])
@@ -131,7 +135,8 @@ def _packed(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarr
                     size += len(cols[5][-1])
                 for i in np.flatnonzero(warm):
                     s, n = int(starts[i]), int(counts[i]) + WINDOW - 1
-                    w1, w2 = _window_hashes(mine[s:s + n])
+                    g = b.hashes(1) if g is None else g
+                    w1, w2 = _window_hashes(mine[s:s + n], g[first + s:first + s + n])
                     cols[0] += w1.view(np.int64).tolist()
                     cols[1] += w2.view(np.int64).tolist()
                     cols[2] += [doc] * len(w1)
@@ -145,6 +150,34 @@ def _packed(batches: Iterator[pa.RecordBatch], shared: np.ndarray, hot: np.ndarr
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(cols, _PACKED)], schema=_PACKED)
 
 
+def _same_words(b: Block, one: np.ndarray, other: np.ndarray) -> bool:
+    """Whether the windows that start at words ``one`` and ``other`` hold the
+    same words; adjoining windows are compared as one stretch of text."""
+    pick = np.flatnonzero(one != other)
+    pick = pick[np.argsort(one[pick], kind="stable")]
+    x, y = one[pick], other[pick]
+    if not len(x):
+        return True
+    length = b.end - b.start
+    chars = b.buf[SPACED[b.buf]].tobytes()
+    off = np.concatenate([[0], np.cumsum(length)])
+    begin = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1] + 1) | (y[1:] != y[:-1] + 1)]))
+    for i, j in zip(begin, np.concatenate([begin[1:], [len(x)]])):
+        n = j - i + WINDOW - 1
+        p, q = x[i], y[i]
+        if chars[off[p]:off[p + n]] != chars[off[q]:off[q + n]] or not np.array_equal(length[p:p + n], length[q:q + n]):
+            return False
+    return True
+
+
+def _by_words(b: Block, doc: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All windows and, for each, the first of its words (smallest document)."""
+    least: dict[tuple, int] = {}
+    order = np.lexsort((word, doc))
+    first = [least.setdefault(tuple(b.word(k) for k in range(word[i], word[i] + WINDOW)), int(i)) for i in order]
+    return order, np.array(first, dtype=np.int64)
+
+
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of repeated windows of a partition sorted by minimiser.
 
@@ -157,21 +190,25 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def flush() -> pa.RecordBatch | None:
         b = tokenised([r[4] for r in held], SPACED)
-        h = b.hashes()
-        w1, w2, row, at = [], [], [], []
+        h, g = b.hashes(), b.hashes(1)
+        w1, w2, row, at, word = [], [], [], [], []
         for i, r in enumerate(held):
-            a, c = _window_hashes(h[b.first[i]:b.first[i + 1]])
+            a, c = _window_hashes(h[b.first[i]:b.first[i + 1]], g[b.first[i]:b.first[i + 1]])
             w1.append(a)
             w2.append(c)
             row.append(np.full(len(a), i))
             at.append(r[3] + np.arange(len(a)))
-        a, c, row, at = np.concatenate(w1), np.concatenate(w2), np.concatenate(row), np.concatenate(at)
+            word.append(b.first[i] + np.arange(len(a)))
+        a, c, row, at, word = (np.concatenate(x) for x in (w1, w2, row, at, word))
         doc = np.array([r[1] for r in held], dtype=np.int64)[row]
         text = np.array([r[2] for r in held], dtype=np.int64)[row]
         order = np.lexsort((doc, c, a))
         new = np.concatenate([[True], (a[order][1:] != a[order][:-1]) | (c[order][1:] != c[order][:-1])])
-        least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
-        again = order[doc[order] != least]
+        first = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+        if not _same_words(b, word[order], word[first]):
+            order, first = _by_words(b, doc, word)
+        moved = doc[order] != doc[first]
+        again = order[moved]
         if not len(again):
             return None
         order = again[np.lexsort((at[again], text[again], doc[again]))]

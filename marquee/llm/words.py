@@ -1,12 +1,14 @@
 """Vectorised word hashing for Python workers.
 
 Texts are joined to one byte buffer of bounded size; words are found from a
-table of word bytes and hashed with a polynomial over random byte values
-modulo 2^64 (by prefix sums, so no loop over words), then mixed.
+table of word bytes.  A word's hash takes its bytes eight at a time and mixes
+after each eight (words of more than ``LANES`` times eight bytes: BLAKE2b), so
+no sum over bytes decides equality.  ``seed`` gives independent hashes.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,10 +19,9 @@ import pyarrow as pa
 BLOCK = 1 << 20
 
 _RNG = np.random.RandomState(7)
-_VALUES = _RNG.randint(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_P = 0x9E3779B97F4A7C15
-_P_INVERSE = pow(_P, -1, 1 << 64)
-_POWERS: dict[int, np.ndarray] = {}
+#: Eights of bytes that are mixed as numbers; a longer word is hashed whole.
+LANES = 8
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 #: Word bytes: all but space and tab to carriage return.
 SPACED = np.ones(256, dtype=bool)
@@ -30,18 +31,6 @@ ALNUM = np.zeros(256, dtype=bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
 
-def _powers(p: int, n: int) -> np.ndarray:
-    have = _POWERS.get(p)
-    if have is None or len(have) < n:
-        size = max(n, BLOCK + BLOCK // 4)
-        have = np.full(size, np.uint64(p))
-        have[0] = 1
-        np.multiply.accumulate(have, out=have)
-        if size <= 8 * BLOCK:
-            _POWERS[p] = have
-    return have[:n]
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
@@ -52,6 +41,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+#: Masks that keep the first 0 to 8 bytes of eight, the first byte highest.
+TAIL = np.array([((1 << 8 * n) - 1) << (64 - 8 * n) for n in range(9)], dtype=np.uint64)
+
+
+def lanes(buf: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of a buffer as a number, the first
+    byte highest; behind the end they are 0."""
+    padded = np.concatenate([buf, np.zeros(8 * LANES + 8, dtype=np.uint8)])
+    return np.ndarray(len(padded) - 7, dtype=">u8", buffer=padded, strides=(1,))
+
+
 @dataclass
 class Block:
     """Words of some documents: of document d, words first[d]..first[d+1]."""
@@ -61,12 +61,23 @@ class Block:
     end: np.ndarray
     first: np.ndarray
 
-    def hashes(self) -> np.ndarray:
-        n = len(self.buf)
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_VALUES[self.buf] * _powers(_P, n), out=sums[1:])
-        h = (sums[self.end] - sums[self.start]) * _powers(_P_INVERSE, n + 1)[self.start]
-        return mix(h + (self.end - self.start).astype(np.uint64))
+    def hashes(self, seed: int = 0) -> np.ndarray:
+        """A 64-bit hash of every word."""
+        length = self.end - self.start
+        eights = lanes(self.buf)
+        h = mix((length + (seed << 32)).astype(np.uint64) + _STEP)
+        left = np.flatnonzero(length > 0)
+        for k in range(LANES):
+            if not len(left):
+                return h
+            x = eights[self.start[left] + 8 * k] & TAIL[np.minimum(length[left] - 8 * k, 8)]
+            h[left] = mix((h[left] ^ x) + _STEP)
+            left = left[length[left] > 8 * (k + 1)]
+        key = seed.to_bytes(8, "little")
+        for i in left:
+            digest = hashlib.blake2b(self.word(i), digest_size=8, key=key).digest()
+            h[i] = int.from_bytes(digest, "little")
+        return h
 
     def word(self, i: int) -> bytes:
         return self.buf[self.start[i]:self.end[i]].tobytes()

@@ -542,3 +542,34 @@ def test_toxicity_filter_keeps_columns(spark):
 def test_toxicity_without_labels(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert toxicity.fit(frame(spark), none).weights == toxicity.DEFAULT_WEIGHTS
+
+
+def thue_morse(n=1024):
+    """Two words of n letters that sums over byte values take for one."""
+    word = "".join("ab"[bin(i).count("1") & 1] for i in range(n))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_sums_cannot_tell_apart(spark):
+    x, y = thue_morse()
+    rest = " ".join(f"r{i}" for i in range(49))
+    data = [(1, f"{x} {rest}", "en", "a", 1), (2, f"{y} {rest}", "en", "a", 1), (3, f"{x} p q", "en", "a", 1),
+            (4, f"{y} p q", "en", "a", 1), (5, f"{x}  {rest}", "en", "a", 1)]
+    removed = {r.doc_id: r.n_removed for r in substrings.removal_digests(frame(spark, data)).collect()}
+    assert removed == {1: 0, 2: 0, 3: 0, 4: 0, 5: 50}
+    comp = {r.doc_id: r.component_id for r in near_dedup.near_groups(frame(spark, data[2:4])).collect()}
+    assert comp == {3: 3, 4: 4}
+
+
+def test_windows_of_equal_hashes_are_told_apart_by_words(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+
+    def rows_of(*texts):
+        return pa.RecordBatch.from_pydict({"m": [1] * len(texts), "doc_id": list(range(len(texts))),
+                                           "row": list(range(len(texts))), "at": [0] * len(texts),
+                                           "words": [t.encode() for t in texts]})
+    one, two = (" ".join(f"{c}{i}" for i in range(50)) for c in "ab")
+    monkeypatch.setattr(substrings, "_window_hashes", lambda h, g: (np.zeros(len(h) - 49, "u8"), np.zeros(len(h) - 49, "u8")))
+    got = [r for b in substrings._repeated([rows_of(one, two, one.replace(" ", "\t"))]) for r in b.to_pylist()]
+    assert got == [{"doc_id": 2, "row": 2, "a": 0, "b": 50}]
