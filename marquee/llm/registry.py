@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, sharding, substrings, toxicity
+from marquee.llm import bpe, divergence, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, sharding, substrings, toxicity
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op12_source_divergence": divergence.op12_source_divergence,
     }
 
 
@@ -26,4 +27,5 @@ def oracle_sql():
         "op2_mixing": mixing.OP2_SQL,
         "op4_substrings": substrings.OP4_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
+        "op12_source_divergence": divergence.OP12_SQL,
     }
