@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, divergence, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, sharding, substrings, toxicity
+from marquee.llm import bpe, divergence, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, phrases, sharding, substrings, toxicity
 
 
 def queries():
@@ -18,6 +18,7 @@ def queries():
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
         "op12_source_divergence": divergence.op12_source_divergence,
+        "op13_collocations": phrases.op13_collocations,
     }
 
 
@@ -28,4 +29,5 @@ def oracle_sql():
         "op4_substrings": substrings.OP4_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
         "op12_source_divergence": divergence.OP12_SQL,
+        "op13_collocations": phrases.OP13_SQL,
     }
