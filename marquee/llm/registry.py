@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from marquee.llm import bpe, divergence, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, phrases, sharding, substrings, toxicity
+from marquee.llm import bpe, divergence, exact_dedup, fingerprints, jaccard_join, licenses, mixing, near_dedup, packing, phrases, sharding, substrings, toxicity
 
 
 def queries():
@@ -17,6 +17,7 @@ def queries():
         "op8_fingerprints": fingerprints.op8_fingerprints,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_toxicity": toxicity.op10_toxicity,
+        "op11_jaccard_join": jaccard_join.op11_jaccard_join,
         "op12_source_divergence": divergence.op12_source_divergence,
         "op13_collocations": phrases.op13_collocations,
     }
@@ -28,6 +29,7 @@ def oracle_sql():
         "op2_mixing": mixing.OP2_SQL,
         "op4_substrings": substrings.OP4_SQL,
         "op9_exact_dedup": exact_dedup.OP9_SQL,
+        "op11_jaccard_join": jaccard_join.OP11_SQL,
         "op12_source_divergence": divergence.OP12_SQL,
         "op13_collocations": phrases.OP13_SQL,
     }
