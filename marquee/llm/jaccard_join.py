@@ -13,13 +13,15 @@ multiplied (sets of up to ``SHORT`` shingles have all of them).
   out by the square of its length.  A pair whose overlap, with all that its
   crowded columns could add, is below the bound of its sizes is discarded.
 * A pair that shares no other column shares as many crowded ones as that bound,
-  so only classes with so many need a further look, and only in their rarest
-  ones (prefix filter).  There first each class is compared with its neighbour
-  by size; once those links are joined to components, classes of different
-  components of a column are compared.
-* Each class is first compared with its best partner; the other pairs only if
-  their ends are in different components by then.  All links are confirmed on
-  full sets, which are built anew for the classes concerned.
+  so only classes with so many need a further look, at each other.  For them all
+  shingles are counted; a class too few of whose shingles another one has is
+  done, and of the rest only the rarest shingles are columns (prefix filter:
+  a linked pair shares one of the first n - least(n) + 1 in order of rarity).
+* In such a column each class is first compared with its neighbour by size, as
+  every class is with its best partner in the others; once those links are
+  joined to components, the pairs whose ends are in different components are
+  compared, if the places of the column in both orders leave room for a link.
+  All links are confirmed on full sets, built anew for the classes concerned.
 
 No link between different texts is lost, and none is found by chance but for
 equal 64-bit hashes of different shingles.
@@ -200,6 +202,26 @@ def _neighbours(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.
         yield pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y)), pa.array(np.maximum(x, y))], names=["a", "b"])
 
 
+def _columns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, cid, n) of full sets."""
+    for batch in batches:
+        for cid, items in zip(batch.column("cid").to_pylist(), batch.column("items")):
+            h = np.frombuffer(items.as_py(), dtype="<i8")
+            yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(np.full(len(h), cid)), pa.array(np.full(len(h), len(h)))],
+                                             names=["h", "cid", "n"])
+
+
+def _rare(sets: DataFrame, percent: int) -> DataFrame:
+    """h, cid, n, at: the columns of the prefix filter over ``sets`` and their
+    places in the order of rarity (columns of one class come first)."""
+    full = sets.mapInArrow(_columns, "h long, cid long, n long")
+    k = full.groupBy("h").agg(F.count(F.lit(1)).alias("k")).filter("k > 1")
+    by_class = Window.partitionBy("cid")
+    return (full.join(k, "h").withColumn("s", F.count(F.lit(1)).over(by_class))
+            .withColumn("at", F.col("n") - F.col("s") + F.row_number().over(by_class.orderBy("k", "h")))
+            .filter(F.col("at") <= F.col("n") - _least_col("n", percent) + 1).select("h", "cid", "n", "at"))
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     ids, items = [], []
     for cid, s in _own_sets(batches, k):
@@ -246,17 +268,21 @@ def _bound_col(percent: int) -> Column:
 
 
 def _across(rare: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column's classes (h, cid, n) that are in different components."""
+    """Pairs of a column's classes that are in different components and whose
+    places in the column leave room for a link."""
     placed = (rare.join(roots.withColumnsRenamed({"vertex": "cid", "component": "comp"}), "cid", "left")
               .withColumn("comp", F.coalesce("comp", "cid")))
     parts = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = (parts.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"))
              .filter("parts > 1").select("h", "main"))
     met = stage(placed.join(mixed, "h"), "join-met")
-    x = met.filter("comp <> main").select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("comp").alias("cx"))
-    y = met.select("h", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("comp").alias("cy"))
-    return (x.join(y, "h").filter((F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny")))
-            .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
+    x = met.filter("comp <> main").select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"),
+                                          F.col("comp").alias("cx"))
+    y = met.select("h", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("comp").alias("cy"))
+    room = 1 + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
+    fits = ((F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
+            & ((100 + percent) * room >= percent * (F.col("nx") + F.col("ny"))))
+    return x.join(y, "h").filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
 def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
@@ -272,28 +298,23 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
                     .mapInArrow(lambda it: _product(it, percent), PRODUCT_DDL), "join-product")
     crowd = product.filter("crowded").select("h", F.col("a").alias("cid"), F.col("na").alias("n")).distinct()
     held = crowd.groupBy("cid", "n").agg(F.count(F.lit(1)).alias("v"))
-    heavy = held.filter(F.col("v") >= _asked("n", percent))
-    k = crowd.groupBy("h").agg(F.count(F.lit(1)).alias("k"))
-    rarest = Window.partitionBy("cid").orderBy("k", "h")
-    rare = stage(crowd.join(heavy.select("cid", "v"), "cid").join(k, "h").withColumn("at", F.row_number().over(rarest))
-                 .filter(F.col("at") <= F.col("v") - _asked("n", percent) + 1).select("h", "cid", "n"), "join-rare")
+    heavy = held.filter(F.col("v") >= _asked("n", percent)).select("cid")
     more = {s: held.select(F.col("cid").alias(s), F.col("v").alias("v" + s)) for s in ("a", "b")}
     overlaps = product.filter("NOT crowded").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))
     could = F.col("c") + F.least(F.coalesce("va", F.lit(0)), F.coalesce("vb", F.lit(0)))
     pairs = stage(overlaps.join(more["a"], "a", "left").join(more["b"], "b", "left")
                   .filter(could >= _bound_col(percent)).select("a", "b", "c"), "join-pairs")
-    near = (rare.repartitionByRange("h", "n", "cid").sortWithinPartitions("h", "n", "cid")
-            .mapInArrow(lambda it: _neighbours(it, percent), "a long, b long")
-            .groupBy("a", "b").agg(F.count(F.lit(1)).alias("c")))
-    # each class and its best partner
-    found = pairs.unionByName(near)
-    best = F.max(F.struct("c", "a", "b"))
-    first = stage(found.groupBy("a").agg(best.alias("m")).select("m.a", "m.b")
-                  .union(found.groupBy("b").agg(best.alias("m")).select("m.a", "m.b")).distinct(), "join-first")
-    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(rare.select("cid")).distinct()
+    ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).union(heavy).distinct()
     wanted = classes.join(ends, "cid", "left_semi").select(F.col("least").alias("doc_id"), "cid", "k1", "k2")
     sets = stage(d.join(wanted, "doc_id").select("text", "cid", "k1", "k2").mapInArrow(lambda it: _sets(it, shingle), "cid long, items binary")
                  .groupBy("cid").agg(F.first("items").alias("items")), "join-sets")
+    rare = stage(_rare(sets.join(heavy, "cid", "left_semi"), percent), "join-rare")
+    near = (rare.repartitionByRange("h", "n", "cid").sortWithinPartitions("h", "n", "cid")
+            .mapInArrow(lambda it: _neighbours(it, percent), "a long, b long"))
+    # each class and its best partner, and neighbours of crowded columns
+    best = F.max(F.struct("c", "a", "b"))
+    first = stage(pairs.groupBy("a").agg(best.alias("m")).select("m.a", "m.b")
+                  .union(pairs.groupBy("b").agg(best.alias("m")).select("m.a", "m.b")).union(near).distinct(), "join-first")
     links = stage(confirmed(sets, first, percent), "join-links")
     roots = components(links)
     at = {s: roots.select(F.col("vertex").alias(s), F.col("component").alias("r" + s)) for s in ("a", "b")}
