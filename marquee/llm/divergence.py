@@ -37,14 +37,16 @@ MIN_DOCS, TOP_TERMS, PRIOR, SCALE = 30, 50, 5, 1_000_000_000
 #: Bytes of text a task counts at once; bytes of text for one term bucket.
 PART, BUCKET_BYTES = 4 << 20, 16 << 20
 #: Sources a side of a tile; kept rows of one task of a tile.
-TILE, TILE_ROWS = 256, 500_000
+TILE, TILE_ROWS = 256, 50_000
 #: Term bytes once A-Z are lower-cased: a-z and all of non-ASCII.
 TERM = np.zeros(256, dtype=bool)
 TERM[[*range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-_RUNS = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("source", pa.string()), ("words", pa.int32()),
-                   ("terms", pa.binary()), ("counts", pa.binary())])
-RUNS_DDL = "bucket int, lang string, source string, words int, terms binary, counts binary"
+#: A row holds the runs of a bucket: of each width, terms, groups and counts.
+_RUNS = pa.schema([("bucket", pa.int32()), ("langs", pa.list_(pa.string())), ("sources", pa.list_(pa.string())),
+                   *[(f"{name}{k}", pa.binary()) for k in range(3) for name in ("terms", "counts")]])
+RUNS_DDL = ("bucket int, langs array<string>, sources array<string>, "
+            + ", ".join(f"{name}{k} binary" for k in range(3) for name in ("terms", "counts")))
 KEPT_DDL = "lang string, source string, term string, n long, total long"
 
 
@@ -105,19 +107,27 @@ def _runs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
             b = tokenised(texts, TERM)
             doc = np.repeat(np.arange(len(texts)), np.diff(b.first))
             length = b.end - b.start
-            out: list[list] = [[], [], [], [], [], []]
+            out: dict[int, dict] = {}
 
             def put(words, bucket, group, n, docs, take) -> None:
                 order = radix_order([bucket.astype(np.uint64), group])
                 bucket, group = bucket[order], group[order]
-                begin = runs([bucket, group])
-                end = np.concatenate([begin[1:], [len(order)]])
-                counts = np.stack([n[order], docs[order]], axis=1).astype("<u4")
-                for x, y in zip(begin, end):
-                    lang, source = label[int(group[x])]
-                    for col, v in zip(out, (int(bucket[x]), lang, source, words, _with_size(take(order[x:y])),
-                                            _with_size(counts[x:y].T.tobytes()))):
-                        col.append(v)
+                begin = runs([bucket])
+                counts = np.stack([group.astype(np.int64), n[order], docs[order]]).astype("<u4")
+                for x, y in zip(begin, np.concatenate([begin[1:], [len(order)]])):
+                    row = out.setdefault(int(bucket[x]), {"bucket": int(bucket[x]), "groups": []})
+                    used, own = np.unique(counts[0, x:y], return_inverse=True)
+                    known_here = row["groups"]
+                    place = []
+                    for g in used:
+                        name = label[int(g)]
+                        if name not in known_here:
+                            known_here.append(name)
+                        place.append(known_here.index(name))
+                    mine = counts[:, x:y].copy()
+                    mine[0] = np.array(place, dtype="<u4")[own]
+                    row[f"terms{words}"] = _with_size(take(order[x:y]))
+                    row[f"counts{words}"] = _with_size(mine.tobytes())
 
             for words, low, high in ((1, 1, 8), (2, 9, 16)):
                 pick = np.flatnonzero((length >= low) & (length <= high))
@@ -128,30 +138,38 @@ def _runs(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Record
             pick = np.flatnonzero(length > 16)
             if len(pick):
                 terms, group = [b.word(i) for i in pick], of_doc[doc[pick]].astype(np.int64)
+                own, groups, n, docs = [], [], [], []
                 for order, begin in sorted_long(terms, group):
                     end = np.concatenate([begin[1:], [len(order)]])
-                    own = [terms[order[x]] for x in begin]
-                    g = group[order[begin]].astype(np.uint64)
-                    docs = np.array([len(np.unique(doc[pick[order[x:y]]])) for x, y in zip(begin, end)], dtype=np.int64)
-                    where = tokenised(own, TERM).hashes() % np.uint64(buckets)
-                    put(0, where.astype(np.int64), g, end - begin, docs,
-                        lambda o, own=own: b"\n".join(own[i] for i in o))
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(out, _RUNS)], schema=_RUNS)
+                    own += [terms[order[x]] for x in begin]
+                    groups.append(group[order[begin]])
+                    n.append(end - begin)
+                    docs += [len(np.unique(doc[pick[order[x:y]]])) for x, y in zip(begin, end)]
+                where = (tokenised(own, TERM).hashes() % np.uint64(buckets)).astype(np.int64)
+                put(0, where, np.concatenate(groups).astype(np.uint64), np.concatenate(n), np.array(docs, dtype=np.int64),
+                    lambda o: b"\n".join(own[i] for i in o))
+            rows = list(out.values())
+            for row in rows:
+                row["langs"], row["sources"] = [g[0] for g in row["groups"]], [g[1] for g in row["groups"]]
+            for i in range(0, len(rows), 500):
+                yield pa.RecordBatch.from_pylist(rows[i:i + 500], schema=_RUNS)
 
 
 def _merged(table: pa.Table, min_docs: int) -> pa.Table:
     """The kept terms of a bucket by (language, source) with their counts."""
-    langs = sorted(set(table.column("lang").to_pylist()))
-    labels = sorted(set(zip(table.column("lang").to_pylist(), table.column("source").to_pylist())))
+    rows = table.to_pylist()
+    labels = sorted({g for r in rows for g in zip(r["langs"], r["sources"])})
+    langs = {x: i for i, x in enumerate(sorted({x for x, _ in labels}))}
     number = {x: i for i, x in enumerate(labels)}
-    lang_of = np.array([langs.index(x) for x, _ in labels], dtype=np.uint64)
+    lang_of = np.array([langs[x] for x, _ in labels], dtype=np.uint64)
     cols: list[list] = [[], [], [], [], []]
     parts: dict[int, list] = {0: [], 1: [], 2: []}
-    for r in table.to_pylist():
-        counts = np.frombuffer(_plain(r["counts"]), dtype="<u4").reshape(2, -1).astype(np.int64)
-        group = np.full(counts.shape[1], number[r["lang"], r["source"]], dtype=np.uint64)
-        parts[r["words"]].append((_plain(r["terms"]), group, counts[0], counts[1]))
+    for r in rows:
+        mine = np.array([number[g] for g in zip(r["langs"], r["sources"])], dtype=np.uint64)
+        for words in range(3):
+            if r[f"terms{words}"] is not None:
+                counts = np.frombuffer(_plain(r[f"counts{words}"]), dtype="<u4").reshape(3, -1).astype(np.int64)
+                parts[words].append((_plain(r[f"terms{words}"]), mine[counts[0]], counts[1], counts[2]))
 
     def kept(lang, group, keys, n, docs, names) -> None:
         """Of rows sorted by (lang, keys, group)."""
