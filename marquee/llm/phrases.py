@@ -40,7 +40,7 @@ from marquee.llm.packed_terms import radix_order
 from marquee.llm.words import Block, mix
 
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
-PART, BUCKET, HOT, HOT_WORDS, SMALL = 4 << 20, 2_000_000, 500_000, 1_000_000, 4096
+PART, BUCKET, HOT, HOT_WORDS, SMALL = 4 << 20, 600_000, 150_000, 1_000_000, 4096
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _INSIDE = ~_CUT
