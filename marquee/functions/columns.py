@@ -99,11 +99,23 @@ def non_null_count(columns: Iterable[str]) -> Column:
 
 
 def to_whole(c, dtype=None) -> Column:
-    """A 64-bit integer from a number or its text; fractions are cut off."""
+    """A 64-bit integer from a number or its text; fractions are cut off.
+    Text goes through a decimal, so no digit of a large number is lost."""
     col = _c(c)
     if dtype is not None and dtype.typeName() in ("long", "integer", "short", "byte"):
         return col.cast("bigint")
-    return F.coalesce(col.try_cast("bigint"), col.try_cast("double").try_cast("bigint"))
+    return F.coalesce(col.try_cast("bigint"), col.try_cast("decimal(38,6)").try_cast("bigint"),
+                      col.try_cast("double").try_cast("bigint"))
+
+
+def to_id(c, dtype=None) -> Column:
+    """As ``to_whole``, but null where a fraction would be cut off: 4.7 is not
+    title 4."""
+    whole = to_whole(c, dtype)
+    if dtype is not None and dtype.typeName() in ("long", "integer", "short", "byte"):
+        return whole
+    exact = _c(c).try_cast("decimal(38,6)")
+    return F.when(exact.isNull() | (exact == whole.cast("decimal(38,6)")), whole)
 
 
 def to_finite(c, dtype=None) -> Column:
@@ -120,11 +132,12 @@ EXACT_DECIMAL = "decimal(38,10)"
 
 def exact_avg(c, decimals: int = 2) -> Column:
     """Mean over exact decimals, rounded half-up, as a double; a value that
-    no such decimal holds (NaN, 1e300) is left out instead of failing the job."""
-    return F.round(F.avg(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")
+    no such decimal holds (NaN, 1e300) is left out, and a mean whose sum no
+    decimal holds is null, instead of failing the job."""
+    return F.round(F.try_avg(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")
 
 
 def exact_sum(c, decimals: int = 2) -> Column:
     """Sum over exact decimals, rounded half-up, as a double; values left out
     as in ``exact_avg``."""
-    return F.round(F.sum(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")
+    return F.round(F.try_sum(_c(c).try_cast(EXACT_DECIMAL)), decimals).cast("double")

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marquee.functions.columns import to_whole
+from marquee.functions.columns import to_id
 from marquee.schema import CORRUPT_COLUMN
 
 
@@ -36,18 +36,19 @@ def request_summary(ids: DataFrame) -> DataFrame:
 
 
 def first_copy_per_id(payloads: DataFrame, order_col: str = "_arrival",
-                      require=("id",)) -> DataFrame:
+                      require=("id",), keep_order: bool = False) -> DataFrame:
     """Payloads with the required fields present, one per id: the first
     by ``order_col`` (arrival order, which must be there: row order after a
     read or a shuffle says nothing).  ``min_by`` over a struct is a partial
-    aggregate, so duplicates of a hot id combine before the shuffle."""
+    aggregate, so duplicates of a hot id combine before the shuffle.
+    ``keep_order`` keeps ``order_col``, for a later merge with further copies."""
     if order_col not in payloads.columns:
         raise ValueError(f"payloads need an order of arrival in column {order_col}")
     cond = F.lit(True)
     for c in require:
         cond = cond & F.col(c).isNotNull()
     p = payloads.filter(cond)
-    rest = [c for c in p.columns if c not in ("id", order_col)]
+    rest = [c for c in p.columns if c != "id" and (keep_order or c != order_col)]
     return (p.groupBy("id")
             .agg(F.min_by(F.struct(*[F.col(c) for c in rest]), F.col(order_col)).alias("_row"))
             .select("id", *[F.col(f"_row.{c}").alias(c) for c in rest]))
@@ -93,8 +94,8 @@ def check_extracted(requested: DataFrame, fetched: DataFrame) -> None:
 
 def quarantine_reason(docs: DataFrame):
     """Why a document cannot be used, or null: ``malformed`` (the text is no
-    JSON object) or ``bad id`` (the id is there but is no number)."""
-    whole = to_whole("id", docs.schema["id"].dataType)
+    JSON object) or ``bad id`` (the id is there but is no whole number)."""
+    whole = to_id("id", docs.schema["id"].dataType)
     reason = F.when(F.col("id").isNotNull() & whole.isNull(), F.lit("bad id"))
     if CORRUPT_COLUMN in docs.columns:
         reason = F.when(F.col(CORRUPT_COLUMN).isNotNull() & F.col("id").isNull(), F.lit("malformed")).otherwise(reason)

@@ -156,15 +156,17 @@ def q_quarantine(spark, sf):
 
 def q_typed_mixed_json(spark, sf):
     """Land payloads whose numbers are written in several ways: whole, with a
-    fraction (k % 3 = 1) or as text (k % 3 = 2), and ids above 2^31 for
-    k % 7 = 0; read, split and convert them."""
+    fraction (k % 3 = 1) or as text (k % 3 = 2), ids above 2^31 for k % 7 = 0,
+    above 2^53 for k % 14 = 0, and ids that are no whole number for
+    k % 43 = 0, which go to quarantine; read, split and convert them."""
     p = _payloads(spark, sf).filter(F.col("id").isNotNull())
     k = F.col("id")
-    shifted = F.when(k % 7 == 0, k + 3_000_000_000).otherwise(k)
+    shifted = (F.when(k % 14 == 0, k + 9_007_199_254_740_993).when(k % 7 == 0, k + 3_000_000_000).otherwise(k))
     js = F.to_json(F.struct(*[shifted.alias("id") if c == "id" else F.col(c) for c in p.columns]))
     numbers = r'"(id|budget|revenue|runtime|vote_count)":([0-9]+)'
     text = (F.when(k % 3 == 1, F.regexp_replace(js, numbers, '"$1":$2.0'))
             .when(k % 3 == 2, F.regexp_replace(js, numbers, '"$1":"$2"')).otherwise(js))
+    text = F.when(k % 43 == 0, F.regexp_replace(js, r'"id":([0-9]+)', '"id":$1.5')).otherwise(text)
     path = scratch_path(spark, "mixed")
     p.select(text.alias("value")).write.text(path)
     good, _ = ingest.split_corrupt(read_documents(spark, path))
@@ -433,16 +435,44 @@ def q_job_outputs(spark, sf):
     return table
 
 
+def _landed_at(spark, path, millis):
+    """Set the modification time of a folder's files."""
+    fs, folder = publish._fs(spark, path)
+    for st in fs.listStatus(folder):
+        fs.setTimes(st.getPath(), millis, -1)
+
+
 def q_incremental_clean(spark, sf):
-    """A second run after more documents have landed includes them."""
+    """Three landings, a run after each: even ids, where k % 20 = 0 comes with
+    another title; the other ids; and the documents of k % 20 = 0 as they
+    arrived before all others.  The second and third run parse and merge the
+    new files only."""
     raw, out = scratch_path(spark, "inc-landed"), scratch_path(spark, "inc-out")
-    p = _payloads(spark, sf)
-    _land(spark, p.filter(F.col("id") % 2 == 0), f"{raw}/first")
+    p, k = _payloads(spark, sf), F.col("id")
+    even = p.filter(k % 2 == 0)
+    _land(spark, even.withColumn("title", F.when(k % 20 == 0, F.lit("not yet known")).otherwise(F.col("title"))), f"{raw}/first")
     build_clean(spark, raw, out)
     _land(spark, p.filter("id IS NULL OR id % 2 <> 0"), f"{raw}/second")
+    build_clean(spark, raw, out)
+    _land(spark, p.filter(k % 20 == 0), f"{raw}/third")
+    _landed_at(spark, f"{raw}/third", 1_000_000_000_000)
     return build_clean(spark, raw, out)[0]
 
 
+def q_rebuilt_clean(spark, sf):
+    """A table brought up to date with other settings, then with a request
+    list on unchanged files: what each run left behind."""
+    raw, out = scratch_path(spark, "set-landed"), scratch_path(spark, "set-out")
+    _land(spark, _payloads(spark, sf), raw)
+    strict = build_clean(spark, raw, out, settings=DEFAULTS.with_(min_non_null=20))[0].agg(
+        F.lit("at least 20 values").alias("name"), F.count(F.lit(1)).alias("rows"))
+    usual = build_clean(spark, raw, out)[0].agg(F.lit("defaults").alias("name"), F.count(F.lit(1)).alias("rows"))
+    build_clean(spark, raw, out, requested=request_ids(spark, sf))
+    outcomes = (spark.read.parquet(f"{out}/ingest/outcomes").groupBy(F.col("outcome").alias("name"))
+                .agg(F.count(F.lit(1)).alias("rows")))
+    return strict.unionByName(usual).unionByName(outcomes)
+
+
 def catalog() -> dict:
     q = {
         "raw_scan": q_raw_scan,
@@ -505,5 +535,6 @@ def catalog() -> dict:
         "report_status": q_report_status,
         "job_outputs": q_job_outputs,
         "incremental_clean": q_incremental_clean,
+        "rebuilt_clean": q_rebuilt_clean,
     })
     return q

@@ -47,8 +47,9 @@ CHECKPOINT_SITES = ("dropped", "flattened", "typed", "nullified", "deduped")
 
 
 def clean_titles(raw: DataFrame, settings: Settings = DEFAULTS, prefer=None,
-                 checkpoints=()) -> DataFrame:
-    """Raw documents -> the 22-column clean title table.
+                 checkpoints=(), unique_ids: bool = False) -> DataFrame:
+    """Raw documents -> the 22-column clean title table.  ``unique_ids``: every
+    id occurs once (first copies are taken already), so nothing is shuffled.
 
     Lazy unless ``checkpoints`` names stage boundaries (any of
     ``CHECKPOINT_SITES``) at which to take a reliable checkpoint in the
@@ -67,7 +68,8 @@ def clean_titles(raw: DataFrame, settings: Settings = DEFAULTS, prefer=None,
     df = cut(df.transform(C.flatten_nested, settings), "flattened")
     df = cut(df.transform(C.convert_types), "typed")
     df = cut(df.transform(C.nullify, settings), "nullified")
-    df = cut(df.transform(C.dedupe_by_id, prefer), "deduped")
+    if not unique_ids:
+        df = cut(df.transform(C.dedupe_by_id, prefer), "deduped")
     return (df.transform(C.require_id_title)
             .transform(C.released_only, settings)
             .transform(C.min_non_null, settings)

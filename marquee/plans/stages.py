@@ -16,7 +16,7 @@ unlike cached blocks.
 from __future__ import annotations
 
 import hashlib
-from pathlib import Path
+import pkgutil
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,9 +24,9 @@ from pyspark.sql import functions as F
 from marquee.plans import publish
 from marquee.plans.storage import shared_dir
 
-_PKG = Path(__file__).resolve().parents[1]
-_STAGE_CODE = ("config.py", "schema.py", "functions/columns.py", "operators/clean.py",
-               "plans/clean.py", "sources/fixtures.py", "sources/readers.py")
+_STAGE_CODE = ("config.py", "schema.py", "functions/columns.py", "operators/clean.py", "operators/ingest.py",
+               "operators/quality.py", "plans/clean.py", "plans/incremental.py", "plans/jobs.py",
+               "sources/fixtures.py", "sources/readers.py")
 STAR_INPUTS = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
 
@@ -34,16 +34,21 @@ def code_hash() -> str:
     h = hashlib.sha256()
     for rel in _STAGE_CODE:
         h.update(rel.encode())
-        h.update((_PKG / rel).read_bytes())
+        h.update(pkgutil.get_data("marquee", rel) or b"")
     return h.hexdigest()[:16]
 
 
+def input_files(spark: SparkSession, paths) -> DataFrame:
+    """path, modificationTime and length of every file under ``paths``, nested
+    ones included; no file is opened."""
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+            .select("path", "modificationTime", "length"))
+
+
 def input_signature(spark: SparkSession, paths) -> str:
     """A digest of path, size and modification time of every file under
-    ``paths``, nested ones included.  One small job: Spark lists the files
-    and adds up their hashes; no file is opened."""
-    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
-             .select(F.xxhash64("path", "modificationTime", "length").alias("h"), "length"))
+    ``paths``.  One small job: Spark lists the files and adds up their hashes."""
+    files = input_files(spark, paths).select(F.xxhash64("path", "modificationTime", "length").alias("h"), "length")
     r = files.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("size"), F.bit_xor("h").alias("x"),
                   F.sum(F.pmod("h", F.lit(1 << 40))).alias("s")).first()
     return hashlib.sha256(f"{sorted(paths)}|{r['n']}|{r['size']}|{r['x']}|{r['s']}".encode()).hexdigest()[:16]

@@ -323,10 +323,11 @@ def queries() -> dict:
         "CAST(runtime_raw AS BIGINT) AS runtime, CAST(votes_raw AS BIGINT) AS vote_count, "
         "rating_raw AS vote_average, popularity FROM rows")
     q["typed_mixed_json"] = with_clean(
-        "SELECT CAST(CASE WHEN rid % 7 = 0 THEN rid + 3000000000 ELSE rid END AS BIGINT) AS id, "
+        "SELECT CAST(CASE WHEN rid % 14 = 0 THEN rid + 9007199254740993 WHEN rid % 7 = 0 THEN rid + 3000000000 "
+        "ELSE rid END AS BIGINT) AS id, "
         "CAST(budget_raw AS DOUBLE) AS budget, CAST(revenue_raw AS DOUBLE) AS revenue, "
         "CAST(runtime_raw AS BIGINT) AS runtime, CAST(votes_raw AS BIGINT) AS vote_count, "
-        "rating_raw AS vote_average, popularity FROM rows WHERE rid IS NOT NULL")
+        "rating_raw AS vote_average, popularity FROM rows WHERE rid IS NOT NULL AND rid % 43 <> 0")
     q["drop_irrelevant"] = with_clean("SELECT rid AS id, title, 'id,title' AS columns FROM rows")
     q["nullified_titles"] = with_clean(
         "SELECT id, title, status, overview, tagline, budget_musd, revenue_musd, runtime, vote_count, "
@@ -426,4 +427,10 @@ FROM p GROUP BY part""")
     q["report_status"] = _report_status(q)
     q["job_outputs"] = _job_outputs(q)
     q["incremental_clean"] = q["clean_titles"]
+    wide = with_clean("SELECT * FROM clean_wide")
+    assert ">= 10" in wide
+    q["rebuilt_clean"] = (
+        f"SELECT 'defaults' AS name, COUNT(*) AS rows FROM ({q['clean_titles']}) t "
+        f"UNION ALL SELECT 'at least 20 values', COUNT(*) FROM ({wide.replace('>= 10', '>= 20')}) t "
+        f"UNION ALL SELECT outcome, COUNT(*) FROM ({q['ingest_outcomes']}) t GROUP BY outcome")
     return q
