@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from marquee.config import DEFAULTS, Settings
 from marquee.operators.metrics import with_metrics
-from marquee.operators.stats import exact_median
+from marquee.operators.stats import aggregated_with_median
 
 
 def revenue_budget_points(df: DataFrame) -> DataFrame:
@@ -94,13 +94,8 @@ def roi_histogram(df: DataFrame, max_bins: int = 30) -> DataFrame:
 
 def roi_median(df: DataFrame, decimals: int = 6) -> DataFrame:
     """Exact median of the histogram's values (none below two values)."""
-    v = roi_values(df)
-    med = exact_median(v, "roi", out_col="median_roi")
-    n = v.agg(F.count(F.lit(1)).alias("n"))
-    return (n.withColumn("_k", F.lit(1))
-            .join(F.broadcast(med.withColumn("_k", F.lit(1))), "_k")
-            .filter(F.col("n") >= 2)
-            .select(F.col("n").alias("n_values"), F.round("median_roi", decimals).alias("median_roi")))
+    m = aggregated_with_median(roi_values(df), "roi", [], [F.count(F.lit(1)).alias("n_values")], "median_roi")
+    return m.filter("n_values >= 2").select("n_values", F.round("median_roi", decimals).alias("median_roi"))
 
 
 FRANCHISE_CHART_METRICS = ("mean_revenue", "mean_budget", "mean_popularity", "mean_rating")

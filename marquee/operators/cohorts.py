@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from marquee.config import DEFAULTS, Settings, resolve_top_n
 from marquee.functions.columns import category, exact_avg, exact_sum
 from marquee.operators.metrics import with_metrics
-from marquee.operators.stats import exact_median
+from marquee.operators.stats import aggregated_with_median
 
 def r2(c):
     return F.round(c, 2)
@@ -48,12 +48,9 @@ def franchise_vs_standalone(df: DataFrame, median: bool = True, approx: bool = F
     ]
     if median and approx:
         aggs.append(r2(F.percentile_approx("roi", 0.5)).alias("median_roi"))
-    out = m.groupBy("category").agg(*aggs)
     if median and not approx:
-        med = exact_median(m, "roi", ["category"], out_col="median_roi")
-        out = out.join(med.select("category", r2(F.col("median_roi")).alias("median_roi")),
-                       "category", "left")
-    return out
+        return aggregated_with_median(m, "roi", ["category"], aggs, "median_roi").withColumn("median_roi", r2("median_roi"))
+    return m.groupBy("category").agg(*aggs)
 
 
 def top_franchises(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) -> DataFrame:
@@ -150,9 +147,7 @@ def budget_band_kpis(df: DataFrame, edges=None, median: bool = True, approx: boo
     ]
     if median and approx:
         aggs.append(r2(F.percentile_approx("roi", 0.5)).alias("median_roi"))
-    out = m.groupBy("band_index", "band").agg(*aggs)
     if median and not approx:
-        med = exact_median(m, "roi", ["band_index"], out_col="median_roi")
-        out = out.join(med.select("band_index", r2(F.col("median_roi")).alias("median_roi")),
-                       "band_index", "left")
-    return out
+        return (aggregated_with_median(m, "roi", ["band_index", "band"], aggs, "median_roi")
+                .withColumn("median_roi", r2("median_roi")))
+    return m.groupBy("band_index", "band").agg(*aggs)

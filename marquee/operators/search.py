@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marquee.config import SEARCH_CAST, SEARCH_GENRES, SEARCH_PAIR_CAST, SEARCH_PAIR_DIRECTOR
+from marquee.operators.numbering import running_number
 
 
 def _matches(column: str, needle: str, match: str, sep: str):
@@ -29,7 +30,7 @@ def search(df: DataFrame, all_of: dict, order_by=None, ascending: bool = True, s
     exact element of the ``sep``-separated list.  A null column never
     matches.  Ordering uses Spark's default null placement (first when
     ascending, last when descending).  ``position=True`` adds each row's place
-    in that order (from 1), which numbers the matches in one task.
+    in that order (from 1), numbered by partitions.
     """
     cond = F.lit(True)
     for column, needles in all_of.items():
@@ -46,7 +47,7 @@ def search(df: DataFrame, all_of: dict, order_by=None, ascending: bool = True, s
             # sort values across tasks instead of sending it to one
             order.append(F.col(tiebreak).asc())
         if position:
-            out = out.withColumn("position", F.row_number().over(Window.orderBy(*order)))
+            out = running_number(out, order, "position")
             order = [F.col("position")]
             select = [*select, "position"] if select is not None else None
         out = out.orderBy(*order)

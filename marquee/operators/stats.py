@@ -1,5 +1,8 @@
 """Statistics that must stay exact and distributed.
 
+``aggregated_with_median`` takes two passes with the help of quantile sketches
+and is what the reports use; ``exact_median`` needs none and is its fallback.
+
 ``exact_median`` returns the interpolated median (mean of the two middle
 values for an even count, as pandas and DuckDB do) per group without ever
 holding a whole large group in one task.  Spark's own ``median`` /
@@ -33,6 +36,69 @@ from pyspark.sql import functions as F
 from marquee.plans.storage import ensure_checkpoint_dir
 
 
+#: Size of the quantile sketches, and the rank error taken for it (several
+#: times what such a sketch has; a median outside is found by ``exact_median``).
+SKETCH_SIZE, RANK_MARGIN, CUTS = 4096, 0.005, 64
+
+
+def aggregated_with_median(df: DataFrame, value: str, group_cols, aggs, out_col: str = "median") -> DataFrame:
+    """``df.groupBy(group_cols).agg(aggs)`` with the exact interpolated median of
+    ``value`` added, in two passes over ``df`` whatever the ties.
+
+    The first pass also builds a quantile sketch of each group.  It bounds the
+    middle ranks; the second pass counts the values below the bounds and, by
+    value, those within.  Their cumulative counts, first over ``CUTS``
+    sections of the bounds and then within the section that holds the middle,
+    give the median, so no task sees more than a small share of a group."""
+    ensure_checkpoint_dir(df.sparkSession)
+    gcols = list(group_cols)
+    fields = [F.col(c) for c in gcols] if gcols else [F.lit(0).alias("_all")]
+    v = F.when(~F.isnan(F.col(value).cast("double")), F.col(value).cast("double"))
+    base = df.withColumns({"_g": F.struct(*fields), "_v": v})
+    sketch = F.call_function("kll_sketch_agg_double", F.col("_v"), F.lit(SKETCH_SIZE))
+    groups = base.groupBy("_g").agg(*aggs, F.count("_v").alias("_n"), sketch.alias("_s")).checkpoint(eager=True)
+    out = groups.join(_sketched_median(base.select("_g", "_v"), groups, out_col), "_g", "left")
+    names = [c for c in groups.columns if c not in ("_g", "_n", "_s")]
+    return out.select(*[F.col("_g").getField(c).alias(c) for c in gcols], *names, out_col)
+
+
+def _sketched_median(base: DataFrame, groups: DataFrame, out_col: str) -> DataFrame:
+    """_g and the median of ``_v`` from the groups' sketches ``_s`` of ``_n`` values."""
+    ranks = F.array(*[F.lit(0.5 - RANK_MARGIN + 2 * RANK_MARGIN * i / CUTS) for i in range(CUTS + 1)])
+    bounds = (groups.filter("_n > 0")
+              .select("_g", F.floor((F.col("_n") - 1) / 2).alias("_r1"), F.floor(F.col("_n") / 2).alias("_r2"),
+                      F.call_function("kll_sketch_get_quantile_double", F.col("_s"), ranks).alias("_cuts")))
+    v, lo, hi = F.col("_v"), F.col("_cuts")[0], F.col("_cuts")[CUTS]
+    section = F.when(v < lo, F.lit(-1)).otherwise(F.size(F.filter("_cuts", lambda c: c < v)))
+    counts = (base.filter(v.isNotNull()).join(bounds.select("_g", "_cuts"), "_g").filter(v <= hi)
+              .select("_g", section.alias("_b"), F.when(v >= lo, v).alias("_v"))
+              .groupBy("_g", "_b", "_v").agg(F.count(F.lit(1)).alias("_c")).checkpoint(eager=True))
+    before = Window.partitionBy("_g").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    sections = (counts.groupBy("_g", "_b").agg(F.sum("_c").alias("_k"))
+                .withColumn("_before", F.coalesce(F.sum("_k").over(before), F.lit(0)))
+                .join(bounds.select("_g", "_r1", "_r2"), "_g"))
+
+    def within(r, start, k):
+        return (F.col(start) <= F.col(r)) & (F.col(r) < F.col(start) + F.col(k))
+
+    held = sections.filter((F.col("_b") >= 0) & (within("_r1", "_before", "_k") | within("_r2", "_before", "_k")))
+    inside = Window.partitionBy("_g", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    fine = (counts.join(held.select("_g", "_b", "_before", "_r1", "_r2"), ["_g", "_b"])
+            .withColumn("_at", F.col("_before") + F.coalesce(F.sum("_c").over(inside), F.lit(0))))
+
+    def found(r):
+        return F.max(F.when(within(r, "_at", "_c"), F.col("_v")))
+
+    middle = (fine.groupBy("_g").agg(found("_r1").alias("_x"), found("_r2").alias("_y"))
+              .filter(F.col("_x").isNotNull() & F.col("_y").isNotNull())
+              .select("_g", ((F.col("_x") + F.col("_y")) / 2).alias(out_col)).checkpoint(eager=True))
+    missed = bounds.select("_g").join(middle, "_g", "left_anti")
+    if missed.limit(1).count():
+        rest = exact_median(base.join(missed, "_g", "left_semi"), "_v", ["_g"], out_col=out_col)
+        middle = middle.unionByName(rest)
+    return middle
+
+
 def _interval(base: DataFrame, state: DataFrame) -> DataFrame:
     """The values of each group in ``state`` that lie in its interval."""
     v, lo, hi = F.col("_v"), F.col("_lo"), F.col("_hi")

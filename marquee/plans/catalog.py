@@ -21,7 +21,7 @@ from marquee.operators import clean as C
 from marquee.operators.metrics import with_metrics
 from marquee.operators.stats import correlations
 from marquee.plans import clean as P
-from marquee.plans import publish
+from marquee.plans import bundle, publish
 from marquee.plans.jobs import build_clean
 from marquee.plans.jobs import run as run_job
 from marquee.plans.reports import SAVED_REPORTS, report_builders, run_isolated, written_to
@@ -298,6 +298,29 @@ def q_budget_band_kpis(spark, sf):
     return cohorts.budget_band_kpis(_clean(spark, sf), BAND_EDGES)
 
 
+def _numbers(name, df, key):
+    """A report's rows in long form: report, key, measure, value."""
+    values = [c for c in df.columns if c != key and c != "metric" and c != "band"]
+    rows = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in values])
+    label = F.concat_ws(":", F.col(key), F.col("metric")) if "metric" in df.columns else F.col(key)
+    return df.select(F.lit(name).alias("report"), label.alias("key"), F.explode(rows).alias("r")).select("report", "key", "r.*")
+
+
+BUNDLE_KEYS = {"franchise_comparison": "category", "top_franchises": "belongs_to_collection", "top_directors": "director",
+               "genre_kpis": "genres", "budget_band_kpis": "band", "chart_franchise_comparison": "category",
+               "chart_top_franchises": "belongs_to_collection", "chart_genre_distribution": "genre"}
+
+
+def q_report_bundle(spark, sf):
+    """All grouped reports from one pass over the clean table."""
+    groups = bundle.grouped(_clean(spark, sf), edges=BAND_EDGES)
+    parts = [_numbers(name, df, BUNDLE_KEYS[name]) for name, df in bundle.reports(groups).items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def q_metric_correlations(spark, sf):
     return correlations(_clean(spark, sf), CORRELATED)
 
@@ -516,6 +539,7 @@ def catalog() -> dict:
         "genre_combination_kpis": q_genre_combination_kpis,
         "genre_kpis": q_genre_kpis,
         "budget_band_kpis": q_budget_band_kpis,
+        "report_bundle": q_report_bundle,
         "metric_correlations": q_metric_correlations,
         "chart_revenue_budget": q_chart_revenue_budget,
         "chart_revenue_budget_grid": q_chart_revenue_budget_grid,

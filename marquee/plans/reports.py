@@ -4,12 +4,14 @@ over one clean table, each isolated from the others' failures."""
 from __future__ import annotations
 
 import logging
+from threading import Lock
 
 from pyspark.sql import DataFrame
 
 from marquee.config import (DEFAULTS, SEARCH_CAST, SEARCH_GENRES, SEARCH_PAIR_CAST, SEARCH_PAIR_DIRECTOR,
                             Settings)
-from marquee.operators import charts, cohorts, rankings, search
+from marquee.operators import charts, rankings, search
+from marquee.plans import bundle
 
 log = logging.getLogger(__name__)
 
@@ -22,17 +24,26 @@ SAVED_REPORTS = tuple(f"ranking_{n}" for n in rankings.RANKING_NAMES) + (
 def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
                     genres=SEARCH_GENRES, cast=SEARCH_CAST, pair_cast=SEARCH_PAIR_CAST,
                     pair_director=SEARCH_PAIR_DIRECTOR) -> dict:
-    """name -> zero-argument builder of a lazy frame."""
+    """name -> zero-argument builder of a lazy frame.  The grouped reports share
+    one pass over the table, taken when the first of them is built."""
     b = {}
+    lock, shared = Lock(), {}
+
+    def grouped_report(name):
+        with lock:
+            if "reports" not in shared:
+                shared["reports"] = bundle.reports(bundle.grouped(clean, settings), settings)
+        return shared["reports"][name]
+
     for name, *_ in rankings.ranking_specs(settings):
         b[f"ranking_{name}"] = (lambda n=name: rankings.ranking(clean, n, settings=settings))
     b["search_genres_cast"] = lambda: search.search_genres_cast(clean, genres, cast)
     b["search_cast_director"] = lambda: search.search_cast_director(clean, pair_cast, pair_director)
-    b["franchise_comparison"] = lambda: cohorts.franchise_vs_standalone(clean)
-    b["top_franchises"] = lambda: cohorts.top_franchises(clean, settings=settings)
-    b["top_directors"] = lambda: cohorts.top_directors(clean, settings=settings)
-    b["genre_kpis"] = lambda: cohorts.genre_kpis(clean, settings=settings)
-    b["budget_band_kpis"] = lambda: cohorts.budget_band_kpis(clean, settings=settings)
+    b["franchise_comparison"] = lambda: grouped_report("franchise_comparison")
+    b["top_franchises"] = lambda: grouped_report("top_franchises")
+    b["top_directors"] = lambda: grouped_report("top_directors")
+    b["genre_kpis"] = lambda: grouped_report("genre_kpis")
+    b["budget_band_kpis"] = lambda: grouped_report("budget_band_kpis")
     b["chart_revenue_budget"] = lambda: charts.revenue_budget_points(clean)
     b["chart_break_even"] = lambda: charts.break_even(clean)
     b["chart_roi_histogram"] = lambda: charts.roi_histogram(clean, settings.histogram_max_bins)
@@ -41,12 +52,10 @@ def report_builders(clean: DataFrame, settings: Settings = DEFAULTS,
         charts.revenue_budget_points(clean), "budget_musd", "revenue_musd", settings.grid_bins)
     b["chart_popularity_rating_grid"] = lambda: charts.grid_counts(
         charts.popularity_rating_points(clean), "vote_average", "popularity", settings.grid_bins)
-    b["chart_franchise_comparison"] = lambda: charts.franchise_comparison_series(
-        cohorts.franchise_vs_standalone(clean, median=False))
-    b["chart_top_franchises"] = lambda: charts.top_franchise_series(
-        cohorts.top_franchises(clean, settings=settings))
+    b["chart_franchise_comparison"] = lambda: grouped_report("chart_franchise_comparison")
+    b["chart_top_franchises"] = lambda: grouped_report("chart_top_franchises")
     b["chart_popularity_rating"] = lambda: charts.popularity_rating_points(clean)
-    b["chart_genre_distribution"] = lambda: charts.genre_distribution(clean, settings.genre_chart_top)
+    b["chart_genre_distribution"] = lambda: grouped_report("chart_genre_distribution")
     return b
 
 

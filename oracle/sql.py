@@ -288,6 +288,30 @@ def _job_outputs(q: dict) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+# report -> (query, key, measures) of ``report_bundle``
+BUNDLED = {
+    "franchise_comparison": ("franchise_vs_standalone", "category", (
+        "movie_count", "mean_revenue", "mean_budget", "mean_profit", "mean_roi", "mean_popularity", "mean_rating", "median_roi")),
+    "top_franchises": ("top_franchises", "belongs_to_collection", (
+        "total_movies", "total_budget", "mean_budget", "total_revenue", "mean_revenue", "mean_rating")),
+    "top_directors": ("top_directors", "director", ("total_movies", "total_revenue", "avg_revenue", "mean_rating")),
+    "genre_kpis": ("genre_combination_kpis", "genres", (
+        "movie_count", "avg_revenue", "avg_budget", "avg_rating", "avg_popularity")),
+    "budget_band_kpis": ("budget_band_kpis", "band", (
+        "band_index", "movie_count", "mean_budget", "mean_revenue", "mean_profit", "mean_roi", "mean_rating",
+        "mean_popularity", "median_roi")),
+    "chart_franchise_comparison": ("chart_franchise_comparison", "category || ':' || metric", ("value",)),
+    "chart_top_franchises": ("chart_top_franchises", "belongs_to_collection", ("total_revenue", "mean_rating")),
+    "chart_genre_distribution": ("chart_genre_distribution", "genre", ("movies",)),
+}
+
+
+def _report_bundle(q: dict) -> str:
+    return "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS report, {key} AS key, '{m}' AS measure, CAST({m} AS DOUBLE) AS value FROM ({q[query]}) t"
+        for name, (query, key, measures) in BUNDLED.items() for m in measures)
+
+
 def _report_status(q: dict) -> str:
     parts = []
     for name, key in REPORT_BUNDLE:
@@ -426,6 +450,7 @@ SELECT part, COUNT(*) AS rows,
 FROM p GROUP BY part""")
     q["report_status"] = _report_status(q)
     q["job_outputs"] = _job_outputs(q)
+    q["report_bundle"] = _report_bundle(q)
     q["incremental_clean"] = q["clean_titles"]
     wide = with_clean("SELECT * FROM clean_wide")
     assert ">= 10" in wide
