@@ -46,8 +46,9 @@ shingles): of 400,000 pairs at 0.85 none, at 0.80 one shared no region.
 
 Defined cases: null or blank text has the empty set and is linked with
 nothing; with fewer words than a shingle the whole sequence is one shingle;
-rows with the same identifier are one vertex (should their texts differ, one
-of their sets speaks for it); rows without identifier are
+rows with the same identifier and different texts are judged by their own text
+(of a group the rows with its smallest identifier and its smallest set key
+stay, so one text stays); rows without identifier are
 linked with nothing, have no component and are kept; an empty table gives an
 empty result.
 """
@@ -118,7 +119,7 @@ def _signatures(sets: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-FEATURES_DDL = "doc_id long, n_shingles long, k1 long, k2 long, sig binary, b1 long, b2 long"
+FEATURES_DDL = "doc_id long, row long, n_shingles long, k1 long, k2 long, sig binary, b1 long, b2 long"
 #: Places of the sketch bits in their two words.
 _HALF = HASHES // 2
 _PLACES = np.int64(1) << np.arange(_HALF, dtype=np.int64)
@@ -154,9 +155,9 @@ def _features(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBa
                 part, held = [], 0
         take()
         yield pa.RecordBatch.from_arrays(
-            [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
+            [pa.array(out[0], pa.int64()), batch.column("row"), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()),
              pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary()), pa.array(out[5], pa.int64()),
-             pa.array(out[6], pa.int64())], names=["doc_id", "n_shingles", "k1", "k2", "sig", "b1", "b2"])
+             pa.array(out[6], pa.int64())], names=["doc_id", "row", "n_shingles", "k1", "k2", "sig", "b1", "b2"])
 
 
 CANDIDATES_DDL = "kind int, x long, y long"
@@ -244,28 +245,24 @@ def _regions(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
                                           pa.array(out[2], pa.int64())], names=["kind", "x", "y"])
 
 
-def member_sets(docs: DataFrame, ids: DataFrame, k: int) -> DataFrame:
-    """doc_id and the full shingle set (sorted 64-bit numbers) of the
-    documents in ``ids`` (column doc_id), and of a few more: which are wanted
-    is a filter of fixed size, so the texts are not shuffled."""
-    wanted = docs.sparkSession.sparkContext.broadcast(bit_filter(ids.select(F.col("doc_id").alias("m"))))
+def member_sets(docs: DataFrame, classes: DataFrame, ids: DataFrame, k: int) -> DataFrame:
+    """doc_id (here a class) and the full shingle set (sorted 64-bit numbers) of
+    the classes in ``ids`` (column cls), from the text that stands for each."""
+    wanted = classes.join(ids.distinct(), "cls", "left_semi").select("cls", F.col("least").alias("doc_id"), "row")
 
     def sets(batches):
         for batch in batches:
-            batch = batch.filter(batch.column("doc_id").is_valid())
-            batch = batch.filter(pa.array(bit_set(wanted.value, np.asarray(batch.column("doc_id"), dtype=np.int64))))
+            cls = batch.column("cls")
             held: list[bytes] = []
             begin = 0
             for i, s in shingle_sets(batch, k):
                 held.append(s.astype("<u8").tobytes())
                 if len(held) >= 1000:
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id")[begin:i + 1], pa.array(held, pa.binary())],
-                                                     names=["doc_id", "items"])
+                    yield pa.RecordBatch.from_arrays([cls[begin:i + 1], pa.array(held, pa.binary())], names=["doc_id", "items"])
                     held, begin = [], i + 1
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id")[begin:], pa.array(held, pa.binary())],
-                                             names=["doc_id", "items"])
+            yield pa.RecordBatch.from_arrays([cls[begin:], pa.array(held, pa.binary())], names=["doc_id", "items"])
 
-    return stage(docs.mapInArrow(sets, "doc_id long, items binary")
+    return stage(docs.join(wanted, ["doc_id", "row"]).select("cls", "text").mapInArrow(sets, "doc_id long, items binary")
                  .groupBy("doc_id").agg(F.min("items").alias("items")), "near-sets")
 
 
@@ -413,14 +410,21 @@ def links_across(met: DataFrame, classes: DataFrame, items: DataFrame, percent:
             .mapInArrow(lambda it: _joining_links(it, percent), "a long, b long").distinct())
 
 
-def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
+def _row_key(text_col: str):
+    """Tells rows of one identifier apart."""
+    return F.xxhash64(text_or_empty(text_col))
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """One row per document: doc_id, row, n_shingles, component_id, kept."""
+    d = docs.select(F.col(id_col).cast("long").alias("doc_id"), _row_key(text_col).alias("row"),
+                    text_or_empty(text_col).alias("text"))
     feats = stage(d.mapInArrow(lambda it: _features(it, shingle), FEATURES_DDL), "near-features")
     classes = stage(feats.filter("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("n_shingles", "k1", "k2")
                     .agg(F.first("sig").alias("sig"), F.first("b1").alias("b1"), F.first("b2").alias("b2"),
-                         F.min("doc_id").alias("cls")), "near-classes")
+                         F.min(F.struct("doc_id", "row")).alias("rep"))
+                    .select("n_shingles", "k1", "k2", "sig", "b1", "b2", F.col("rep.doc_id").alias("least"),
+                            F.col("rep.row").alias("row"), F.monotonically_increasing_id().alias("cls")), "near-classes")
     labels = [F.struct(F.lit(t).alias("tree"),
                        F.concat(*[F.substring("sig", 4 * j + 1, 4) for j in tree_choice(t)]).alias("label"))
               for t in range(TREES)]
@@ -430,8 +434,8 @@ def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: st
                   .sortWithinPartitions("tree", "label", "cls")
                   .mapInArrow(lambda it: _regions(it, percent), CANDIDATES_DDL), "near-candidates")
     pairs = stage(found.filter("kind = 0").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "near-pairs")
-    ends = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
-    links = stage(confirmed(member_sets(d, ends, shingle), pairs, percent), "near-confirmed")
+    ends = pairs.select(F.col("a").alias("cls")).union(pairs.select("b"))
+    links = stage(confirmed(member_sets(d, classes, ends, shingle), pairs, percent), "near-confirmed")
     roots = components(links)
     # second round: crowded regions in which several components meet
     crowd = (found.filter("kind = 1").select(F.col("x").alias("region"), F.col("y").alias("vertex"))
@@ -440,25 +444,34 @@ def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: st
              .filter("lo < hi").select("region"))
     met = stage(crowd.join(mixed, "region"), "near-crowd")
     if met.limit(1).count():
-        items = member_sets(d, met.select(F.col("vertex").alias("doc_id")), shingle)
+        items = member_sets(d, classes, met.select(F.col("vertex").alias("cls")), shingle)
         links2 = stage(links_across(met, classes, items, percent), "near-confirmed")
         if links2.limit(1).count():
             roots = components(links.union(links2))
-    of_class = (classes.select("n_shingles", "k1", "k2", "cls")
-                .join(roots.select(F.col("vertex").alias("cls"), "component"), "cls", "left")
-                .select("n_shingles", "k1", "k2", F.coalesce("component", "cls").alias("component")))
-    out = feats.select("doc_id", "n_shingles", "k1", "k2").join(of_class, ["n_shingles", "k1", "k2"], "left")
+    key = F.struct("least", "n_shingles", "k1", "k2")
+    named = (classes.select("n_shingles", "k1", "k2", "cls", "least")
+             .join(roots.select(F.col("vertex").alias("cls"), "component"), "cls", "left")
+             .withColumn("group", F.coalesce("component", "cls")))
+    of_class = (named.join(named.groupBy("group").agg(F.min(key).alias("first")), "group")
+                .select("n_shingles", "k1", "k2", F.col("first.least").alias("component"), (key == F.col("first")).alias("is_first")))
+    out = feats.select("doc_id", "row", "n_shingles", "k1", "k2").join(of_class, ["n_shingles", "k1", "k2"], "left")
     component = F.when(F.col("doc_id").isNull(), F.lit(None)).otherwise(F.coalesce("component", "doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+    return out.select("doc_id", "row", "n_shingles", component.alias("component_id"),
+                      F.coalesce((F.col("doc_id") == component) & F.coalesce("is_first", F.lit(True)), F.lit(True)).alias("kept"))
+
+
+def near_groups(docs: DataFrame, shingle: int = 3, percent: int = 85, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _grouped(docs, shingle, percent, id_col, text_col).drop("row")
 
 
 def near_dedup(docs: DataFrame, shingle: int = 5, percent: int = 80, id_col: str = "doc_id",
                text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay: one document of each group, all columns as they came."""
-    gone = (near_groups(docs, shingle, percent, id_col, text_col).filter("NOT kept")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    gone = (_grouped(docs, shingle, percent, id_col, text_col).filter("NOT kept")
+            .select(F.col("doc_id").alias("__gone"), F.col("row").alias("__gone_row")).distinct())
+    return docs.join(gone, (docs[id_col] == gone["__gone"]) & (_row_key(text_col) == gone["__gone_row"]), "left_anti")
 
 
 def op1_near_dedup(spark, sf_dir):
