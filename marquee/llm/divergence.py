@@ -226,20 +226,20 @@ def _share(count: str, total: str) -> F.Column:
                   f"cast({total} + {PRIOR} * v as decimal(28,0)))").cast("long")
 
 
-def _tile_sums(pdf: pd.DataFrame) -> pd.DataFrame:
+def _tile_sums(pdf: pd.DataFrame, tile: int) -> pd.DataFrame:
     """What the terms of one task add to each pair of a tile, over p of count 0."""
     base = pdf[pdf.term.isna()]
     rows = pdf[pdf.term.notna()]
     a, b = int(pdf.a.iloc[0]), int(pdf.b.iloc[0])
-    zero = np.zeros(2 * TILE, dtype=np.int64)
+    zero = np.zeros(2 * tile, dtype=np.int64)
     # place of a source: its offset in the first tile, or behind it in the second
     def place(idx):
         idx = idx.to_numpy()
-        return np.where(idx // TILE == a, idx % TILE, TILE + idx % TILE)
+        return np.where(idx // tile == a, idx % tile, tile + idx % tile)
     at = place(base.idx)
     zero[at] = base.p.to_numpy()
-    left = np.sort(at[at < TILE])
-    right = left if a == b else np.sort(at[at >= TILE])
+    left = np.sort(at[at < tile])
+    right = left if a == b else np.sort(at[at >= tile])
     total = np.zeros((len(left), len(right)), dtype=np.int64)
     code, terms = pd.factorize(rows.term)
     order = np.argsort(code, kind="stable")
@@ -252,11 +252,11 @@ def _tile_sums(pdf: pd.DataFrame) -> pd.DataFrame:
             total[i] += np.abs(m[:, right] - m[:, [s]]).sum(axis=0)
     total -= len(terms) * np.abs(zero[left][:, None] - zero[right][None, :])
     i, j = np.nonzero(total)
-    return pd.DataFrame({"lang": pdf.lang.iloc[0], "i": a * TILE + left[i], "j": b * TILE + right[j] % TILE, "f": total[i, j]})
+    return pd.DataFrame({"lang": pdf.lang.iloc[0], "i": a * tile + left[i], "j": b * tile + right[j] % tile, "f": total[i, j]})
 
 
 def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_TERMS, text_col: str = "text",
-               lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+               lang_col: str = "lang", source_col: str = "source", tile: int = TILE) -> DataFrame:
     """lang, source, part (pair or term), item, value, rank."""
     d = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n)
                       for c, n in ((lang_col, "lang"), (source_col, "source"))], text_or_empty(text_col).alias("text"))
@@ -281,8 +281,8 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     # each kept row goes to the tiles of its source's block; each tile has all its sources' p of count 0
     n_rows = kept.count()
     salts = 1 + n_rows // TILE_ROWS
-    block = F.floor(F.col("idx") / TILE).cast("int")
-    tiles = sides.groupBy("lang").agg((F.floor(F.max("idx") / TILE) + 1).cast("int").alias("blocks"))
+    block = F.floor(F.col("idx") / tile).cast("int")
+    tiles = sides.groupBy("lang").agg((F.floor(F.max("idx") / tile) + 1).cast("int").alias("blocks"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
 
     def placed(rows: DataFrame, salt) -> DataFrame:
@@ -294,7 +294,7 @@ def divergence(docs: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
                   F.explode(F.sequence(F.lit(0), F.lit(int(salts) - 1))))
     rows = placed(shares.select("lang", "idx", "term", "p"), F.pmod(F.xxhash64("term"), F.lit(salts)).cast("int"))
     sums = (base.unionByName(rows).groupBy("lang", "a", "b", "salt")
-            .applyInPandas(_tile_sums, "lang string, i long, j long, f long")
+            .applyInPandas(lambda pdf: _tile_sums(pdf, tile), "lang string, i long, j long, f long")
             .select("lang", F.least("i", "j").alias("i"), F.greatest("i", "j").alias("j"), "f", (F.col("i") > F.col("j")).alias("twice"))
             .filter("i < j AND NOT twice").groupBy("lang", "i", "j").agg(F.sum("f").alias("f")))
     x = sides.select("lang", F.col("source").alias("s"), F.col("idx").alias("x"), F.col("p0").alias("px"), "v")

@@ -124,7 +124,7 @@ def _incidence(batches: Iterator[pa.RecordBatch], k: int, percent: int) -> Itera
 PRODUCT_DDL = "crowded boolean, h long, a long, b long, na long, nb long, c long"
 
 
-def _product(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+def _product(batches: Iterator[pa.RecordBatch], percent: int, crowd: int) -> Iterator[pa.RecordBatch]:
     """Overlap counts of a partition's columns, sorted by (h, n, cid): rows
     (a, b, na, nb, c) of pairs, and (h, a, na) of crowded columns' classes."""
     held = [np.zeros(0, dtype=np.int64)] * 3
@@ -141,7 +141,7 @@ def _product(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
         nonlocal held, full
         begin = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
         size = np.diff(np.concatenate([begin, [len(h)]]))
-        many = size > CROWD
+        many = size > crowd
         if full is not None and h[0] == full:
             many[0] = True
         # an open last column waits, unless it is crowded already
@@ -286,7 +286,7 @@ def _across(rare: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
 
 def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
-           text_col: str = "text") -> DataFrame:
+           text_col: str = "text", crowd: int = CROWD) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     d = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_or_empty(text_col).alias("text"))
     feats = stage(d.mapInArrow(lambda it: _features(it, shingle), FEATURES_DDL), "join-features")
@@ -295,9 +295,9 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
     of = d.join(classes.select(F.col("least").alias("doc_id"), "cid", "k1", "k2"), "doc_id")
     entries = of.select("text", "cid", "k1", "k2").mapInArrow(lambda it: _incidence(it, shingle, percent), "h long, cid long, n long")
     product = stage(entries.repartition("h").sortWithinPartitions("h", "n", "cid")
-                    .mapInArrow(lambda it: _product(it, percent), PRODUCT_DDL), "join-product")
-    crowd = product.filter("crowded").select("h", F.col("a").alias("cid"), F.col("na").alias("n")).distinct()
-    held = crowd.groupBy("cid", "n").agg(F.count(F.lit(1)).alias("v"))
+                    .mapInArrow(lambda it: _product(it, percent, crowd), PRODUCT_DDL), "join-product")
+    crowds = product.filter("crowded").select("h", F.col("a").alias("cid"), F.col("na").alias("n")).distinct()
+    held = crowds.groupBy("cid", "n").agg(F.count(F.lit(1)).alias("v"))
     heavy = held.filter(F.col("v") >= _asked("n", percent)).select("cid")
     more = {s: held.select(F.col("cid").alias(s), F.col("v").alias("v" + s)) for s in ("a", "b")}
     overlaps = product.filter("NOT crowded").groupBy("a", "b", "na", "nb").agg(F.sum("c").alias("c"))

@@ -8,9 +8,9 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from marquee.llm import (bpe, exact_dedup, fingerprints, licenses, mixing, near_dedup, packing, sharding, substrings,
-                         toxicity)
-from tests.llm.fixtures import clashing, frame, rows
+from marquee.llm import (bpe, divergence, exact_dedup, fingerprints, jaccard_join, licenses, mixing, near_dedup, packed_terms,
+                         packing, phrases, sharding, substrings, toxicity)
+from tests.llm.fixtures import clashing, frame, passage, rows
 
 LOW = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -20,7 +20,7 @@ OPERATORS = {
     "near": near_dedup.near_groups, "mix": mixing.copies, "licenses": licenses.scan,
     "substrings": substrings.removal_digests, "bpe": bpe.token_digests, "shards": sharding.curve_shards,
     "packing": packing.pack, "fingerprints": fingerprints.edited_fingerprints, "exact": exact_dedup.exact_groups,
-    "toxicity": lambda d: toxicity.scores(d, MODEL),
+    "toxicity": lambda d: toxicity.scores(d, MODEL), "join": jaccard_join.joined,
 }
 
 
@@ -573,3 +573,156 @@ def test_windows_of_equal_hashes_are_told_apart_by_words(monkeypatch):
     monkeypatch.setattr(substrings, "_window_hashes", lambda h, g: (np.zeros(len(h) - 49, "u8"), np.zeros(len(h) - 49, "u8")))
     got = [r for b in substrings._repeated([rows_of(one, two, one.replace(" ", "\t"))]) for r in b.to_pylist()]
     assert got == [{"doc_id": 2, "row": 2, "a": 0, "b": 50}]
+
+
+def test_near_rows_of_one_identifier_keep_their_own_texts(spark):
+    a, b = passage(21, 60), passage(22, 60)
+    data = [(3, a, "en", "a", 1), (5, a + " ", "en", "a", 1), (5, b, "en", "a", 1), (5, b + "  ", "en", "b", 1)]
+    stay = Counter((r.doc_id, r.text.strip()) for r in near_dedup.near_dedup(frame(spark, data)).collect())
+    assert stay == {(3, a): 1, (5, b): 2}
+    groups = Counter((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_groups(frame(spark, data)).collect())
+    assert groups == {(3, 3, True): 1, (5, 3, False): 1, (5, 5, True): 2}
+    joined = Counter((r.doc_id, r.component_id) for r in jaccard_join.joined(frame(spark, data)).collect())
+    assert joined == {(3, 3): 1, (5, 3): 1, (5, 5): 2}
+
+
+def components_of(texts, k, percent):
+    comp = {i: i for i in texts}
+    links = [(i, j) for i in texts for j in texts if i < j and similar(texts[i], texts[j], k, percent)]
+    for _ in texts:
+        for i, j in links:
+            comp[i] = comp[j] = min(comp[i], comp[j])
+    return comp
+
+
+def test_join_of_crowds_against_all_pairs(spark):
+    """Crowds of near copies around the threshold, documents that share a
+    common passage, chains of short texts; columns are crowded early."""
+    texts = {}
+    for i in range(40):   # near copies, edits from few to too many
+        w = [f"k{j}" for j in range(90)]
+        for e in range(i % 7):
+            w[(i * 13 + e * 17) % 90] = f"x{i}_{e}"
+        texts[i] = " ".join(w)
+    common = passage(31, 40)
+    for i in range(40, 60):
+        texts[i] = f"{passage(i, 30 + 3 * i)} {common}"
+    base = [f"c{j}" for j in range(120)]
+    for i in range(60, 80):
+        texts[i] = " ".join(base[(i - 60) * 2:(i - 60) * 2 + 40])
+    for i in range(80, 90):
+        texts[i] = " ".join(f"s{j}" for j in range(i - 78))
+    data = [(i, t, "en", "a", 1) for i, t in texts.items()]
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined(frame(spark, data), crowd=3).collect()}
+    assert got == components_of(texts, 5, 80)
+
+
+def term_rows(data):
+    return [(l or "", s or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOW)))
+            for _, t, l, s, _ in data]
+
+
+def divergence_by_hand(data, least):
+    rows = term_rows(data)
+    out = Counter()
+    for lang in {r[0] for r in rows}:
+        mine = [r for r in rows if r[0] == lang]
+        df, total = Counter(), Counter()
+        for _, _, w in mine:
+            df.update(set(w))
+            total.update(w)
+        kept = sorted((t for t in df if df[t] >= least), key=lambda t: t.encode())
+        groups = {}
+        for _, s, w in mine:
+            groups.setdefault(s, Counter()).update(x for x in w if df[x] >= least)
+        p = {s: {t: 1 + (10**9 * (c[t] + 5)) // (sum(c.values()) + 5 * len(kept)) for t in kept} for s, c in groups.items()}
+        n = sum(total[t] for t in kept)
+        q = {t: 1 + (10**9 * (total[t] + 5)) // (n + 5 * len(kept)) for t in kept}
+        for s, c in groups.items():
+            pair = [(sum(abs(p[s][t] - p[o][t]) for t in kept), o) for o in groups if o != s]
+            term = [(p[s][t] - q[t], t) for t in kept if c[t] and p[s][t] > q[t]]
+            for part, found, top in (("pair", pair, None), ("term", term, 50)):
+                found.sort(key=lambda x: (-x[0], x[1].encode()))
+                for rank, (v, item) in enumerate(found[:top], 1):
+                    out[lang, s, part, item, v, rank] += 1
+    return out
+
+
+def test_divergence_against_plain_python(spark, monkeypatch):
+    monkeypatch.setattr(divergence, "TILE_ROWS", 40)
+    monkeypatch.setattr(divergence, "BUCKET_BYTES", 5_000)
+    words = ["Alpha", "be", "ab", "gämma", "x" * 8, "x" * 9, "y" * 16, "y" * 17, "ÄÖ" * 40, "z" * 300, "z" * 301, "abcdefgh", "abcdefghi"]
+    data = rows() + [(100 + i, " ".join(words[(i * j) % len(words)] for j in range(1, 9)) + f" only{chr(97 + i % 5)}",
+                      ("en", "de", None)[i % 3], f"s{i % 5}" if i % 11 else None, 1) for i in range(120)]
+    got = Counter(tuple(r) for r in divergence.divergence(clashing(frame(spark, data)), min_docs=4, tile=2).collect())
+    assert got == divergence_by_hand(data, 4)
+    assert divergence.divergence(frame(spark, [])).count() == 0
+
+
+def test_terms_are_packed_and_sorted_as_bytes():
+    import numpy as np
+
+    rng = np.random.RandomState(5)
+    a, b = (rng.randint(0, 1 << 40, 3000).astype("u8") % np.uint64(m) for m in (1 << 33, 50))
+    assert packed_terms.radix_order([b, a]).tolist() == np.lexsort((a, b)).tolist()
+    words = [b"abcdefgh", "ÄÖÜäöüß".encode(), b"a", b"abcdefghijklmnop"]
+    block = divergence.tokenised([b" ".join(words[:1] + words[2:3])], divergence.TERM)
+    assert packed_terms.unpack(packed_terms.pack(block, np.arange(2), 1)) == [words[0], words[2]]
+
+
+def collocations_by_hand(data, least, top):
+    f, n = defaultdict(Counter), Counter()
+    for _, t, lang, _, _ in data:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (t or "").translate(LOW)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f[lang].update(tuple(w[i:i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    out = Counter()
+    for lang, c in f.items():
+        found = []
+        for ph, a in c.items():
+            if len(ph) < 2 or a < least:
+                continue
+            if any(len(x) == 3 and len(ph) == 2 and v >= least and 100 * v >= 50 * a and ph in (x[:2], x[1:]) for x, v in c.items()):
+                continue
+            s, k = min((10**6 * a * a // (c[ph[:k]] * c[ph[k:]]), k) for k in range(1, len(ph)))
+            found.append((-s, -a, " ".join(ph).encode(), c[ph[:k]], c[ph[k:]]))
+        for rank, (s, a, ph, l, r) in enumerate(sorted(found)[:top], 1):
+            out[lang, rank, ph.decode(), -a, l, r, n[lang], -s] += 1
+    return out
+
+
+@pytest.mark.parametrize("hot", [500_000, 30, 3])
+def test_collocations_against_plain_python(spark, monkeypatch, hot):
+    monkeypatch.setattr(phrases, "BUCKET", 300)
+    words = ["the", "of", "a\x00", "naïve", "Ärger", "x" * 70, "b", "c", "d"]
+    data = rows() + [(100 + i, " ".join(words[(i * j + j * j) % (3 + i % 7)] + ("." if (i + j) % 5 == 0 else "") for j in range(25)),
+                      ("en", "de", None)[i % 3], "s", 1) for i in range(60)]
+    got = Counter(tuple(r) for r in phrases.collocations(clashing(frame(spark, data)), least=3, top=40, hot_above=hot).collect())
+    assert got == collocations_by_hand(data, 3, 40)
+
+
+def test_frequent_prefixes_against_counting():
+    import numpy as np
+
+    rng = np.random.RandomState(3)
+    words = rng.zipf(1.3, (30_000, 3)) % 40
+    words[rng.rand(30_000) < 0.1, 2] = -1
+    words[rng.rand(30_000) < 0.05, 1:] = -1
+    n = rng.randint(1, 4, 30_000)
+    want = Counter()
+    for w, k in zip(words.tolist(), n.tolist()):
+        for size in (2, 3):
+            if -1 not in w[:size]:
+                want[tuple(w[:size])] += k
+    for least in (1, 50):
+        got = Counter()
+        for r, size, count in phrases.frequent_prefixes(words, n, least):
+            for i, c in zip(r, count):
+                got[tuple(words[i, :size].tolist())] += int(c)
+        assert got == Counter({k: v for k, v in want.items() if v >= least})
+
+
+def test_collocations_of_nothing(spark):
+    assert phrases.collocations(frame(spark, [])).count() == 0
