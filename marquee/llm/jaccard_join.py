@@ -322,10 +322,15 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
              .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
     rest = stage(apart.union(_across(rare, roots, percent)).distinct().join(first, ["a", "b"], "left_anti"), "join-rest")
     if rest.limit(1).count():
-        further = stage(confirmed(sets, rest, percent), "join-links")
+        # the further links join components, so these are the vertices now
+        further = stage(confirmed(sets, rest, percent).join(at["a"], "a", "left").join(at["b"], "b", "left")
+                        .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
+                        .filter("a <> b").distinct(), "join-links")
         if further.limit(1).count():
-            links = links.union(further)
-            roots = components(links)
+            above = components(further).withColumnsRenamed({"vertex": "component", "component": "top"})
+            single = above.join(roots, "component", "left_anti").select(F.col("component").alias("vertex"), "top")
+            roots = (roots.join(above, "component", "left").select("vertex", F.coalesce("top", "component").alias("component"))
+                     .unionByName(single.withColumnRenamed("top", "component")))
     named = classes.select("n_shingles", "k1", "k2", "cid", "least").join(roots.withColumnRenamed("vertex", "cid"), "cid", "left")
     group = F.coalesce("component", "cid")
     least = named.groupBy(group.alias("group")).agg(F.min("least").alias("component_id"))
