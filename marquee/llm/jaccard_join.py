@@ -327,7 +327,7 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
                         .select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b"))
                         .filter("a <> b").distinct(), "join-links")
         if further.limit(1).count():
-            above = components(further).withColumnsRenamed({"vertex": "component", "component": "top"})
+            above = components(further).select(F.col("vertex").alias("component"), F.col("component").alias("top"))
             single = above.join(roots, "component", "left_anti").select(F.col("component").alias("vertex"), "top")
             roots = (roots.join(above, "component", "left").select("vertex", F.coalesce("top", "component").alias("component"))
                      .unionByName(single.withColumnRenamed("top", "component")))

@@ -617,6 +617,22 @@ def test_join_of_crowds_against_all_pairs(spark):
     assert got == components_of(texts, 5, 80)
 
 
+def test_join_joins_components_of_best_partners(spark):
+    """Pairs nearest to each other within a group that is linked as a whole, and
+    a document alone that only a pair's further links reach."""
+    texts = {}
+    for i in range(16):
+        w = [f"k{j}" for j in range(300)]
+        w[(i // 2) * 30 + 5] = f"pair{i // 2}"
+        w[(i // 2) * 30 + 15] = f"also{i // 2}"
+        w[290 + i % 2] = "own"
+        texts[i] = " ".join(w)
+    texts[50] = " ".join(f"k{j}" for j in range(250))
+    texts[51] = texts[50].replace("k100 ", "other ")
+    got = {r.doc_id: r.component_id for r in jaccard_join.joined(frame(spark, [(i, t, "en", "a", 1) for i, t in texts.items()])).collect()}
+    assert got == components_of(texts, 5, 80) and set(got.values()) == {0, 50}
+
+
 def term_rows(data):
     return [(l or "", s or "", re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", (t or "").translate(LOW)))
             for _, t, l, s, _ in data]
