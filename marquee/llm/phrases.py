@@ -41,6 +41,8 @@ from marquee.llm.words import Block, mix
 
 LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 PART, BUCKET, HOT, HOT_WORDS, SMALL = 4 << 20, 600_000, 150_000, 1_000_000, 4096
+#: Shares of a language's candidates that are ranked before all are.
+SALTS = 64
 _CUT = np.zeros(256, dtype=bool)
 _CUT[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _INSIDE = ~_CUT
@@ -314,8 +316,14 @@ def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, top: i
               .groupBy("lang", "phrase").agg(F.max("f").alias("longer")))
     kept = (scored.join(within, ["lang", "phrase"], "left")
             .filter(F.col("longer").isNull() | (100 * F.col("longer") < share * F.col("a"))))
-    best = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc())
-    return (kept.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).join(n, "lang")
+    # the best of each of SALTS shares of a language first, so no task sorts a whole language
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
+    some = (kept.withColumn("salt", salt)
+            .withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order)))
+            .filter(F.col("rank") <= top).drop("rank", "salt"))
+    best = Window.partitionBy("lang").orderBy(*order)
+    return (some.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= top).join(n, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 
