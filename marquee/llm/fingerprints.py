@@ -2,21 +2,24 @@
 
 A document is the multiset of its paragraphs (lines, cut again at sentence
 ends so that an edit inside a long paragraph stays local).  Each paragraph is
-hashed to a wide vector of 60 bytes and the vectors are summed, every
-coordinate modulo 2^21.  Sums commute, so equal multisets have equal
+hashed to a wide vector of 60 entries of 0 to 3 and the vectors are summed,
+every coordinate modulo 2^31.  Sums commute, so equal multisets have equal
 fingerprints in any order, and a paragraph is inserted or deleted by adding
-or subtracting its vector.  Because the summed bytes are small beside the
-modulus, the centred vectors keep inner products: the cosine of two
-fingerprints estimates the share of common paragraphs.
-
-Stored form: ``array<bigint>``, the number of paragraphs and then 20 words of
-three 21-bit lanes.  Lane-wise addition and subtraction keep carries and
+or subtracting its vector.  A coordinate wraps only beyond 715 million
+paragraphs in one document (1.4 GB of the shortest ones), so the centred
+vectors keep inner products: the cosine of two fingerprints estimates the
+share of common paragraphs, also where one line makes up a whole log.  Two
+different paragraphs have equal vectors by a chance of 2^-120.
+
+Stored form: ``array<bigint>``, the number of paragraphs and then 30 words of
+two 31-bit lanes.  Lane-wise addition and subtraction keep carries and
 borrows inside a lane by treating each lane's top bit apart.
 
 Defined cases: null text = empty text = the empty multiset (all zeros);
 repeated paragraphs count as often as they stand; repeated rows are documents
-of their own; a null identifier comes first in the order of identifiers; an
-empty table gives an empty result.
+of their own; rows of one identifier are in the order of a hash of their text;
+a null identifier comes first in the order of identifiers; an empty table gives
+an empty result.
 """
 
 from __future__ import annotations
@@ -26,14 +29,16 @@ from pyspark.sql import functions as F
 
 from marquee.llm.common import documents, text_or_empty
 
-WORDS, LANES, LANE_BITS = 20, 3, 21
+WORDS, LANES, LANE_BITS = 30, 2, 31
 MODULUS = 1 << LANE_BITS
-_BYTES = sum(0xFF << (LANE_BITS * i) for i in range(LANES))
+#: The largest entry of a paragraph's vector.
+ENTRY = 3
+_ENTRIES = sum(ENTRY << (LANE_BITS * i) for i in range(LANES))
 _TOP = sum(1 << (LANE_BITS * i + LANE_BITS - 1) for i in range(LANES))
 _LOW = sum(((1 << (LANE_BITS - 1)) - 1) << (LANE_BITS * i) for i in range(LANES))
 PARAGRAPH_END = r"\n+|(?<=[.!?])[\x20\x09-\x0D]+"
-#: Identifiers to a bucket when documents are put in order.
-BUCKET = 512
+#: Ranges of identifiers for each shuffle partition when documents are put in order.
+RANGES = 4
 
 
 def _long(v: int) -> Column:
@@ -41,13 +46,13 @@ def _long(v: int) -> Column:
 
 
 def lane_add(a: Column, b: Column) -> Column:
-    """Lane-wise sum modulo 2^21 of two words."""
+    """Lane-wise sum modulo 2^31 of two words."""
     return (a.bitwiseAND(_long(_LOW)) + b.bitwiseAND(_long(_LOW))).bitwiseXOR(
         a.bitwiseXOR(b).bitwiseAND(_long(_TOP)))
 
 
 def lane_sub(a: Column, b: Column) -> Column:
-    """Lane-wise difference modulo 2^21 of two words."""
+    """Lane-wise difference modulo 2^31 of two words."""
     same_top = F.bitwise_not(a.bitwiseXOR(b)).bitwiseAND(_long(_TOP))
     return (a.bitwiseOR(_long(_TOP)) - b.bitwiseAND(_long(_LOW))).bitwiseXOR(same_top)
 
@@ -71,9 +76,9 @@ def fingerprint(text: Column) -> Column:
     zero = F.array_repeat(_long(0), WORDS + 1)
 
     def add(acc: Column, h: Column) -> Column:
-        # a paragraph's lanes hold bytes, so its words have no top bits
+        # a paragraph's lanes hold 0 to 3, so its words have no top bits
         return F.transform(acc, lambda v, i: F.when(i == 0, v + 1).otherwise(
-            (v.bitwiseAND(_long(_LOW)) + F.xxhash64(h, i).bitwiseAND(_long(_BYTES)))
+            (v.bitwiseAND(_long(_LOW)) + F.xxhash64(h, i).bitwiseAND(_long(_ENTRIES)))
             .bitwiseXOR(v.bitwiseAND(_long(_TOP)))))
 
     return F.aggregate(hashes, zero, add)
@@ -84,11 +89,11 @@ def fingerprint_hex(fp: Column) -> Column:
 
 
 def vector(fp: Column) -> Column:
-    """The centred coordinates (twice their value less the bytes' mean), as doubles."""
+    """The centred coordinates (twice their value less the entries' mean), as doubles."""
     n = F.element_at(fp, 1)
     lanes = F.flatten(F.transform(F.slice(fp, 2, WORDS), lambda w: F.array(*[
         F.shiftright(w, LANE_BITS * i).bitwiseAND(_long(MODULUS - 1)) for i in range(LANES)])))
-    wide = F.transform(lanes, lambda c: F.pmod(c * 2 - n * 255, _long(2 * MODULUS)))
+    wide = F.transform(lanes, lambda c: F.pmod(c * 2 - n * ENTRY, _long(2 * MODULUS)))
     return F.transform(wide, lambda c: F.when(c >= MODULUS, c - 2 * MODULUS).otherwise(c).cast("double"))
 
 
@@ -104,28 +109,50 @@ def likeness(a: Column, aa: Column, b: Column, bb: Column) -> Column:
             .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), cos))))
 
 
+def _ranges(df: DataFrame, id_col: str, text_col: str) -> Column:
+    """The number of a row's range in the order (identifier, text hash).
+
+    Identifiers are cut at approximate quantiles; where one identifier spans
+    several cuts, its rows are cut again by the hash.  The cuts follow the
+    rows, whatever the identifiers' values, and there are at most ``RANGES``
+    for each shuffle partition."""
+    parts = RANGES * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shares = [i / parts for i in range(1, parts)]
+    got = df.agg(F.percentile_approx(id_col, shares, 20 * parts).alias("cuts"),
+                 F.count(id_col).alias("n"), F.count(F.lit(1)).alias("rows")).first()
+    nulls = 1 + parts * (got["rows"] - got["n"]) // max(1, got["rows"])
+    c = F.col(id_col)
+    cuts = F.array(*[F.lit(i).cast("long") for i in got["cuts"] or []]).cast("array<long>")
+    below, upto = F.size(F.filter(cuts, lambda x: x < c)), F.size(F.filter(cuts, lambda x: x <= c))
+    # ascending with the identifier, and a number of its own for each that is a cut
+    place = F.when(c.isNull(), 0).otherwise(1 + below + upto)
+    n = F.when(c.isNull(), nulls).otherwise(F.greatest(F.lit(1), upto - below))
+    # the hash's upper 32 bits as a share of all hashes, in the hash's order
+    share = (F.shiftright(F.xxhash64(text_col), 32) + (1 << 31)).cast("long")
+    inner = F.floor(share * n / float(1 << 32)).cast("long")
+    return place.cast("long") * (parts + 2) + inner
+
+
 def with_next(df: DataFrame, id_col: str, carry: list[str], prefix: str = "next_") -> DataFrame:
-    """Each row with the ``carry`` columns of the next row by identifier
-    (after the last: the first).
+    """Each row with the ``carry`` columns of the next row by identifier, then
+    by the hash of the first of them, then by itself (after the last: the first).
 
-    Identifiers are dealt to buckets of about ``BUCKET`` by value; inside a
-    bucket a window finds the next row, and a bucket's last row takes the
-    first row of the next bucket.  Only bucket numbers meet in one task.
+    Rows are dealt to ranges of that order; inside a range a window finds the
+    next row, and a range's last row takes the first row of the next range.
+    Only one row a range meets in one task.
     """
-    low, high, n = df.agg(F.min(id_col), F.max(id_col), F.count(id_col)).first()
-    width = max(1.0, (high - low + 1) * BUCKET / n) if n else 1.0
-    bucket = (F.when(F.col(id_col).isNull(), -1)
-              .otherwise(F.floor((F.col(id_col).cast("double") - float(low or 0)) / width)).cast("long"))
-    order = [F.col(id_col).asc_nulls_first(), *[F.col(c) for c in carry[:1]]]
-    dealt = df.withColumn("bucket", bucket).repartition("bucket")
-    w = Window.partitionBy("bucket").orderBy(*order)
+    text = carry[0]
+    dealt = df.withColumn("bucket", _ranges(df, id_col, text)).withColumn("_hash", F.xxhash64(text))
+    order = [F.col(id_col).asc_nulls_first(), F.col("_hash"), F.col(text)]
     row = F.struct(*carry)
-    inner = dealt.withColumn("after", F.lead(row).over(w))
-    firsts = dealt.groupBy("bucket").agg(F.min_by(row, F.struct(id_col, carry[0])).alias("wrap"))
-    chain = df.select(bucket.alias("bucket")).distinct()
+    inner = dealt.repartition("bucket").withColumn(
+        "after", F.lead(row).over(Window.partitionBy("bucket").orderBy(*order)))
+    # null identifiers have ranges of their own
+    firsts = dealt.groupBy("bucket").agg(
+        F.min_by(row, F.struct(F.coalesce(F.col(id_col), F.lit(0)), "_hash", text)).alias("wrap"))
     line = Window.orderBy("bucket")
-    chain = chain.select("bucket", F.coalesce(F.lag("bucket").over(line), F.max("bucket").over(
-        Window.partitionBy())).alias("before"))
+    chain = dealt.select("bucket").distinct().select("bucket", F.coalesce(
+        F.lag("bucket").over(line), F.max("bucket").over(Window.partitionBy())).alias("before"))
     firsts = firsts.join(chain, "bucket").select(F.col("before").alias("bucket"), "wrap")
     out = inner.join(firsts, "bucket")
     return out.select(*df.columns, *[F.coalesce("after", "wrap")[c].alias(prefix + c) for c in carry])

@@ -404,30 +404,31 @@ def test_text_cuts_are_quantiles(spark):
 
 
 def vector(text):
+    """Paragraphs, and the sums of their entries as plain numbers (no modulus)."""
     import xxhash
+    from collections import Counter
 
     parts = [p for p in re.split(fingerprints.PARAGRAPH_END, text) if p]
     v = [0] * 60
-    for p in parts:
+    for p, times in Counter(parts).items():
         h = xxhash.xxh64_intdigest(p.encode(), seed=42)
         h = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed=42)
-        for i in range(20):
+        for i in range(30):
             w = xxhash.xxh64_intdigest((i + 1).to_bytes(4, "little"), seed=h)
-            for lane in range(3):
-                v[3 * i + lane] = (v[3 * i + lane] + (w >> 21 * lane & 255)) % (1 << 21)
+            for lane in range(2):
+                v[2 * i + lane] += times * (w >> 31 * lane & 3)
     return len(parts), v
 
 
 def hexed(text):
     n, v = vector(text)
-    return f"{n:016x}" + "".join(f"{v[3 * i] | v[3 * i + 1] << 21 | v[3 * i + 2] << 42:016x}" for i in range(20))
+    return f"{n:016x}" + "".join(f"{v[2 * i] % (1 << 31) | v[2 * i + 1] % (1 << 31) << 31:016x}" for i in range(30))
 
 
 def cosine(a, b):
     def centred(t):
         n, v = vector(t)
-        w = [(2 * c - 255 * n) % (1 << 22) for c in v]
-        return [c - (1 << 22) if c >= 1 << 21 else c for c in w]
+        return [2 * c - 3 * n for c in v]
     x, y = centred(a), centred(b)
     xx, yy = sum(c * c for c in x), sum(c * c for c in y)
     if not xx or not yy:
@@ -461,6 +462,37 @@ def test_fingerprint_insert_delete_and_order(spark):
     assert r.order and r.gone and r.back
 
 
+def test_fingerprint_likeness_of_one_line_repeated_often(spark):
+    data = [(1, "tick\n" * 100, "en", "a", 1), (2, "tick\n" * 20_000, "en", "a", 1), (3, "tick\n" * 12_000, "en", "a", 1)]
+    got = fingerprints.edited_fingerprints(frame(spark, data)).collect()
+    assert [round(r.near_next, 9) for r in got] == [1.0, 1.0, 1.0]
+    assert [round(r.near_edited, 9) for r in got] == [1.0, 1.0, 1.0]
+
+
+@pytest.mark.parametrize("ids", [
+    [*range(60), 10 ** 15], [7] * 40 + list(range(20)), [None] * 30 + list(range(30)), [5] * 50, [None] * 10, [3]])
+def test_fingerprint_next_row_whatever_the_identifiers(spark, ids):
+    from pyspark.sql import functions as F
+
+    rows_ = [(i, f"text {k % 45}") for k, i in enumerate(ids)]
+    df = spark.createDataFrame(rows_, "doc_id long, text string").repartition(4)
+    got = fingerprints.with_next(df, "doc_id", ["text"]).withColumn("h", F.xxhash64("text")).collect()
+    line = sorted(got, key=lambda r: (r.doc_id is not None, r.doc_id or 0, r.h, r.text))
+    assert sorted((r.doc_id is not None, r.doc_id or 0, r.text) for r in got) == sorted(
+        (i is not None, i or 0, t) for i, t in rows_)
+    want = sorted((str(a.doc_id), a.text, b.text) for a, b in zip(line, line[1:] + line[:1]))
+    assert sorted((str(r.doc_id), r.text, r.next_text) for r in got) == want
+
+
+def test_fingerprint_ranges_split_hot_identifiers(spark):
+    from collections import Counter
+
+    data = [(7 if k % 3 else k if k % 2 else 10 ** 15 + k, f"text {k}") for k in range(3000)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    n = Counter(r.b for r in df.select(fingerprints._ranges(df, "doc_id", "text").alias("b")).collect())
+    assert max(n.values()) < 3000 // 8
+
+
 def test_licenses(spark):
     word = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
     got = licenses.scan(frame(spark)).collect()
