@@ -47,15 +47,24 @@ LEXICON, SUPPORT = 4_000, 6
 
 # Fixed word lists of the grammar.
 INSULTS = ("idiot", "moron", "stupid", "scum", "loser", "trash", "clown", "pathetic", "worthless", "disgusting")
-INTENTS = ("will", "shall", "gonna", "must", "should", "wanna", "going", "i'll", "we'll")
+INTENTS = ("will", "shall", "gonna", "must", "should", "wanna", "going", "i'll", "we'll", "i'm", "we're")
 VIOLENCE = ("kill", "hurt", "destroy", "murder", "beat", "stab", "shoot", "burn", "hang", "crush")
 PERSONS = ("you", "your", "you're", "yourself", "u", "he", "she", "him", "her", "they", "them", "their", "people")
 NEGATIONS = ("not", "never", "no", "isn't", "aren't", "don't", "doesn't", "wasn't", "won't", "cannot", "nobody")
 REPORTS = ("said", "says", "say", "wrote", "writes", "claimed", "claims", "called", "quoted", "quotes", "reported")
 TURNS = ("but", "however", "although", "yet")
 
-_CLASSES = {w: c for c, ws in (("intent", INTENTS), ("violence", VIOLENCE), ("person", PERSONS),
-                               ("negation", NEGATIONS), ("report", REPORTS), ("turn", TURNS)) for w in ws}
+
+
+def inflected(verb: str) -> set[str]:
+    """A verb with its regular endings (a last e dropped, a last letter doubled)."""
+    stems = {verb, verb.removesuffix("e"), verb + verb[-1]}
+    return {verb, verb + "s", verb + "es"} | {stem + end for stem in stems for end in ("ing", "ed")}
+
+
+_CLASSES = {w: "violence" for verb in VIOLENCE for w in inflected(verb)} | {
+    w: c for c, ws in (("intent", INTENTS), ("person", PERSONS), ("negation", NEGATIONS), ("report", REPORTS),
+                       ("turn", TURNS)) for w in ws}
 CLAUSE_ENDS = ".!?;:\n"
 _CLAUSE_END = re.compile(f"[{CLAUSE_ENDS}]")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
@@ -146,7 +155,7 @@ class Scorer:
             if not token[0].isalpha():
                 kind = "quote"
             else:
-                kind = _CLASSES.get(token, "other")
+                kind = _CLASSES.get(token.replace("’", "'"), "other")
                 weight, entry = self.word_weight(token)
                 if weight:
                     entries.add(entry)
