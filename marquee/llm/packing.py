@@ -8,8 +8,8 @@ the first subtree on the right that has one and descends into it.
 
 Every task packs its own documents, ``pool`` tokens at a time, so nothing is
 shuffled and a task holds one pool.  A packed row has its ids as one
-little-endian 16-bit vector padded to ``length`` (a row of the id matrix),
-the cumulative segment lengths, the places where positions start again at 0,
+little-endian vector padded to ``length`` (a row of the id matrix) by the first
+id above the vocabulary, in 16 bits where that fits and in 32 otherwise; the cumulative segment lengths, the places where positions start again at 0,
 and each segment's document and first token in it.
 
 Defined cases: documents without tokens (null or empty text) are in no row;
@@ -25,13 +25,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from marquee.llm.bpe import encode_into
+from marquee.llm.bpe import codec, default_vocabulary, encode_into
 from marquee.llm.common import documents
 
 LENGTH = 2_048
 POOL = 2_000_000
-#: The id of padding: the first above the vocabulary.
-PAD = 50_256
 
 
 class Rooms:
@@ -92,10 +90,16 @@ DDL = ("pool string, row int, n_tokens int, doc_ids array<long>, doc_starts arra
        "cu_seqlens array<int>, position_resets array<int>, ids binary")
 
 
-def _pack(pieces: list[tuple], name: str, length: int) -> Iterator[pa.RecordBatch]:
+def padding(path: str | None = None) -> tuple[int, str]:
+    """The id of padding under a vocabulary, and the type of its matrix."""
+    pad = len(codec(path or default_vocabulary()).length)
+    return pad, "<u2" if pad < 1 << 16 else "<u4"
+
+
+def _pack(pieces: list[tuple], name: str, length: int, pad: int, kind: str) -> Iterator[pa.RecordBatch]:
     out: list[dict] = []
     for r, row in enumerate(best_fit([len(p[2]) for p in pieces], length)):
-        ids = np.full(length, PAD, dtype="<u2")
+        ids = np.full(length, pad, dtype=kind)
         ends = [0]
         for p in row:
             ids[ends[-1]:ends[-1] + len(pieces[p][2])] = pieces[p][2]
@@ -114,16 +118,17 @@ def packer(length: int, pool: int, label: str):
     def finish(rows, path):
         from pyspark import TaskContext
 
+        pad, kind = padding(path)
         part, n, held, pieces = TaskContext.get().partitionId(), 0, 0, []
         for doc, ids in rows:
             for s in range(0, len(ids), length):
-                pieces.append((doc, s, ids[s:s + length].astype("<u2")))
+                pieces.append((doc, s, ids[s:s + length].astype(kind)))
             held += len(ids)
             if held >= pool:
-                yield from _pack(pieces, f"{label}{part}-{n}", length)
+                yield from _pack(pieces, f"{label}{part}-{n}", length, pad, kind)
                 n, held, pieces = n + 1, 0, []
         if pieces:
-            yield from _pack(pieces, f"{label}{part}-{n}", length)
+            yield from _pack(pieces, f"{label}{part}-{n}", length, pad, kind)
     return finish
 
 
