@@ -6,8 +6,10 @@ for each template's rarest words, their postings (template, position).  A
 file is scanned for indexed words; all of those it has are looked up
 and each posting votes for the template at the relative position file place -
 template place.  A template with enough agreeing votes (places may drift by a
-few words) is a candidate, and is found when its mandatory key phrases stand
-in the file.  Base phrases are found by their words too and always stay.
+few words) is a candidate, and is found when one of its mandatory key phrases
+stands in the file and not only as a part of a longer key phrase: "creative
+commons attribution noncommercial" is no place of "creative commons
+attribution".  Base phrases are found by their words too and always stay.
 
 ``score`` is the largest share of a found template's rarity that the file's
 agreeing words hold; a base phrase alone gives 0.5, no label 0.
@@ -22,6 +24,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -47,18 +50,60 @@ TEMPLATES = (
     ("gpl", "this work is licensed under the gnu general public license version 3", ("gnu general public license",)),
     ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general"
             " public license as published by the free software foundation", ("gnu general public license",)),
-    ("cc-by-nc", "licensed under cc by nc 4 0", ("cc by nc",)),
-    ("cc-by-sa", "licensed under cc by sa 4 0", ("cc by sa",)),
-    ("cc-by", "this work is licensed under a creative commons attribution 4 0 international license",
-     ("creative commons attribution",)),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that"
             " the following conditions are met", ("redistribution and use in source and binary forms",)),
     ("mpl", "this source code form is subject to the terms of the mozilla public license v 2 0",
      ("mozilla public license",)),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby"
             " granted", ("permission to use copy modify and or distribute",)),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the"
+            " following disclaimer", ("must retain the above copyright notice this list of conditions",)),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held"
+             " liable for any damages arising from the use of this software",
+     ("provided as is without any express or implied warranty",)),
+    ("lgpl", "you can redistribute it and or modify it under the terms of the gnu lesser general public license as published"
+             " by the free software foundation", ("lesser general public license",)),
+    ("lgpl", "licensed under the gnu lesser general public license", ("lesser general public license",)),
+    ("agpl", "you can redistribute it and or modify it under the terms of the gnu affero general public license as published"
+             " by the free software foundation", ("affero general public license",)),
+    ("agpl", "licensed under the gnu affero general public license", ("affero general public license",)),
+    ("epl", "this program and the accompanying materials are made available under the terms of the eclipse public license",
+     ("eclipse public license",)),
+    ("boost", "distributed under the boost software license version 1 0", ("boost software license",)),
+    ("unlicense", "this is free and unencumbered software released into the public domain",
+     ("free and unencumbered software released into the public domain",)),
+    ("cc0", "to the extent possible under law the author has waived all copyright and related or neighboring rights to this"
+            " work", ("waived all copyright and related or neighboring rights",)),
+    ("cc0", "cc0 1 0 universal", ("cc0 1 0",)),
     ("all-rights-reserved", "all rights reserved", ("all rights reserved",)),
 )
+# Fixed names of identifiers in file headers, in words, and their labels.
+SPDX = (("mit", "mit"), ("apache 2 0", "apache"), ("bsd 2 clause", "bsd"), ("bsd 3 clause", "bsd"), ("gpl 2 0", "gpl"),
+        ("gpl 3 0", "gpl"), ("lgpl 2 1", "lgpl"), ("lgpl 3 0", "lgpl"), ("agpl 3 0", "agpl"), ("mpl 2 0", "mpl"),
+        ("epl 2 0", "epl"), ("isc", "isc"), ("zlib", "zlib"), ("bsl 1 0", "boost"), ("unlicense", "unlicense"),
+        ("cc0 1 0", "cc0"))
+# Fixed elements of Creative Commons licences and their spellings in words.
+CC_ELEMENTS = {"nc": ("noncommercial", "non commercial"), "sa": ("sharealike", "share alike"),
+               "nd": ("noderivatives", "noderivs", "no derivatives")}
+CC_KINDS = ((), ("nc",), ("sa",), ("nd",), ("nc", "sa"), ("nc", "nd"))
+CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
+
+
+def _named_notices():
+    """Templates of file header identifiers and of all Creative Commons licences."""
+    for name, label in SPDX:
+        yield label, f"spdx license identifier {name}", (f"spdx license identifier {name}",)
+    for kind in CC_KINDS:
+        label = "-".join(("cc", "by", *kind))
+        short = label.replace("-", " ")
+        # "cc by" alone is ordinary writing, so its key has a version
+        yield label, f"{short} 4 0", (short,) if kind else tuple(f"{short} {v}" for v in CC_VERSIONS)
+        for spelled in product(*(CC_ELEMENTS[e] for e in kind)):
+            name = " ".join(("creative commons attribution", *spelled))
+            yield label, f"{name} 4 0 international license", (name,)
+
+
+TEMPLATES += tuple(_named_notices())
 #: Indexed words of a template; drift in words; share of the votes needed.
 RARE, DRIFT, AGREE = 8, 2, 0.5
 
@@ -126,22 +171,36 @@ class Index:
             for pos, w in enumerate(ws):
                 if w in rare:
                     self.postings[w].append((t, pos))
-        self.base = [([number[w] for w in p.split()], label) for p, label in BASE]
-        self.keyed = [[[number[w] for w in k.split()] for k in keys] for _, _, keys in TEMPLATES]
-
-    @staticmethod
-    def places(phrase: list[int], at: dict[int, int]) -> list[int]:
-        """Where the phrase's words stand consecutively."""
-        return [p for p, w in at.items() if w == phrase[0] and all(at.get(p + j) == x for j, x in enumerate(phrase))]
+        # phrases by their first word: (words, base label or None, templates it is a key of)
+        phrases: dict[tuple, tuple] = {}
+        for phrase, label in BASE:
+            phrases[tuple(number[w] for w in phrase.split())] = (label, [])
+        for t, (_, _, keys) in enumerate(TEMPLATES):
+            for k in keys:
+                phrases.setdefault(tuple(number[w] for w in k.split()), (None, []))[1].append(t)
+        self.phrases: dict[int, list[tuple]] = defaultdict(list)
+        for words, (label, of) in phrases.items():
+            self.phrases[words[0]].append((words, label, of))
+
+    def places(self, at: dict[int, int]) -> Iterator[tuple]:
+        """Where phrases' words stand consecutively: (place, length, base label, templates)."""
+        for p, w in at.items():
+            for words, label, of in self.phrases.get(w, ()):
+                if all(at.get(p + j) == x for j, x in enumerate(words)):
+                    yield p, len(words), label, of
 
     def scan(self, pos: np.ndarray, vocab: np.ndarray) -> tuple[int, int | None, int | None, str, str, float]:
         at = dict(zip(pos.tolist(), vocab.tolist()))
-        starts, base = [], set()
-        for phrase, label in self.base:
-            found = self.places(phrase, at)
-            if found:
-                starts += found
-                base.add(label)
+        found = sorted(self.places(at), key=lambda f: (f[0], -f[1]))
+        starts = [p for p, _, label, _ in found if label]
+        base = {label for _, _, label, _ in found if label}
+        # a key phrase inside a longer one does not count
+        keyed: set[int] = set()
+        reach = 0
+        for p, n, _, of in found:
+            if of and p + n > reach:
+                keyed.update(of)
+                reach = p + n
         labels, score = set(base), 0.5 if base else 0.0
         # votes: relative position -> words that agree, by template
         votes: dict[int, dict[int, set[int]]] = defaultdict(lambda: defaultdict(set))
@@ -149,12 +208,14 @@ class Index:
             for t, q in self.postings.get(w, ()):
                 votes[t][p - q].add(w)
         for t, by_place in votes.items():
+            if t not in keyed:
+                continue
             best = 0.0
             for place in by_place:
                 near = set().union(*(by_place.get(place + j, ()) for j in range(-DRIFT, DRIFT + 1)))
                 best = max(best, sum(self.idf[w] for w in near))
             share = min(1.0, best / self.weight[t])
-            if share >= AGREE and any(self.places(k, at) for k in self.keyed[t]):
+            if share >= AGREE:
                 labels.add(TEMPLATES[t][0])
                 score = max(score, share)
         return (len(starts), min(starts, default=None), max(starts, default=None),

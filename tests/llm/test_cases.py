@@ -255,7 +255,7 @@ def test_packing(spark):
     pieces = defaultdict(list)
     for r in packing.pack(frame(spark).coalesce(1), length=256).collect():
         ids = np.frombuffer(bytes(r.ids), dtype="<u2")
-        assert len(ids) == 256 and (ids[r.n_tokens:] == packing.PAD).all()
+        assert len(ids) == 256 and (ids[r.n_tokens:] == len(c.length)).all()
         assert r.cu_seqlens[0] == 0 and r.cu_seqlens[-1] == r.n_tokens <= 256
         assert r.position_resets == r.cu_seqlens[:-1]
         for d, s, a, b in zip(r.doc_ids, r.doc_starts, r.cu_seqlens, r.cu_seqlens[1:]):
@@ -269,6 +269,23 @@ def test_packing(spark):
             assert sum((p for _, p in sorted(pieces[d])), ()) == next(k[1] for k in want if k[0] == d)
 
 
+def test_packing_under_a_large_vocabulary(spark, tmp_path):
+    import base64
+
+    import numpy as np
+
+    # the bytes, then 70,000 made-up tokens: ids of over 16 bits
+    tokens = [bytes([i]) for i in range(256)] + [b"zq%d" % i for i in range(70_000)]
+    path = tmp_path / "large.tiktoken"
+    path.write_bytes(b"\n".join(b"%s %d" % (base64.b64encode(t), i) for i, t in enumerate(tokens)))
+    df = frame(spark, [(1, "zq69999", "en", "a", 1)])
+    assert packing.padding(str(path)) == (70_256, "<u4")
+    want = bpe.codec(str(path)).encode("zq69999").tolist()
+    r = packing.pack(df, length=16, path=str(path)).first()
+    ids = np.frombuffer(bytes(r.ids), dtype="<u4").tolist()
+    assert ids == want + [70_256] * (16 - len(want)) and packing.padding()[1] == "<u2"
+
+
 def _lengths(want):
     out = Counter()
     for (d, ids), n in want.items():
@@ -521,6 +538,29 @@ def test_license_templates_are_found_with_small_edits(spark):
     assert got[1] == "bsd" and got[2] == "all-rights-reserved" and got[3] == "" and got[11] == ""
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("Creative Commons Attribution-NonCommercial 4.0 International License", "cc-by-nc"),
+    ("Creative Commons Attribution-ShareAlike 4.0 International License", "cc-by-sa"),
+    ("a Creative Commons Attribution-Non-Commercial-No Derivatives 3.0 license", "cc-by-nc-nd"),
+    ("This work is licensed under a Creative Commons Attribution 4.0 International License", "cc-by"),
+    ("licensed under CC BY-NC-SA 4.0", "cc-by-nc-sa"), ("CC BY 4.0", "cc-by"), ("sent cc by mail", ""),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd"), ("SPDX-License-Identifier: MIT", "mit"),
+    ("SPDX-License-Identifier: AGPL-3.0-only", "agpl"),
+    ("under the terms of the GNU Lesser General Public License as published by the Free Software Foundation", "gpl,lgpl"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+    ("CC BY 4.0 for the text, CC BY-NC 4.0 for the photos", "cc-by,cc-by-nc"),
+])
+def test_license_labels_are_the_longest_names(text, labels):
+    import re
+
+    index = licenses.Index({}, 1000)
+    number = {w: i for i, w in enumerate(index.words)}
+    words = [(i, number[w]) for i, w in enumerate(re.findall("[a-z0-9]+", text.lower())) if w in number]
+    pos, vocab = (list(x) for x in zip(*words)) if words else ([], [])
+    import numpy as np
+    assert index.scan(np.array(pos), np.array(vocab))[4] == labels
+
+
 def test_license_notices_of_a_long_file_are_all_found():
     import numpy as np
 
@@ -545,6 +585,16 @@ def test_toxicity_grammar():
     assert s.features("")[0] == 0 and s.features("IDIOT! trashy")[0] > s.features("IDIOT!")[0]
 
 
+def test_toxicity_apostrophes_and_verb_forms():
+    s = toxicity.Scorer({"idiot$": 2.0})
+    for straight in ("you aren't an idiot", "you don't look like an idiot", "I'll kill you", "you're an idiot"):
+        assert s.features(straight.replace("'", "’")) == s.features(straight)
+    assert s.features("you aren’t an idiot")[0] < s.features("you are an idiot")[0]
+    for threat in ("I’m killing you tonight", "we're stabbing them", "he will be murdered, you too"):
+        assert s.features(threat)[6] > 0
+    assert s.features("I'm skilling up, you too")[6] == 0
+
+
 def test_toxicity_reads_whole_clauses():
     s = toxicity.Scorer({"idiot$": 2.0})
     filler = "word " * 300
