@@ -20,7 +20,11 @@ multiplied (sets of up to ``SHORT`` shingles have all of them).
 * In such a column each class is first compared with its neighbour by size, as
   every class is with its best partner in the others; once those links are
   joined to components, the pairs whose ends are in different components are
-  compared, if the places of the column in both orders leave room for a link.
+  compared, if the places of the column in both orders leave room for a link and
+  the parities of their sets do: a set's shingles are dealt to ``PARITIES`` cells,
+  and two sets differ in at least as many shingles as cells whose counts are odd
+  in one of them only.  Both bounds are exact; the second gets weak for sets of
+  some thousand shingles.
   All links are confirmed on full sets, built anew for the classes concerned.
 
 No link between different texts is lost, and none is found by chance but for
@@ -54,6 +58,9 @@ SHORT = 64
 CROWD = 32
 #: Shingles of a set that one more shared column is asked for.
 STEP = 20
+#: Cells of a set's parities, 64 a word.
+PARITIES = 512
+_WORDS = [f"p{i}" for i in range(PARITIES // 64)]
 
 
 def _least(n, percent: int):
@@ -222,6 +229,23 @@ def _rare(sets: DataFrame, percent: int) -> DataFrame:
             .filter(F.col("at") <= F.col("n") - _least_col("n", percent) + 1).select("h", "cid", "n", "at"))
 
 
+PARITIES_DDL = "cid long, " + ", ".join(f"{w} long" for w in _WORDS)
+
+
+def parities(s: np.ndarray) -> np.ndarray:
+    """The words of a set's parities: one bit a cell, set where its count is odd."""
+    odd = np.bincount((s % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def _parities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = [parities(np.frombuffer(x, dtype="<u8")) for x in batch.column("items").to_pylist()]
+        words = np.array(rows, dtype=np.int64).reshape(len(rows), len(_WORDS))
+        yield pa.RecordBatch.from_arrays([batch.column("cid"), *[pa.array(words[:, i]) for i in range(len(_WORDS))]],
+                                         names=["cid", *_WORDS])
+
+
 def _sets(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
     ids, items = [], []
     for cid, s in _own_sets(batches, k):
@@ -267,22 +291,25 @@ def _bound_col(percent: int) -> Column:
             .otherwise(1 + F.floor(F.least("na", "nb") / STEP)))
 
 
-def _across(rare: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of a column's classes that are in different components and whose
-    places in the column leave room for a link."""
+def _across(rare: DataFrame, sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Pairs of a column's classes that are in different components, and whose
+    places in the column and parities leave room for a link."""
     placed = (rare.join(roots.withColumnsRenamed({"vertex": "cid", "component": "comp"}), "cid", "left")
               .withColumn("comp", F.coalesce("comp", "cid")))
     parts = placed.groupBy("h", "comp").agg(F.count(F.lit(1)).alias("k"))
     mixed = (parts.groupBy("h").agg(F.max_by("comp", F.struct("k", "comp")).alias("main"), F.count(F.lit(1)).alias("parts"))
              .filter("parts > 1").select("h", "main"))
-    met = stage(placed.join(mixed, "h"), "join-met")
-    x = met.filter("comp <> main").select("h", F.col("cid").alias("x"), F.col("n").alias("nx"), F.col("at").alias("ax"),
-                                          F.col("comp").alias("cx"))
-    y = met.select("h", F.col("cid").alias("y"), F.col("n").alias("ny"), F.col("at").alias("ay"), F.col("comp").alias("cy"))
-    room = 1 + F.least(F.col("nx") - F.col("ax"), F.col("ny") - F.col("ay"))
-    fits = ((F.col("cx") != F.col("cy")) & (100 * F.least("nx", "ny") >= percent * F.greatest("nx", "ny"))
-            & ((100 + percent) * room >= percent * (F.col("nx") + F.col("ny"))))
-    return x.join(y, "h").filter(fits).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    met = stage(placed.join(mixed, "h").join(sets.mapInArrow(_parities, PARITIES_DDL), "cid"), "join-met")
+    x, y = (met.select("h", *[F.col(c).alias(s + c) for c in ("cid", "n", "at", "comp", *_WORDS)], F.col("main").alias(s + "main"))
+            for s in ("x_", "y_"))
+    x = x.filter("x_comp <> x_main")
+    room = 1 + F.least(F.col("x_n") - F.col("x_at"), F.col("y_n") - F.col("y_at"))
+    both = F.col("x_n") + F.col("y_n")
+    differ = sum((F.bit_count(F.col("x_" + w).bitwiseXOR(F.col("y_" + w))) for w in _WORDS), F.lit(0))
+    fits = ((F.col("x_comp") != F.col("y_comp")) & (100 * F.least("x_n", "y_n") >= percent * F.greatest("x_n", "y_n"))
+            & ((100 + percent) * room >= percent * both) & ((100 + percent) * differ <= (100 - percent) * both))
+    return (x.join(y, "h").filter(fits)
+            .select(F.least("x_cid", "y_cid").alias("a"), F.greatest("x_cid", "y_cid").alias("b")).distinct())
 
 
 def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
@@ -308,7 +335,8 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
     wanted = classes.join(ends, "cid", "left_semi").select(F.col("least").alias("doc_id"), "cid", "k1", "k2")
     sets = stage(d.join(wanted, "doc_id").select("text", "cid", "k1", "k2").mapInArrow(lambda it: _sets(it, shingle), "cid long, items binary")
                  .groupBy("cid").agg(F.first("items").alias("items")), "join-sets")
-    rare = stage(_rare(sets.join(heavy, "cid", "left_semi"), percent), "join-rare")
+    crowded = sets.join(heavy, "cid", "left_semi")
+    rare = stage(_rare(crowded, percent), "join-rare")
     near = (rare.repartitionByRange("h", "n", "cid").sortWithinPartitions("h", "n", "cid")
             .mapInArrow(lambda it: _neighbours(it, percent), "a long, b long"))
     # each class and its best partner, and neighbours of crowded columns
@@ -320,7 +348,7 @@ def joined(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_c
     at = {s: roots.select(F.col("vertex").alias(s), F.col("component").alias("r" + s)) for s in ("a", "b")}
     apart = (pairs.select("a", "b").join(at["a"], "a", "left").join(at["b"], "b", "left")
              .filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b"))
-    rest = stage(apart.union(_across(rare, roots, percent)).distinct().join(first, ["a", "b"], "left_anti"), "join-rest")
+    rest = stage(apart.union(_across(rare, crowded, roots, percent)).distinct().join(first, ["a", "b"], "left_anti"), "join-rest")
     if rest.limit(1).count():
         # the further links join components, so these are the vertices now
         further = stage(confirmed(sets, rest, percent).join(at["a"], "a", "left").join(at["b"], "b", "left")

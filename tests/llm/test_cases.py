@@ -6,6 +6,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from marquee.llm import (bpe, divergence, exact_dedup, fingerprints, jaccard_join, licenses, mixing, near_dedup, packed_terms,
@@ -699,6 +700,25 @@ def test_join_of_crowds_against_all_pairs(spark):
     assert got == components_of(texts, 5, 80)
 
 
+def test_parities_never_exceed_the_difference():
+    """The bound that prunes pairs holds for every pair of sets, and parts large
+    crowds just below the threshold."""
+    rng = np.random.default_rng(4)
+    pruned = 0
+    for case in range(400):
+        n, swap = int(rng.integers(0, 400)), int(rng.integers(0, 60))
+        a = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+        b = np.unique(np.concatenate([a[swap:], rng.integers(0, 2**64, swap, dtype=np.uint64)]))
+        apart = len(np.setxor1d(a, b))
+        seen = sum(int(x).bit_count() for x in (jaccard_join.parities(a) ^ jaccard_join.parities(b)).view(np.uint64))
+        assert seen <= apart and (apart - seen) % 2 == 0
+        linked = 180 * len(np.intersect1d(a, b)) >= 80 * (len(a) + len(b))
+        fits = 180 * seen <= 20 * (len(a) + len(b))
+        assert fits or not linked
+        pruned += not fits
+    assert pruned > 50
+
+
 def test_join_joins_components_of_best_partners(spark):
     """Pairs nearest to each other within a group that is linked as a whole, and
     a document alone that only a pair's further links reach."""
