@@ -2,10 +2,13 @@
 
 ``rank_by_metric`` plans as ``TakeOrderedAndProject``: each task keeps its
 own top n and one merge follows, so no full sort and no large shuffle.
-``rankings_long`` computes all ten rankings together: narrow rows (ranking,
-key, id) are ranked, where ``row_number() <= n`` lets Catalyst insert a partial
-``WindowGroupLimit`` before the exchange, so only n rows per ranking per task
-are shuffled; the winners are then joined back to their titles.
+``rankings_long`` computes all ten rankings together.  A first aggregate takes
+the best key of each ranking in each of ``CUT_BUCKETS`` buckets of ids; n rows at
+least reach the n-th best of those, so it is a safe cut.  The rows that reach it
+(about n a ranking, and those equal to the cut) are ranked, where
+``row_number() <= n`` lets Catalyst insert a partial ``WindowGroupLimit`` before
+the exchange; the winners are then joined back to their titles.  A ranking with
+values in fewer than n buckets has no cut and is ranked whole.
 
 Ties are broken by ``id`` ascending, which always yields one of the answers
 an arbitrary tie cut could give.
@@ -73,26 +76,47 @@ def ranking(df: DataFrame, name: str, top_n=None, settings: Settings = DEFAULTS)
     raise KeyError(name)
 
 
+#: Buckets of ids whose best keys give the cuts of the rankings.
+CUT_BUCKETS = 4096
+
+
+def _entries(settings: Settings):
+    """(ranking, value where the ranking takes the row else null, key ascending)."""
+    for name, metric, asc, flt in ranking_specs(settings):
+        value = F.col(metric).cast("double")
+        value = value if flt is None else F.when(flt, value)
+        yield name, value, value if asc else -value
+
+
+def ranking_cuts(df: DataFrame, n: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """ranking, cut: a key that at least n rows of the ranking reach, or null."""
+    entries = list(_entries(settings))
+    best = (with_metrics(df).groupBy(F.pmod(F.xxhash64("id"), F.lit(CUT_BUCKETS)).alias("_bucket"))
+            .agg(*[F.min(key).alias(name) for name, _, key in entries]))
+    long = best.select(F.explode(F.array(*[F.struct(F.lit(name).alias("ranking"), F.col(name).alias("key"))
+                                           for name, _, _ in entries])).alias("_r")).select("_r.*")
+    return long.groupBy("ranking").agg(F.get(F.sort_array(F.collect_list("key")), n - 1).alias("cut"))
+
+
+def ranking_candidates(df: DataFrame, n: int, settings: Settings = DEFAULTS) -> DataFrame:
+    """id, ranking, value, key of the rows that reach the cuts; all n best are among them."""
+    pairs = F.filter(F.array(*[F.when(value.isNotNull(), F.struct(F.lit(name).alias("ranking"), value.alias("value"), key.alias("key")))
+                               for name, value, key in _entries(settings)]), lambda e: e.isNotNull())
+    narrow = with_metrics(df).select("id", F.explode(pairs).alias("_r")).select("id", "_r.ranking", "_r.value", "_r.key")
+    # one row a ranking
+    cuts = F.broadcast(ranking_cuts(df, n, settings))
+    return narrow.join(cuts, "ranking", "left").filter(F.col("cut").isNull() | (F.col("key") <= F.col("cut"))).drop("cut")
+
+
 def rankings_long(df: DataFrame, top_n=None, settings: Settings = DEFAULTS) -> DataFrame:
     """All ten rankings, long form:
     ranking, rank, title, value, release_date, genres.
 
-    Narrow rows (ranking, key, id) are ranked; the winners, n a ranking and
+    Candidates (ranking, key, id) are ranked; the winners, n a ranking and
     so a proven bound for the broadcast, then fetch their titles."""
     n = resolve_top_n(top_n, settings)
-    m = with_metrics(df)
-    entries = []
-    for name, metric, asc, flt in ranking_specs(settings):
-        value = F.col(metric).cast("double")
-        ok = value.isNotNull() if flt is None else (value.isNotNull() & flt)
-        key = value if asc else -value
-        entries.append(F.when(ok, F.struct(F.lit(name).alias("ranking"), value.alias("value"),
-                                           key.alias("key"))))
-    pairs = F.filter(F.array(*entries), lambda e: e.isNotNull())
-    narrow = (m.select("id", F.explode(pairs).alias("_r"))
-              .select("id", "_r.ranking", "_r.value", "_r.key"))
     w = Window.partitionBy("ranking").orderBy(F.col("key").asc(), F.col("id").asc())
-    winners = (narrow.withColumn("rank", F.row_number().over(w))
+    winners = (ranking_candidates(df, n, settings).withColumn("rank", F.row_number().over(w))
                .filter(F.col("rank") <= n).select("ranking", "rank", "id", "value"))
     return (df.select("id", *RANKING_PROJECTION).join(F.broadcast(winners), "id")
             .select("ranking", "rank", "title", "value", "release_date", "genres"))
