@@ -29,7 +29,7 @@ from marquee.plans.stages import clean_stage
 from marquee.plans.storage import scratch_path
 from marquee.schema import RAW_SCHEMA
 from marquee.sources.fixtures import arriving_payloads, payloads, raw_titles, request_ids
-from marquee.sources.readers import read_documents
+from marquee.sources.readers import landed_documents_or_none, read_documents
 
 # Needles for the searches on the fixture (it has supplier names for people
 # and part types for genres); the operators' defaults are the source's.
@@ -465,6 +465,27 @@ def _landed_at(spark, path, millis):
         fs.setTimes(st.getPath(), millis, -1)
 
 
+def q_landed_folders(spark, sf):
+    """What reuse finds in four places: documents landed in two nested folders,
+    a landing without rows, an empty folder and none at all."""
+    root, p = scratch_path(spark, "landings"), _payloads(spark, sf)
+    _land(spark, p.filter("id % 2 = 0"), f"{root}/landed/even")
+    _land(spark, p.filter("id IS NULL OR id % 2 <> 0"), f"{root}/landed/odd")
+    _land(spark, p.filter("id IS NULL AND id IS NOT NULL"), f"{root}/no rows")
+    fs, folder = publish._fs(spark, f"{root}/empty")
+    fs.mkdirs(folder)
+    parts = []
+    for name in ("landed", "no rows", "empty", "missing"):
+        docs = landed_documents_or_none(spark, f"{root}/{name}")
+        found = spark.range(0).select(F.col("id")) if docs is None else docs
+        parts.append(found.agg(F.lit(name).alias("folder"), F.lit(docs is not None).alias("found"),
+                               F.count(F.lit(1)).alias("documents"), F.count("id").alias("with_id")))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
+
+
 def q_incremental_clean(spark, sf):
     """Three landings, a run after each: even ids, where k % 20 = 0 comes with
     another title; the other ids; and the documents of k % 20 = 0 as they
@@ -558,6 +579,7 @@ def catalog() -> dict:
         "raw_roundtrip": q_raw_roundtrip,
         "report_status": q_report_status,
         "job_outputs": q_job_outputs,
+        "landed_folders": q_landed_folders,
         "incremental_clean": q_incremental_clean,
         "rebuilt_clean": q_rebuilt_clean,
     })

@@ -448,6 +448,9 @@ FROM outcome"""
 SELECT part, COUNT(*) AS rows,
   CASE WHEN part = 'good' THEN COUNT(rid) ELSE 0 END AS rows_with_id
 FROM p GROUP BY part""")
+    q["landed_folders"] = with_clean("""
+SELECT 'landed' AS folder, TRUE AS found, COUNT(*) AS documents, COUNT(rid) AS with_id FROM rows
+UNION ALL SELECT unnest(['no rows', 'empty', 'missing']), FALSE, 0, 0""")
     q["report_status"] = _report_status(q)
     q["job_outputs"] = _job_outputs(q)
     q["report_bundle"] = _report_bundle(q)
