@@ -13,7 +13,8 @@
   also those whose run died before they were published.
 * ``load_or_build`` makes a stage idempotent: an existing complete output
   with the expected schema is reused unless ``fresh=True``.
-* ``write_documents`` lands raw documents as JSON lines.
+* ``write_documents`` lands raw documents as JSON lines, gzipped, in files of
+  at most ``FILE_DOCUMENTS`` documents (a gzipped file is read by one task).
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ POINTERS, CLAIMS, PARTS = "_published", "_claims", "_parts"
 KEEP_VERSIONS, KEEP_SECONDS = 3, 24 * 3600
 #: A claim this old without a publication is a dead run's.
 CLAIM_SECONDS = 3600
+#: Most documents in a landed file, some ten MB gzipped.
+FILE_DOCUMENTS = 100_000
 
 
 class PublishConflict(Exception):
@@ -224,9 +227,15 @@ def load_or_build(spark: SparkSession, path: str, build, fresh: bool = False,
     return spark.read.parquet(path)
 
 
+def landed(df: DataFrame, mode: str = "overwrite"):
+    """A writer of landed files: gzipped, bounded by their number of documents
+    so that a reader has a task for each of many files."""
+    return df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", FILE_DOCUMENTS)
+
+
 def write_documents(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Raw documents as JSON lines (splittable on read)."""
-    df.write.mode(mode).json(path)
+    """Raw documents as gzipped JSON lines."""
+    landed(df, mode).json(path)
     return path
 
 

@@ -3,6 +3,7 @@ breaks on legal input (all-null structs, all-empty arrays)."""
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,6 +35,13 @@ def star_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return reader.parquet(path)
 
 
+def stored_bytes(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Bytes of a star-schema table's files; none is opened."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(path).getLength()
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -46,8 +54,8 @@ def read_documents(spark: SparkSession, path, schema=DOCUMENT_SCHEMA,
                    arrival: bool = False) -> DataFrame:
     """Title documents under a declared schema, numbers as their text.
 
-    JSON lines (the default) split across tasks; ``multi_line=True`` reads
-    the single-array form, one task per file.  In PERMISSIVE mode a
+    JSON lines (the default) split across tasks, gzipped ones by file;
+    ``multi_line=True`` reads the single-array form, one task per file.  In PERMISSIVE mode a
     malformed line leaves its text in ``_corrupt_record`` so it can be
     quarantined instead of failing the job.  ``arrival=True`` adds the order
     of arrival: file modification time, path, place of the split in the file
@@ -70,6 +78,28 @@ def read_documents(spark: SparkSession, path, schema=DOCUMENT_SCHEMA,
     return docs
 
 
+#: A compressed file of no bytes is a header and a trailer.
+COMPRESSED_EMPTY = 64
+
+
+def _has_bytes(spark: SparkSession, fs, status) -> bool:
+    """Whether a file holds anything, a compressed one once it is read."""
+    if not 0 < status.getLen() <= COMPRESSED_EMPTY:
+        return status.getLen() > 0
+    jvm = spark.sparkContext._jvm
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()).getCodec(status.getPath())
+    if codec is None:
+        return True
+    stream = codec.createInputStream(fs.open(status.getPath()))
+    try:
+        return stream.read() >= 0
+    except Py4JJavaError:  # a broken file was landed all the same; reading it says what is wrong
+        return True
+    finally:
+        stream.close()
+
+
 def landed_documents_or_none(spark: SparkSession, path: str, **kw):
     """Landed documents when ``path`` holds at least one non-empty file,
     else None (the caller then has to land data first)."""
@@ -87,6 +117,6 @@ def landed_documents_or_none(spark: SparkSession, path: str, **kw):
         while files.hasNext():
             f = files.next()
             name = f.getPath().getName()
-            if f.getLen() > 0 and not name.startswith(("_", ".")):
+            if not name.startswith(("_", ".")) and _has_bytes(spark, fs, f):
                 return read_documents(spark, path, **kw)
     return None
