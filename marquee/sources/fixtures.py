@@ -22,7 +22,24 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marquee.schema import PAYLOAD_SCHEMA, RAW_SCHEMA
-from marquee.sources.readers import star_table
+from marquee.sources.readers import star_table, stored_bytes
+
+
+#: Bytes of the lines' files for one task that builds documents (some 30,000
+#: documents), and the number of tasks up to which the planner decides.
+LINE_BYTES, FEW_TASKS = 4 << 20, 16
+
+
+def _by_order(lines: DataFrame, stored: int) -> DataFrame:
+    """Lines dealt by their order.  Documents are several times as wide as the
+    lines they come from, and are sorted where they are built (by the dedupe);
+    partitions sized by the lines would spill them, so beyond a few tasks their
+    number follows the size of the files."""
+    tasks = -(-stored // LINE_BYTES)
+    if tasks <= FEW_TASKS:
+        return lines.repartition("l_orderkey")
+    # not fewer than the session's, else the join to the orders deals both sides anew
+    return lines.repartition(max(tasks, int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions"))), "l_orderkey")
 
 
 def _typed_empty(field: str, schema=RAW_SCHEMA) -> Column:
@@ -56,7 +73,7 @@ def _per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     # every line) and costs a sort in the scan task, so the lines are
     # hash-partitioned by order first; the aggregate reuses that
     # partitioning, so this adds no exchange.
-    per = x.repartition("l_orderkey").groupBy("l_orderkey").agg(
+    per = _by_order(x, stored_bytes(spark, sf_dir, "lineitem")).groupBy("l_orderkey").agg(
         F.sum(F.round(F.col("l_extendedprice") * 100).cast("bigint")).alias("rev_cents"),
         F.sum("l_linenumber").alias("sum_line"),
         F.count(F.lit(1)).alias("n_lines"),
