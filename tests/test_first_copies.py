@@ -91,3 +91,10 @@ def test_what_a_build_staged_goes_with_it(spark):
     table = build_clean(spark, raw, out)[0]
     assert folders() - before == {out.rsplit("/", 1)[1]}
     assert set(names(table)) == {1, 2}
+
+
+def test_staged_payloads_are_packed(spark):
+    from marquee.plans import catalog
+
+    got = catalog._staged(spark, spark.range(5).selectExpr("id", "array('a') AS genres"), "t-packed")
+    assert got.count() == 5 and all(f.endswith(".zstd.parquet") for f in got.inputFiles())
